@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import preview
-from quarry.operators import quality
+from quarry.operators import prompts, quality
 from quarry.sources.tables import read_corpus, table, take_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,54 @@ def q_topic_hits(spark, base):
     return quality.topic_hits(_docs(spark, base), TEST_KEYWORDS)
 
 
+def _conv(spark, base):
+    return table(spark, base, "conversations")
+
+
+def q_format_instruction(spark, base):
+    return prompts.format_instruction(prompts.instruction_rows(_conv(spark, base)))
+
+
+def q_format_roles(spark, base):
+    return prompts.format_roles(_conv(spark, base))
+
+
+def q_chat_custom(spark, base):
+    return prompts.chat_custom(_conv(spark, base))
+
+
+def q_chat_chatml(spark, base):
+    return prompts.chat_chatml(_conv(spark, base))
+
+
+def q_format_mmlu(spark, base):
+    return prompts.format_mmlu(prompts.multiple_choice_rows(table(spark, base, "benchmark")))
+
+
+def q_format_gsm8k(spark, base):
+    return prompts.format_gsm8k(prompts.worked_answer_rows(table(spark, base, "benchmark")))
+
+
+def q_extract_answer(spark, base):
+    wa = prompts.worked_answer_rows(table(spark, base, "benchmark"))
+    return wa.select("item_id", prompts.extract_answer(F.col("answer")).alias("answer"))
+
+
+def q_few_shot(spark, base):
+    mc = prompts.multiple_choice_rows(table(spark, base, "benchmark"))
+    items = mc.select("item_id", "subject",
+                      prompts.mmlu_prompt(F.col("question"), F.col("choices")).alias("prompt"),
+                      prompts.mmlu_label(F.col("answer")).alias("label"))
+    return prompts.few_shot(items, 5, group_col="subject").select(
+        "item_id", "subject", "prompt", "label")
+
+
+def q_few_shot_gsm8k(spark, base):
+    items = prompts.format_gsm8k(prompts.worked_answer_rows(table(spark, base, "benchmark")))
+    items = items.withColumnRenamed("answer", "label")
+    return prompts.few_shot(items, 3).select("item_id", "prompt", "label")
+
+
 QUERIES: dict[str, Query] = {
     "read_corpus": q_read_corpus,
     "take_first": q_take_first,
@@ -83,4 +131,13 @@ QUERIES: dict[str, Query] = {
     "language_filter": q_language_filter,
     "topic_extract": q_topic_extract,
     "topic_hits": q_topic_hits,
+    "format_instruction": q_format_instruction,
+    "format_roles": q_format_roles,
+    "chat_custom": q_chat_custom,
+    "chat_chatml": q_chat_chatml,
+    "format_mmlu": q_format_mmlu,
+    "format_gsm8k": q_format_gsm8k,
+    "extract_answer": q_extract_answer,
+    "few_shot": q_few_shot,
+    "few_shot_gsm8k": q_few_shot_gsm8k,
 }

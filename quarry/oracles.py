@@ -100,3 +100,67 @@ ORACLES: dict[str, str] = {
                             '(^|[^\\p{L}\\p{N}_])' || k.keyword || '($|[^\\p{L}\\p{N}_])')
         GROUP BY k.keyword""",
 }
+
+NL = "chr(10)"
+
+_MC = f"""mc AS (SELECT item_id, item_id % 3 AS subject, text AS question,
+       {_words("coalesce(text, '')")}[1:4] AS choices, (item_id % 4)::INTEGER AS answer
+     FROM benchmark)"""
+_MMLU = f"""mm AS (SELECT item_id, subject,
+       CASE WHEN len(choices) <= 4 THEN 'Question: ' || coalesce(question, '') || {NL}
+         || array_to_string(list_transform(choices, lambda c, i: ['A','B','C','D'][i] || '. ' || c || {NL}), '')
+         || 'Answer:' END AS prompt,
+       CASE WHEN answer BETWEEN 0 AND 3 THEN ['A','B','C','D'][answer + 1] END AS label
+     FROM mc)"""
+_WA = f"""wa AS (SELECT item_id, text AS question, 'work' || {NL} || '#### ' || item_id AS answer
+     FROM benchmark),
+gs AS (SELECT item_id, 'Question: ' || coalesce(question, '') || {NL} || 'Answer:' AS prompt,
+       CASE WHEN contains(answer, '####') THEN regexp_extract(answer, '####\\s*(.*)', 1) END AS answer
+     FROM wa)"""
+
+
+def _per_conv(line: str, suffix: str = "''") -> str:
+    return f"""SELECT conv_id, string_agg({line}, '' ORDER BY turn) || {suffix} AS text
+               FROM conversations GROUP BY conv_id"""
+
+
+ORACLES.update({
+    "format_instruction": f"""
+        WITH u AS (SELECT conv_id, turn, text AS instruction FROM conversations WHERE role = 'user'),
+        a AS (SELECT conv_id, turn - 1 AS turn, text AS output FROM conversations WHERE role = 'assistant'),
+        s AS (SELECT conv_id, arg_min(text, turn) AS input FROM conversations
+              WHERE role = 'system' GROUP BY conv_id)
+        SELECT u.conv_id, u.turn,
+          CASE WHEN coalesce(s.input, '') <> ''
+            THEN '### Instruction:' || {NL} || coalesce(u.instruction, '') || {NL} || {NL}
+                 || '### Input:' || {NL} || coalesce(s.input, '') || {NL} || {NL}
+                 || '### Response:' || {NL} || coalesce(a.output, '')
+            ELSE '### Instruction:' || {NL} || coalesce(u.instruction, '') || {NL} || {NL}
+                 || '### Response:' || {NL} || coalesce(a.output, '') END AS text
+        FROM u JOIN a USING (conv_id, turn) LEFT JOIN s USING (conv_id)""",
+    "format_roles": _per_conv(
+        f"CASE WHEN role = 'user' THEN '### Human: ' ELSE '### Assistant: ' END"
+        f" || coalesce(text, '') || {NL}"),
+    "chat_custom": _per_conv(
+        f"'### ' || upper(left(role, 1)) || lower(substring(role, 2)) || ': '"
+        f" || coalesce(text, '') || {NL}", "'### Assistant: '"),
+    "chat_chatml": _per_conv(
+        f"'<|im_start|>' || role || {NL} || coalesce(text, '') || '<|im_end|>' || {NL}",
+        f"'<|im_start|>assistant' || {NL}"),
+    "format_mmlu": f"WITH {_MC}, {_MMLU} SELECT item_id, prompt, label FROM mm",
+    "format_gsm8k": f"WITH {_WA} SELECT item_id, prompt, answer FROM gs",
+    "extract_answer": f"WITH {_WA} SELECT item_id, answer FROM gs",
+    "few_shot": f"""WITH {_MC}, {_MMLU},
+        r AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY item_id) AS rn FROM mm),
+        s AS (SELECT subject, string_agg(prompt || ' ' || coalesce(label, '') || {NL} || {NL}, ''
+                                         ORDER BY rn) AS shots
+              FROM r WHERE rn <= 5 GROUP BY subject)
+        SELECT r.item_id, r.subject, s.shots || r.prompt AS prompt, r.label
+        FROM r JOIN s USING (subject) WHERE r.rn > 5""",
+    "few_shot_gsm8k": f"""WITH {_WA},
+        r AS (SELECT *, row_number() OVER (ORDER BY item_id) AS rn FROM gs),
+        s AS (SELECT string_agg(prompt || ' ' || coalesce(answer, '') || {NL} || {NL}, ''
+                                ORDER BY rn) AS shots FROM r WHERE rn <= 3)
+        SELECT r.item_id, s.shots || r.prompt AS prompt, r.answer AS label
+        FROM r, s WHERE r.rn > 3""",
+})
