@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import preview
-from quarry.operators import prompts, quality
+from quarry.operators import dedup, prompts, quality
 from quarry.sources.tables import read_corpus, table, take_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,44 @@ def q_few_shot_gsm8k(spark, base):
     return prompts.few_shot(items, 3).select("item_id", "prompt", "label")
 
 
+def _signatures(spark, base):
+    return dedup.minhash_signatures(_docs(spark, base))
+
+
+def q_exact_dedup(spark, base):
+    return dedup.exact_dedup(_docs(spark, base)).select("doc_id")
+
+
+def q_shingles(spark, base):
+    return dedup.with_shingles(_docs(spark, base)).select(
+        "doc_id", F.size("shingles").cast("long").alias("n_shingles"))
+
+
+def q_minhash_signature(spark, base):
+    return _signatures(spark, base).select(
+        "doc_id", F.array_join("signature", " ").alias("signature"))
+
+
+def q_lsh_buckets(spark, base):
+    return dedup.lsh_buckets(dedup.band_keys(_signatures(spark, base)))
+
+
+def q_candidate_edges(spark, base):
+    return dedup.candidate_edges(dedup.band_keys(_signatures(spark, base)))
+
+
+def q_dup_clusters(spark, base):
+    return dedup.duplicate_clusters(_docs(spark, base))
+
+
+def q_minhash_dedup(spark, base):
+    return dedup.minhash_dedup(_docs(spark, base)).select("doc_id")
+
+
+def q_dup_removed(spark, base):
+    return dedup.duplicates_removed(_docs(spark, base)).select("doc_id", "cluster_id")
+
+
 QUERIES: dict[str, Query] = {
     "read_corpus": q_read_corpus,
     "take_first": q_take_first,
@@ -140,4 +178,12 @@ QUERIES: dict[str, Query] = {
     "extract_answer": q_extract_answer,
     "few_shot": q_few_shot,
     "few_shot_gsm8k": q_few_shot_gsm8k,
+    "exact_dedup": q_exact_dedup,
+    "shingles": q_shingles,
+    "minhash_signature": q_minhash_signature,
+    "lsh_buckets": q_lsh_buckets,
+    "candidate_edges": q_candidate_edges,
+    "dup_clusters": q_dup_clusters,
+    "minhash_dedup": q_minhash_dedup,
+    "dup_removed": q_dup_removed,
 }

@@ -164,3 +164,47 @@ ORACLES.update({
         SELECT r.item_id, s.shots || r.prompt AS prompt, r.answer AS label
         FROM r, s WHERE r.rn > 3""",
 })
+
+
+# --- deduplication ---------------------------------------------------------
+_NORM = "trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+_SHINGLES = f"""nw AS (SELECT doc_id, list_filter(string_split({_NORM}, ' '), lambda x: x <> '') AS ws
+                FROM documents),
+ni AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM nw),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM ni)"""
+_SIG = f"""{_SHINGLES},
+hv AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS h FROM sh),
+co AS (SELECT j,
+         ('0x' || substr(md5('minhash:1:' || j || ':a'), 1, 8))::BIGINT % 2147483646 + 1 AS a,
+         ('0x' || substr(md5('minhash:1:' || j || ':b'), 1, 8))::BIGINT % 2147483647 AS b
+       FROM range(0, 160) r(j)),
+mn AS (SELECT hv.doc_id, co.j, min((co.a * hv.h + co.b) % 2147483647) AS v
+       FROM hv, co GROUP BY hv.doc_id, co.j),
+bk AS (SELECT doc_id, (j // 8)::INTEGER AS band, md5(string_agg(v::VARCHAR, ' ' ORDER BY j)) AS bucket
+       FROM mn GROUP BY doc_id, j // 8),
+lb AS (SELECT band, bucket, count(*) AS n_docs, min(doc_id) AS min_doc_id
+       FROM bk GROUP BY band, bucket HAVING count(*) > 1),
+ed AS (SELECT DISTINCT bk.doc_id AS src, lb.min_doc_id AS dst
+       FROM bk JOIN lb USING (band, bucket) WHERE bk.doc_id <> lb.min_doc_id)"""
+_CLUSTERS = f"""WITH RECURSIVE {_SIG},
+un AS (SELECT src AS a, dst AS b FROM ed UNION SELECT dst, src FROM ed),
+reach(node, root) AS (
+  SELECT a, a FROM un
+  UNION
+  SELECT un.b, reach.root FROM reach JOIN un ON un.a = reach.node),
+cl AS (SELECT node AS doc_id, min(root) AS cluster_id FROM reach GROUP BY node)"""
+
+ORACLES.update({
+    "exact_dedup": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_NORM}",
+    "shingles": f"""WITH {_SHINGLES}
+        SELECT nw.doc_id, count(sh.s) AS n_shingles FROM nw LEFT JOIN sh USING (doc_id)
+        GROUP BY nw.doc_id""",
+    "minhash_signature": f"""WITH {_SIG}
+        SELECT doc_id, string_agg(v::VARCHAR, ' ' ORDER BY j) AS signature FROM mn GROUP BY doc_id""",
+    "lsh_buckets": f"WITH {_SIG} SELECT band, bucket, n_docs, min_doc_id FROM lb",
+    "candidate_edges": f"WITH {_SIG} SELECT src, dst FROM ed",
+    "dup_clusters": f"{_CLUSTERS} SELECT doc_id, cluster_id FROM cl",
+    "minhash_dedup": f"""{_CLUSTERS} SELECT doc_id FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM cl WHERE doc_id <> cluster_id)""",
+    "dup_removed": f"{_CLUSTERS} SELECT doc_id, cluster_id FROM cl WHERE doc_id <> cluster_id",
+})
