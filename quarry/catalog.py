@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import preview
-from quarry.operators import dedup, prompts, quality
+from quarry.operators import dedup, packing, prompts, quality, tokens
 from quarry.sources.tables import read_corpus, table, take_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,123 @@ def q_dup_removed(spark, base):
     return dedup.duplicates_removed(_docs(spark, base)).select("doc_id", "cluster_id")
 
 
+# Token-id conventions: bytes 0-255, learned merges from 256, special ids
+# right after the last merge.
+BPE_MERGES = 10
+BYTE_EOS = 256
+
+
+def _specials(n_merges: int) -> dict[str, int]:
+    base = 256 + n_merges
+    return {prompts.EOS_TOKEN: base, prompts.IM_START: base + 1, prompts.IM_END: base + 2}
+
+
+def _ids_str(c):
+    return F.array_join(c, " ")
+
+
+def _byte_ids(spark, base):
+    return _docs(spark, base).select("doc_id", tokens.byte_tokens(F.col("text")).alias("ids"))
+
+
+def q_byte_tokens(spark, base):
+    return _byte_ids(spark, base).select("doc_id", _ids_str(F.col("ids")).alias("tokens"))
+
+
+def q_pair_counts(spark, base):
+    sym = _docs(spark, base).select("doc_id", tokens.byte_symbols(F.col("text")).alias("sym"))
+    return tokens.pair_counts(sym).select("left_id", "right_id", "n")
+
+
+def _trained(spark, base, n):
+    docs = _docs(spark, base)
+    return docs, tokens.bpe_train(docs, n)
+
+
+def q_bpe_merge(spark, base):
+    docs, merges = _trained(spark, base, 1)
+    return docs.select("doc_id", _ids_str(tokens.bpe_encode(F.col("text"), merges)).alias("tokens"))
+
+
+def q_bpe_train(spark, base):
+    _, merges = _trained(spark, base, BPE_MERGES)
+    return tokens.merges_frame(spark, merges)
+
+
+def q_bpe_encode(spark, base):
+    docs, merges = _trained(spark, base, BPE_MERGES)
+    enc = docs.select("doc_id", tokens.bpe_encode(F.col("text"), merges).alias("ids"))
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      _ids_str(F.col("ids")).alias("tokens"))
+
+
+def q_bpe_decode(spark, base):
+    docs, merges = _trained(spark, base, BPE_MERGES)
+    enc = docs.select("doc_id", tokens.bpe_encode(F.col("text"), merges).alias("ids"))
+    return enc.select("doc_id", tokens.bpe_decode(F.col("ids"), merges).alias("text"))
+
+
+def q_token_pieces(spark, base):
+    docs, merges = _trained(spark, base, BPE_MERGES)
+    enc = docs.select("doc_id", F.posexplode(tokens.bpe_encode(F.col("text"), merges))
+                      .alias("pos", "token_id"))
+    vocab = tokens.vocabulary(spark, merges).select("token_id", "piece_hex")
+    from quarry.plans.joins import join_small
+    return join_small(enc, vocab, "token_id", max_rows=256 + len(merges)).select(
+        "doc_id", "pos", "token_id", "piece_hex")
+
+
+def q_chat_tokenized(spark, base):
+    docs, merges = _trained(spark, base, BPE_MERGES)
+    chat = prompts.chat_chatml(_conv(spark, base))
+    ids = tokens.bpe_encode(F.col("text"), merges, _specials(len(merges)))
+    enc = chat.select("conv_id", ids.alias("ids"))
+    return enc.select("conv_id", F.size("ids").cast("long").alias("n_tokens"),
+                      _ids_str(F.col("ids")).alias("tokens"))
+
+
+def q_token_stats(spark, base):
+    d = _docs(spark, base).select("lang", F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+                                  .alias("n_tokens"))
+    return tokens.token_stats(d, by=["lang"])
+
+
+def q_token_histogram(spark, base):
+    d = _docs(spark, base).select(F.octet_length(F.coalesce("text", F.lit(""))).alias("n_tokens"))
+    return tokens.token_histogram(d, [2048, 4096, 32768, 131072])
+
+
+def _padded(spark, base):
+    ids, mask = tokens.truncate_pad(F.col("ids"), 256, BYTE_EOS)
+    return _byte_ids(spark, base).select("doc_id", ids.alias("input_ids"), mask.alias("mask"))
+
+
+def q_truncate_pad(spark, base):
+    return _padded(spark, base).select("doc_id", _ids_str(F.col("input_ids")).alias("input_ids"),
+                                       _ids_str(F.col("mask")).alias("attention_mask"))
+
+
+def q_lm_labels(spark, base):
+    return _padded(spark, base).select(
+        "doc_id", _ids_str(tokens.lm_labels(F.col("input_ids"), BYTE_EOS)).alias("labels"))
+
+
+def q_append_eos(spark, base):
+    ids = tokens.append_eos(F.col("ids"), BYTE_EOS)
+    return _byte_ids(spark, base).select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
+                                         F.element_at(ids, -1).alias("last_id"))
+
+
+def q_pack_tokens(spark, base):
+    return packing.pack_tokens(_byte_ids(spark, base), 1024, BYTE_EOS).select(
+        "block_id", _ids_str(F.col("tokens")).alias("tokens"))
+
+
+def q_pack_report(spark, base):
+    d = _docs(spark, base).select(F.octet_length(F.coalesce("text", F.lit(""))).alias("n_tokens"))
+    return packing.pack_report(d, 1024, BYTE_EOS)
+
+
 QUERIES: dict[str, Query] = {
     "read_corpus": q_read_corpus,
     "take_first": q_take_first,
@@ -186,4 +303,19 @@ QUERIES: dict[str, Query] = {
     "dup_clusters": q_dup_clusters,
     "minhash_dedup": q_minhash_dedup,
     "dup_removed": q_dup_removed,
+    "byte_tokens": q_byte_tokens,
+    "pair_counts": q_pair_counts,
+    "bpe_merge": q_bpe_merge,
+    "bpe_train": q_bpe_train,
+    "bpe_encode": q_bpe_encode,
+    "bpe_decode": q_bpe_decode,
+    "token_pieces": q_token_pieces,
+    "chat_tokenized": q_chat_tokenized,
+    "token_stats": q_token_stats,
+    "token_histogram": q_token_histogram,
+    "truncate_pad": q_truncate_pad,
+    "lm_labels": q_lm_labels,
+    "append_eos": q_append_eos,
+    "pack_tokens": q_pack_tokens,
+    "pack_report": q_pack_report,
 }

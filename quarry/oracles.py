@@ -208,3 +208,94 @@ ORACLES.update({
         WHERE doc_id NOT IN (SELECT doc_id FROM cl WHERE doc_id <> cluster_id)""",
     "dup_removed": f"{_CLUSTERS} SELECT doc_id, cluster_id FROM cl WHERE doc_id <> cluster_id",
 })
+
+
+# --- tokens ----------------------------------------------------------------
+_BYTES = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::INTEGER)"
+_BYTE_IDS = f"byt AS (SELECT doc_id, {_BYTES} AS ids FROM documents)"
+
+
+def _bpe_ctes(n_rounds: int, src: str = "documents") -> str:
+    """Unrolled training: symbols are chr(id + 256); each round counts
+    adjacent pairs, takes the most frequent (earliest on ties) and replaces."""
+    ctes = [f"""s0 AS MATERIALIZED (SELECT doc_id, array_to_string(list_transform({_BYTES},
+                  lambda b: chr(b + 256)), '') AS s FROM {src})"""]
+    for r in range(n_rounds):
+        ctes.append(f"""p{r} AS MATERIALIZED (SELECT pair, count(*) AS n, min({{'d': doc_id, 'i': i}}) AS first
+              FROM (SELECT doc_id, i, l[i] || l[i + 1] AS pair
+                    FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i
+                          FROM (SELECT doc_id, string_split(s, '') AS l FROM s{r})))
+              GROUP BY pair),
+t{r} AS MATERIALIZED (SELECT {r} AS rank, pair FROM p{r} ORDER BY n DESC, first ASC LIMIT 1),
+s{r + 1} AS MATERIALIZED (SELECT doc_id, coalesce(replace(s, (SELECT pair FROM t{r}), chr({256 + r} + 256)), s) AS s
+              FROM s{r})""")
+    merges = " UNION ALL ".join(f"SELECT * FROM t{r}" for r in range(n_rounds))
+    ctes.append(f"""mg AS (SELECT rank::INTEGER AS rank,
+                      (unicode(substr(pair, 1, 1)) - 256)::INTEGER AS left_id,
+                      (unicode(substr(pair, 2, 1)) - 256)::INTEGER AS right_id,
+                      (256 + rank)::INTEGER AS new_id FROM ({merges}))""")
+    ctes.append(f"""enc AS (SELECT doc_id, CASE WHEN s = '' THEN []::INTEGER[] ELSE
+                      list_transform(string_split(s, ''), lambda c: (unicode(c) - 256)::INTEGER) END AS ids
+                    FROM s{n_rounds})""")
+    return ",\n".join(ctes)
+
+
+def _vocab_ctes(n_rounds: int) -> str:
+    parts = ["v0 AS (SELECT i::INTEGER AS token_id, printf('%02X', i) AS piece_hex FROM range(0, 256) r(i))"]
+    for r in range(n_rounds):
+        parts.append(f"""v{r + 1} AS (SELECT * FROM v{r} UNION ALL
+            SELECT mg.new_id, l.piece_hex || rr.piece_hex FROM mg
+            JOIN v{r} l ON l.token_id = mg.left_id JOIN v{r} rr ON rr.token_id = mg.right_id
+            WHERE mg.rank = {r})""")
+    return ",\n".join(parts)
+
+
+ORACLES.update({
+    "byte_tokens": f"WITH {_BYTE_IDS} SELECT doc_id, array_to_string(ids, ' ') AS tokens FROM byt",
+    "pair_counts": f"""WITH {_BYTE_IDS},
+        pr AS (SELECT ids[i] AS left_id, ids[i + 1] AS right_id
+               FROM (SELECT ids, unnest(range(1, len(ids))) AS i FROM byt))
+        SELECT left_id, right_id, count(*) AS n FROM pr GROUP BY left_id, right_id""",
+    "bpe_merge": f"WITH {_bpe_ctes(1)} SELECT doc_id, array_to_string(ids, ' ') AS tokens FROM enc",
+    "bpe_train": f"WITH {_bpe_ctes(10)} SELECT rank, left_id, right_id, new_id FROM mg",
+    "bpe_encode": f"""WITH {_bpe_ctes(10)}
+        SELECT doc_id, len(ids)::BIGINT AS n_tokens, array_to_string(ids, ' ') AS tokens FROM enc""",
+    "bpe_decode": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "token_pieces": f"""WITH {_bpe_ctes(10)}, {_vocab_ctes(10)},
+        ex AS (SELECT doc_id, unnest(range(0, len(ids))) AS pos, ids FROM enc)
+        SELECT ex.doc_id, ex.pos::INTEGER AS pos, ex.ids[ex.pos + 1] AS token_id, v.piece_hex
+        FROM ex JOIN v10 v ON v.token_id = ex.ids[ex.pos + 1]""",
+    "token_stats": """SELECT lang, round(avg(strlen(coalesce(text, ''))), 2) AS avg_tokens,
+        max(strlen(coalesce(text, '')))::BIGINT AS max_tokens,
+        min(strlen(coalesce(text, '')))::BIGINT AS min_tokens FROM documents GROUP BY lang""",
+    "token_histogram": """SELECT m.max_len::INTEGER AS max_len,
+        count(d.doc_id) AS n_fit,
+        round(count(d.doc_id) / (SELECT count(*) FROM documents), 6) AS share
+        FROM (VALUES (2048), (4096), (32768), (131072)) m(max_len)
+        LEFT JOIN documents d ON strlen(coalesce(d.text, '')) <= m.max_len GROUP BY m.max_len""",
+    "truncate_pad": f"""WITH {_BYTE_IDS},
+        tp AS (SELECT doc_id, ids[1:256] AS cut FROM byt)
+        SELECT doc_id,
+          array_to_string(list_concat(cut, list_transform(range(256 - len(cut)), lambda x: 256)), ' ') AS input_ids,
+          array_to_string(list_concat(list_transform(cut, lambda x: 1),
+                                      list_transform(range(256 - len(cut)), lambda x: 0)), ' ') AS attention_mask
+        FROM tp""",
+    "lm_labels": f"""WITH {_BYTE_IDS},
+        tp AS (SELECT doc_id, ids[1:256] AS cut FROM byt)
+        SELECT doc_id, array_to_string(list_transform(
+          list_concat(cut, list_transform(range(256 - len(cut)), lambda x: 256)),
+          lambda x: CASE WHEN x = 256 THEN -100 ELSE x END), ' ') AS labels FROM tp""",
+    "append_eos": """SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS n_tokens, 256 AS last_id
+        FROM documents""",
+    "pack_tokens": f"""WITH {_BYTE_IDS},
+        tok AS (SELECT doc_id, list_append(ids, 256) AS ids FROM byt),
+        off AS (SELECT doc_id, ids, coalesce(sum(len(ids)) OVER (ORDER BY doc_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM tok),
+        flat AS (SELECT o + i - 1 AS gpos, ids[i] AS t FROM (SELECT o, ids, unnest(range(1, len(ids) + 1)) AS i FROM off)),
+        tot AS (SELECT count(*) AS total FROM flat)
+        SELECT (gpos // 1024)::BIGINT AS block_id, string_agg(t::VARCHAR, ' ' ORDER BY gpos) AS tokens
+        FROM flat, tot WHERE gpos < (total // 1024) * 1024 GROUP BY gpos // 1024""",
+    "pack_report": """WITH t AS (SELECT count(*) AS n_docs, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS total FROM documents)
+        SELECT n_docs, total AS total_tokens, (total // 1024)::BIGINT AS n_blocks,
+               (total % 1024)::BIGINT AS dropped_tokens FROM t""",
+})

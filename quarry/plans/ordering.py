@@ -53,15 +53,15 @@ def prefix_sum(df: DataFrame, order_by: list[str], weight: Column | None = None,
     before = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, BUCKET,
-                            F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+                            F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_boff"))
     within = Window.partitionBy(*parts, BUCKET).orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumn("_in", F.coalesce(F.sum("_w").over(within), F.lit(0)))
     # Without partition columns the offsets table has at most n_buckets rows.
     joined = join_small(rows, offsets, [*parts, BUCKET],
                         max_rows=None if parts else n_buckets)
-    return joined.withColumn(out, F.col("_off") + F.col("_in")).drop(
-        BUCKET, "_w", "_off", "_in")
+    return joined.withColumn(out, F.col("_boff") + F.col("_in")).drop(
+        BUCKET, "_w", "_boff", "_in")
 
 
 def row_rank(df: DataFrame, order_by: list[str], partition_by: list[str] | None = None,
