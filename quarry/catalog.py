@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import preview
-from quarry.operators import dedup, packing, prompts, quality, tokens
+from quarry.operators import budget, dedup, mixing, packing, prompts, quality, tokens, vectors
+from quarry.plans.parallel import spread
 from quarry.sources.tables import read_corpus, table, take_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +22,7 @@ TEST_KEYWORDS = ["worthless", "license", "und"]
 
 
 def _docs(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "documents")
+    return spread(table(spark, base, "documents"))
 
 
 def q_read_corpus(spark, base):
@@ -274,6 +275,79 @@ def q_pack_report(spark, base):
     return packing.pack_report(d, 1024, BYTE_EOS)
 
 
+def _grouped_docs(spark, base):
+    d = _docs(spark, base)
+    return d.select("doc_id", "text", mixing.source_group(F.col("source")).alias("source"))
+
+
+def _mixed(spark, base):
+    return mixing.mix_sources(_grouped_docs(spark, base).select("doc_id", "source"))
+
+
+def q_mix_sources(spark, base):
+    return _mixed(spark, base).select("pos", "source", "doc_id")
+
+
+def q_seeded_shuffle(spark, base):
+    return mixing.seeded_shuffle(_docs(spark, base).select("doc_id")).select("pos", "doc_id")
+
+
+def q_mix_report(spark, base):
+    return mixing.mix_report(_mixed(spark, base), 1000)
+
+
+def _emb(spark, base):
+    return table(spark, base, "embeddings")
+
+
+def q_quantize_absmax(spark, base):
+    out = vectors.absmax_quantize(_emb(spark, base), "label")
+    return out.select("vec_id", "scale", _ids_str(F.col("q")).alias("q"))
+
+
+def q_quantize_zeropoint(spark, base):
+    out = vectors.zeropoint_quantize(_emb(spark, base), "label")
+    return out.select("vec_id", "scale", "zero_point", _ids_str(F.col("q")).alias("q"))
+
+
+def _restored(spark, base):
+    e = _emb(spark, base)
+    a = vectors.absmax_quantize(e, "label").select(
+        "vec_id", "label", "embedding", F.lit("absmax").alias("method"),
+        vectors.dequantize_absmax(F.col("q"), F.col("scale")).alias("values"))
+    z = vectors.zeropoint_quantize(e, "label").select(
+        "vec_id", "label", "embedding", F.lit("zeropoint").alias("method"),
+        vectors.dequantize_zeropoint(F.col("q"), F.col("scale"), F.col("zero_point")).alias("values"))
+    return a.unionByName(z)
+
+
+def q_dequantize(spark, base):
+    return _restored(spark, base).select("vec_id", "method", F.posexplode("values").alias("idx", "value"))
+
+
+def q_quantize_error(spark, base):
+    r = _restored(spark, base)
+    per = r.select("label", "method", vectors.squared_error_sum(F.col("embedding"), F.col("values")).alias("se"),
+                   F.size("embedding").alias("n"))
+    return per.groupBy("label", "method").agg(
+        F.round(F.sum("se") / F.sum("n"), 12).alias("mse"))
+
+
+def q_embedding_lookup(spark, base):
+    ids = _byte_ids(spark, base)
+    table_ = _emb(spark, base).select(
+        "vec_id", F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0),
+                                              lambda acc, x: acc + x.cast("double") * x.cast("double"))), 6)
+        .alias("norm"))
+    return vectors.embedding_lookup(ids, table_).select("doc_id", "pos", "vec_id", "norm")
+
+
+def q_token_budget(spark, base):
+    d = _grouped_docs(spark, base).select(
+        "source", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n_tokens"))
+    return budget.token_budget(d, dict(zip(mixing.MIX_SOURCES, mixing.MIX_PROBABILITIES)), 1e21)
+
+
 QUERIES: dict[str, Query] = {
     "read_corpus": q_read_corpus,
     "take_first": q_take_first,
@@ -318,4 +392,13 @@ QUERIES: dict[str, Query] = {
     "append_eos": q_append_eos,
     "pack_tokens": q_pack_tokens,
     "pack_report": q_pack_report,
+    "mix_sources": q_mix_sources,
+    "seeded_shuffle": q_seeded_shuffle,
+    "mix_report": q_mix_report,
+    "quantize_absmax": q_quantize_absmax,
+    "quantize_zeropoint": q_quantize_zeropoint,
+    "dequantize": q_dequantize,
+    "quantize_error": q_quantize_error,
+    "embedding_lookup": q_embedding_lookup,
+    "token_budget": q_token_budget,
 }

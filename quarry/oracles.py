@@ -7,6 +7,8 @@ Column names match the Spark output.
 
 from __future__ import annotations
 
+from math import sqrt
+
 from quarry.operators.quality import GOPHER_STOP_WORDS, LANGUAGE_STOP_WORDS
 
 WS = r"[ \t\n\x0B\f\r]+"
@@ -299,3 +301,92 @@ ORACLES.update({
         SELECT n_docs, total AS total_tokens, (total // 1024)::BIGINT AS n_blocks,
                (total % 1024)::BIGINT AS dropped_tokens FROM t""",
 })
+
+
+# --- mixing ----------------------------------------------------------------
+def _thresholds(probs):
+    total, cum, out = float(sum(probs)), 0.0, []
+    for p in probs:
+        cum += p / total
+        out.append(min(1 << 32, int(round(cum * (1 << 32)))))
+    return out
+
+
+_T = _thresholds([0.5, 0.3, 0.2])
+_GROUP = ("CASE WHEN TRY_CAST(substr(source, 4) AS INTEGER) < 10 THEN 'web' "
+          "WHEN TRY_CAST(substr(source, 4) AS INTEGER) < 16 THEN 'knowledge' ELSE 'code' END")
+_MIX = f"""dr AS (SELECT r.pos, CASE WHEN u < {_T[0]} THEN 'web' WHEN u < {_T[1]} THEN 'knowledge' ELSE 'code' END AS source
+       FROM (SELECT pos, ('0x' || substr(md5('42:' || pos), 1, 8))::BIGINT AS u
+             FROM range(0, (SELECT count(*) - 2 FROM documents)) r(pos)) r),
+rd AS (SELECT pos, source, row_number() OVER (PARTITION BY source ORDER BY pos) AS rk FROM dr),
+sd AS (SELECT doc_id, {_GROUP} AS source FROM documents),
+rs AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rk,
+              count(*) OVER (PARTITION BY source) AS n FROM sd),
+jn AS (SELECT rd.pos, rd.source, rs.doc_id, rs.rk = rs.n AS last FROM rd JOIN rs USING (source, rk)),
+mx AS (SELECT pos, source, doc_id FROM jn WHERE pos <= (SELECT min(pos) FROM jn WHERE last))"""
+
+ORACLES.update({
+    "mix_sources": f"WITH {_MIX} SELECT pos, source, doc_id FROM mx",
+    "seeded_shuffle": """SELECT row_number() OVER (ORDER BY ('0x' || substr(md5('42:shuffle:' || doc_id), 1, 15))::BIGINT,
+                                doc_id) - 1 AS pos, doc_id FROM documents""",
+    "mix_report": f"""WITH {_MIX},
+        fs AS (SELECT source FROM mx ORDER BY ('0x' || substr(md5('42:shuffle:' || pos), 1, 15))::BIGINT, pos
+               LIMIT 1000)
+        SELECT source, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM fs), 2) AS pct
+        FROM fs GROUP BY source""",
+})
+
+# --- vectors ---------------------------------------------------------------
+_AB = """ab AS (SELECT e.vec_id, e.label, e.embedding, g.m / 127.0 AS scale
+        FROM embeddings e JOIN (SELECT label, max(list_max(list_transform(embedding, lambda x: abs(x::DOUBLE)))) AS m
+                                FROM embeddings GROUP BY label) g USING (label)),
+abq AS (SELECT vec_id, label, embedding, scale,
+        list_transform(embedding, lambda x: greatest(-127.0, least(127.0,
+            coalesce(round_even(x::DOUBLE / nullif(scale, 0.0), 0), 0.0)))::TINYINT) AS q FROM ab)"""
+_ZP = """zg AS (SELECT label, max(list_max(list_transform(embedding, lambda x: x::DOUBLE))) AS mx,
+               min(list_min(list_transform(embedding, lambda x: x::DOUBLE))) AS mn FROM embeddings GROUP BY label),
+zs AS (SELECT e.vec_id, e.label, e.embedding, zg.mn,
+        CASE WHEN zg.mx - zg.mn = 0 THEN 1.0 ELSE zg.mx - zg.mn END / 255.0 AS scale
+        FROM embeddings e JOIN zg USING (label)),
+zpq AS (SELECT vec_id, label, embedding, scale, round_even(-mn / scale, 0) AS zero_point FROM zs),
+zq AS (SELECT vec_id, label, embedding, scale, zero_point,
+        list_transform(embedding, lambda x: greatest(0.0, least(255.0,
+            round_even(x::DOUBLE / scale + zero_point, 0)))::SMALLINT) AS q FROM zpq)"""
+_REST = f"""{_AB}, {_ZP},
+rst AS (SELECT vec_id, label, embedding, 'absmax' AS method,
+               list_transform(q, lambda x: x::DOUBLE * scale) AS vals FROM abq
+        UNION ALL
+        SELECT vec_id, label, embedding, 'zeropoint' AS method,
+               list_transform(q, lambda x: (x::DOUBLE - zero_point) * scale) AS vals FROM zq)"""
+
+_N_OPT = 0.079 * sqrt(1e21)
+_D_OPT = 2.1 * sqrt(1e21)
+
+ORACLES.update({
+    "quantize_absmax": f"WITH {_AB} SELECT vec_id, scale, array_to_string(q, ' ') AS q FROM abq",
+    "quantize_zeropoint": f"""WITH {_ZP}
+        SELECT vec_id, scale, zero_point, array_to_string(q, ' ') AS q FROM zq""",
+    "dequantize": f"""WITH {_REST}
+        SELECT vec_id, method, (i - 1)::INTEGER AS idx, vals[i] AS value
+        FROM (SELECT vec_id, method, vals, unnest(range(1, len(vals) + 1)) AS i FROM rst)""",
+    "quantize_error": f"""WITH {_REST},
+        per AS (SELECT label, method,
+                  list_sum(list_transform(range(1, len(vals) + 1),
+                           lambda i: pow(embedding[i]::DOUBLE - vals[i], 2))) AS se,
+                  len(embedding) AS n FROM rst)
+        SELECT label, method, round(sum(se) / sum(n), 12) AS mse FROM per GROUP BY label, method""",
+    "embedding_lookup": f"""WITH {_BYTE_IDS},
+        ex AS (SELECT doc_id, unnest(range(0, len(ids))) AS pos, ids FROM byt),
+        nv AS (SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm
+               FROM embeddings)
+        SELECT ex.doc_id, ex.pos::INTEGER AS pos, nv.vec_id, nv.norm
+        FROM ex JOIN nv ON nv.vec_id = ex.ids[ex.pos + 1]""",
+    "token_budget": f"""WITH t AS (SELECT {_GROUP} AS source, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS tokens
+                          FROM documents GROUP BY 1),
+        s AS (SELECT * FROM (VALUES ('web', 0.5), ('knowledge', 0.3), ('code', 0.2)) v(source, share))
+        SELECT t.source, t.tokens,
+          round({_D_OPT!r}::DOUBLE * s.share::DOUBLE, 3) AS target_tokens,
+          round({_D_OPT!r}::DOUBLE * s.share::DOUBLE / t.tokens, 6) AS epochs,
+          round({406.4 / _N_OPT ** 0.34!r}::DOUBLE + 410.7::DOUBLE / pow(t.tokens::DOUBLE, 0.28::DOUBLE) + 1.69::DOUBLE, 6) AS loss
+        FROM t JOIN s USING (source)""",
+})
