@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import preview
-from quarry.operators import budget, dedup, mixing, packing, prompts, quality, tokens, vectors
+from quarry.operators import (budget, classifier, dedup, mixing, packing, prompts, quality,
+                              tokens, vectors)
+from quarry.session import scratch_path
+from quarry.sources.tables import DOCUMENT_SCHEMA, read_jsonl, write_jsonl
+from quarry.streaming.filter_stream import stream_filter
 from quarry.plans.parallel import spread
 from quarry.sources.tables import read_corpus, table, take_first
 
@@ -348,6 +352,27 @@ def q_token_budget(spark, base):
     return budget.token_budget(d, dict(zip(mixing.MIX_SOURCES, mixing.MIX_PROBABILITIES)), 1e21)
 
 
+def q_jsonl_roundtrip(spark, base):
+    path = scratch_path(spark, "jsonl")
+    write_jsonl(_docs(spark, base), path)
+    return read_jsonl(spark, path).drop("_corrupt_record")
+
+
+def q_stream_filter(spark, base):
+    def annotate(df):
+        return quality.gopher_annotate(df).select("doc_id", "kept", "reason")
+    return stream_filter(spark, base, DOCUMENT_SCHEMA, annotate, glob="documents.parquet")
+
+
+def q_quality_classifier(spark, base):
+    return classifier.quality_classifier(_docs(spark, base), table(spark, base, "labels"))
+
+
+def q_flagship(spark, base):
+    from quarry.flagship import flagship
+    return flagship(spark, base)
+
+
 QUERIES: dict[str, Query] = {
     "read_corpus": q_read_corpus,
     "take_first": q_take_first,
@@ -401,4 +426,8 @@ QUERIES: dict[str, Query] = {
     "quantize_error": q_quantize_error,
     "embedding_lookup": q_embedding_lookup,
     "token_budget": q_token_budget,
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "stream_filter": q_stream_filter,
+    "quality_classifier": q_quality_classifier,
+    "flagship": q_flagship,
 }

@@ -170,10 +170,14 @@ ORACLES.update({
 
 # --- deduplication ---------------------------------------------------------
 _NORM = "trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
-_SHINGLES = f"""nw AS (SELECT doc_id, list_filter(string_split({_NORM}, ' '), lambda x: x <> '') AS ws
-                FROM documents),
+def _shingles_cte(src: str = "documents") -> str:
+    return f"""nw AS (SELECT doc_id, list_filter(string_split({_NORM}, ' '), lambda x: x <> '') AS ws
+                FROM {src}),
 ni AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM nw),
 sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM ni)"""
+
+
+_SHINGLES = _shingles_cte()
 _SIG = f"""{_SHINGLES},
 hv AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS h FROM sh),
 co AS (SELECT j,
@@ -390,3 +394,16 @@ ORACLES.update({
           round({406.4 / _N_OPT ** 0.34!r}::DOUBLE + 410.7::DOUBLE / pow(t.tokens::DOUBLE, 0.28::DOUBLE) + 1.69::DOUBLE, 6) AS loss
         FROM t JOIN s USING (source)""",
 })
+
+ORACLES.update({
+    "jsonl_roundtrip": "SELECT doc_id, coalesce(text, '') AS text, lang, source, n_chars FROM documents",
+    "stream_filter": ORACLES["split_kept_removed"],
+    "flagship": f"""WITH RECURSIVE {gopher_reason_cte()}, kept AS (SELECT d.doc_id, d.text FROM documents d
+            JOIN g USING (doc_id) WHERE g.reason IS NULL),
+        {_CLUSTERS.replace("WITH RECURSIVE ", "").replace(_SHINGLES, _shingles_cte("kept"))},
+        cur AS (SELECT doc_id, text FROM kept
+                WHERE doc_id NOT IN (SELECT doc_id FROM cl WHERE doc_id <> cluster_id)),
+        t AS (SELECT count(*) AS n_docs, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS total FROM cur)
+        SELECT n_docs, total AS total_tokens, (total // 1024)::BIGINT AS n_blocks,
+               (total % 1024)::BIGINT AS dropped_tokens, (total // 1024)::BIGINT AS n_packed FROM t""",
+})
