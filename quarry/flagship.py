@@ -15,9 +15,14 @@ BLOCK = 1024
 
 
 def curated(spark: SparkSession, base: str) -> DataFrame:
+    """Quality-filtered, near-deduplicated ``(doc_id, text)``, written once to
+    the shared checkpoint folder: the packing stage reads it several times
+    (quantile pass, prefix sums, report) and must not redo filter + dedup."""
     docs = spread(table(spark, base, "documents")).select("doc_id", "text")
-    kept = quality.gopher_filter(docs)
-    return dedup.minhash_dedup(kept)
+    # The filtered corpus is read twice by deduplication (signatures and the
+    # final anti-join): write it once, like a stage output table.
+    kept = quality.gopher_filter(docs).checkpoint()
+    return dedup.minhash_dedup(kept).checkpoint()
 
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:

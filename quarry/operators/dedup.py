@@ -70,8 +70,11 @@ def with_shingles(df: DataFrame, text_col: str = "text", n: int = 5,
     lambda indexes it instead of re-splitting the text per position."""
     w = df.withColumn("_w", normalised_words(F.coalesce(F.col(text_col), F.lit(""))))
     k = F.size("_w")
-    grams = F.transform(F.sequence(F.lit(0), k - n),
-                        lambda i: F.array_join(F.slice("_w", i + 1, n), " "))
+    # n shifted views of the word array, zipped: element i holds words
+    # i .. i+n-1 (native array ops; one small lambda joins each n-gram).
+    views = [F.slice("_w", j + 1, k - (n - 1)).alias(f"w{j}") for j in range(n)]
+    grams = F.transform(F.arrays_zip(*views),
+                        lambda z: F.concat_ws(" ", *[z[f"w{j}"] for j in range(n)]))
     return w.withColumn(out, F.array_distinct(
         F.when(k >= n, grams).otherwise(F.array().cast("array<string>")))).drop("_w")
 

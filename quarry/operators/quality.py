@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_or_empty, whole_word_pattern, words
+from quarry.plans.parallel import filter_fenced
 from quarry.sources.tables import take_first
 
 # The Gopher stop-word list (Rae et al. 2021, appendix A).
@@ -95,7 +96,8 @@ def gopher_annotate(df: DataFrame, text_col: str = "text",
 
 def gopher_filter(df: DataFrame, text_col: str = "text",
                   rules: GopherRules = GopherRules()) -> DataFrame:
-    return _gopher_columns(df, text_col, rules).filter(F.col("reason").isNull()).drop("reason")
+    flagged = _gopher_columns(df, text_col, rules).withColumn("_ok", F.col("reason").isNull())
+    return filter_fenced(flagged.drop("reason"), "_ok")
 
 
 def gopher_reasons(df: DataFrame, text_col: str = "text",
@@ -144,7 +146,8 @@ def language_filter(df: DataFrame, languages: list[str], min_score: float = 0.0,
     """Keep rows whose predicted language is listed and scores at least
     ``min_score``."""
     out = language_annotate(df, text_col)
-    return out.filter(F.col("predicted").isin(languages) & (F.col("score") >= min_score))
+    out = out.withColumn("_ok", F.col("predicted").isin(languages) & (F.col("score") >= min_score))
+    return filter_fenced(out, "_ok")
 
 
 # The history keywords of the topic collection step.

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_or_empty
+from quarry.plans.ordering import row_rank
+from quarry.plans.parallel import spread
 
 SURROGATE_LO, SURROGATE_HI = 0xD800, 0xE000
 
@@ -108,16 +110,21 @@ PAIRS = r"(?s)(?=(..))"
 
 
 def pair_counts(sym_df: DataFrame, sym_col: str = "sym", id_col: str = "doc_id",
-                weight_col: str | None = None) -> DataFrame:
+                weight_col: str | None = None, packed_first: bool = False) -> DataFrame:
     """Adjacent pair counts (overlapping occurrences counted) with the first
     occurrence ``(doc_id, position)``: ``left_id, right_id, n, first``.
-    Pairs never cross rows. Partial aggregation keeps one entry per distinct
-    pair and task before the shuffle."""
+    Pairs never cross rows. With ``packed_first`` the id is a dense chunk
+    rank below 2^32 and the first occurrence is the single bigint
+    ``rank * 2^31 + position``, which keeps the aggregation a fixed-width
+    hash aggregation (a struct minimum would force a sort aggregation)."""
     w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
     exploded = sym_df.select(F.col(id_col).alias("doc_id"), w.alias("_w"), F.posexplode(
         F.regexp_extract_all(F.col(sym_col), F.lit(PAIRS), 1)).alias("pos", "pair"))
-    agg = exploded.groupBy("pair").agg(F.sum("_w").alias("n"),
-                                       F.min(F.struct("doc_id", "pos")).alias("first"))
+    if packed_first:
+        first = F.min(F.col("doc_id") * F.lit(1 << 31) + F.col("pos")).alias("first")
+    else:
+        first = F.min(F.struct("doc_id", "pos")).alias("first")
+    agg = exploded.groupBy("pair").agg(F.sum("_w").alias("n"), first)
     return agg.select(_sym_id(F.substring("pair", 1, 1)).alias("left_id"),
                       _sym_id(F.substring("pair", 2, 1)).alias("right_id"), "n", "first")
 
@@ -162,11 +169,19 @@ def bpe_train(docs: DataFrame, n_merges: int, first_id: int = 256,
     checkpointed to the shared folder every few rounds so lineage stays short.
     """
     chunks = training_chunks(docs, id_col, text_col, chunking)
-    chunks = chunks.select(F.struct("doc_id", "chunk_pos").alias("doc_id"), "weight",
-                           "sym").checkpoint()
+    # Dense chunk ranks in (doc_id, chunk_pos) order (bucketed prefix sums):
+    # the tie-break key then packs into one bigint.
+    chunks = row_rank(chunks, ["doc_id", "chunk_pos"], out="_rank")
+    # Each round is CPU-bound on the chunk table: keep it spread over all
+    # cores (AQE would coalesce a small table into one task) and write it to
+    # the shared checkpoint folder so rounds re-read it instead of the corpus.
+    chunks = spread(chunks.select((F.col("_rank") - 1).alias("doc_id"), "weight", "sym"),
+                    2 * docs.sparkSession.sparkContext.defaultParallelism).checkpoint()
+    n_chunks = chunks.agg(F.max("doc_id")).collect()[0][0]
+    packed = n_chunks is None or n_chunks < (1 << 32)
     merges: list[Merge] = []
     for r in range(n_merges):
-        counts = pair_counts(chunks, weight_col="weight")
+        counts = pair_counts(chunks, weight_col="weight", packed_first=packed)
         top = counts.orderBy(F.desc("n"), F.asc("first")).limit(1).collect()
         if not top:
             break

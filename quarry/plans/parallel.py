@@ -15,6 +15,33 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() >= target and not _has_exchange(df):
         return df
     return df.repartition(target)
+
+
+def _has_exchange(df: DataFrame) -> bool:
+    """A shuffled input may still be coalesced by AQE at run time, so its
+    planned partition count says nothing; treat it as unknown."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan and df.rdd.getNumPartitions() < 4 * spark_cores(df)
+
+
+def spark_cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def filter_fenced(df: DataFrame, condition_col: str) -> DataFrame:
+    """Filter on a computed boolean column without letting Catalyst push the
+    predicate below the projections that compute it.
+
+    Pushing a filter through projections inlines the projected expressions
+    into the condition; for expressions built from shared arrays (the word
+    split of a text) every reference then recomputes the array. Reading the
+    flag through a one-element ``explode`` (a Generate, which predicates are
+    not pushed below) keeps each array computed once per row.
+    """
+    from pyspark.sql import functions as F
+    cols = [c for c in df.columns if c != condition_col]
+    fenced = df.select(*cols, F.explode(F.array(F.col(condition_col))).alias("_keep"))
+    return fenced.filter(F.col("_keep")).drop("_keep")
