@@ -407,3 +407,29 @@ ORACLES.update({
         SELECT n_docs, total AS total_tokens, (total // 1024)::BIGINT AS n_blocks,
                (total % 1024)::BIGINT AS dropped_tokens, (total // 1024)::BIGINT AS n_packed FROM t""",
 })
+
+
+def _chat_tokenized_sql(n_rounds: int = 10) -> str:
+    """ChatML text per conversation → byte symbols → special markers as
+    reserved ids → the merges learned on documents, applied in order."""
+    specials = {"<|endoftext|>": 256 + n_rounds, "<|im_start|>": 257 + n_rounds,
+                "<|im_end|>": 258 + n_rounds}
+    line = f"'<|im_start|>' || role || {NL} || coalesce(text, '') || '<|im_end|>' || {NL}"
+    sym = f"array_to_string(list_transform({_BYTES}, lambda b: chr(b + 256)), '')"
+    expr = "s"
+    for sp, tid in specials.items():
+        enc = "".join(chr(ord(c) + 256) for c in sp)
+        expr = f"replace({expr}, '{enc}', chr({tid + 256}))"
+    for r in range(n_rounds):
+        expr = f"replace({expr}, (SELECT pair FROM t{r}), chr({256 + r + 256}))"
+    return f"""WITH {_bpe_ctes(n_rounds)},
+        ct AS (SELECT conv_id, string_agg({line}, '' ORDER BY turn) || '<|im_start|>assistant' || {NL} AS text
+               FROM conversations GROUP BY conv_id),
+        cs AS (SELECT conv_id, {sym} AS s FROM ct),
+        ce AS (SELECT conv_id, {expr} AS s FROM cs),
+        ci AS (SELECT conv_id, list_transform(string_split(s, ''), lambda c: (unicode(c) - 256)::INTEGER) AS ids
+               FROM ce)
+        SELECT conv_id, len(ids)::BIGINT AS n_tokens, array_to_string(ids, ' ') AS tokens FROM ci"""
+
+
+ORACLES["chat_tokenized"] = _chat_tokenized_sql()

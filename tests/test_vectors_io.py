@@ -74,7 +74,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_check():
-    rows_only = {"chat_tokenized", "quality_classifier"}
+    rows_only = {"quality_classifier"}
     assert set(entry.queries()) - set(entry.oracle_sql()) <= rows_only
 
 
