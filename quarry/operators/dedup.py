@@ -165,8 +165,11 @@ def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, cluster_id)`` for every document linked to another one;
     ``cluster_id`` is the smallest id in its cluster."""
-    keys = band_keys(minhash_signatures(df, cfg, id_col, text_col), cfg)
-    cc = connected_components(candidate_edges(keys))
+    # Signatures are a stage table (like the signature folder of a staged
+    # pipeline): both sides of the bucket join derive from them, so they are
+    # written once to the checkpoint folder instead of being hashed twice.
+    sigs = minhash_signatures(df, cfg, id_col, text_col).checkpoint()
+    cc = connected_components(candidate_edges(band_keys(sigs, cfg)))
     return cc.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
 

@@ -217,7 +217,9 @@ def bpe_train(docs: DataFrame, n_merges: int, first_id: int = 256,
     One aggregation job per round over the distinct-chunk table; the table is
     checkpointed to the shared folder every few rounds so lineage stays short.
     """
-    chunks = training_chunks(docs, id_col, text_col, chunking)
+    # The distinct-chunk aggregation shuffles the corpus once; its output is
+    # written before the ranking passes (quantiles, bucket totals) read it.
+    chunks = training_chunks(docs, id_col, text_col, chunking).checkpoint()
     # Dense chunk ranks in (doc_id, chunk_pos) order (bucketed prefix sums):
     # the tie-break key then packs into one bigint.
     chunks = row_rank(chunks, ["doc_id", "chunk_pos"], out="_rank")

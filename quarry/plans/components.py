@@ -48,13 +48,11 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 def _is_star_forest(e: DataFrame) -> bool:
     """Every node has at most one smaller neighbour, and that neighbour has
-    none (it is a root)."""
+    none (it is a root). One job: violations of either kind, first one wins."""
     deg = e.groupBy("u").agg(F.count(F.lit(1)).alias("d"))
-    multi = deg.filter(F.col("d") > 1).limit(1).count()
-    if multi:
-        return False
-    chained = e.join(deg.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-    return chained == 0
+    multi = deg.filter(F.col("d") > 1).select(F.lit(1).alias("x"))
+    chained = e.join(deg.select(F.col("u").alias("v")), "v", "left_semi").select(F.lit(1).alias("x"))
+    return multi.union(chained).limit(1).count() == 0
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
