@@ -132,40 +132,47 @@ def pair_counts(sym_df: DataFrame, sym_col: str = "sym", id_col: str = "doc_id",
 PAIR_COUNT_SCHEMA = "left_id int, right_id int, n long, first long"
 
 
-def _pair_count_batches(batches):
-    """Per Arrow batch: code points of every symbol string, adjacent pairs
-    inside each row, then a local aggregation (weighted count, smallest
-    ``rank * 2^31 + position``) per distinct pair. Emits one row per pair
-    and batch, so the shuffle carries pre-aggregated counts only."""
-    import numpy as np
-    import pyarrow as pa
-    shift = SURROGATE_HI - SURROGATE_LO
-    for batch in batches:
-        syms = batch.column("sym").to_pylist()
-        ranks = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-        weights = batch.column("weight").to_numpy(zero_copy_only=False).astype(np.int64)
-        cps = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in syms]
-        lens = np.array([len(c) for c in cps], dtype=np.int64)
-        npairs = np.maximum(lens - 1, 0)
-        if npairs.sum() == 0:
-            continue
-        allcp = np.concatenate(cps).astype(np.int64)
-        ids = np.where(allcp >= SURROGATE_HI, allcp - shift, allcp)
-        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        row = np.repeat(np.arange(len(cps)), npairs)
-        pos = np.arange(npairs.sum()) - np.repeat(np.cumsum(npairs) - npairs, npairs)
-        at = starts[row] + pos
-        key = ids[at] * (1 << 21) + ids[at + 1]
-        first = ranks[row] * (1 << 31) + pos
-        order = np.argsort(key, kind="stable")
-        key, first, w = key[order], first[order], weights[row][order]
-        cut = np.flatnonzero(np.diff(key)) + 1
-        seg = np.concatenate([[0], cut])
-        ukey = key[seg]
-        yield pa.RecordBatch.from_arrays([
-            pa.array((ukey >> 21).astype(np.int32)), pa.array((ukey & ((1 << 21) - 1)).astype(np.int32)),
-            pa.array(np.add.reduceat(w, seg)), pa.array(np.minimum.reduceat(first, seg))],
-            ["left_id", "right_id", "n", "first"])
+def _pair_count_kernel():
+    """Build the per-batch pair counter. A closure (not a module-level
+    function) so executors unpickle it by value without importing this
+    package."""
+    lo, hi = SURROGATE_LO, SURROGATE_HI
+
+    def run(batches):
+        """Per Arrow batch: code points of every symbol string, adjacent pairs
+        inside each row, then a local aggregation (weighted count, smallest
+        ``rank * 2^31 + position``) per distinct pair. Emits one row per pair
+        and batch, so the shuffle carries pre-aggregated counts only."""
+        import numpy as np
+        import pyarrow as pa
+        shift = hi - lo
+        for batch in batches:
+            syms = batch.column("sym").to_pylist()
+            ranks = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            weights = batch.column("weight").to_numpy(zero_copy_only=False).astype(np.int64)
+            cps = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in syms]
+            lens = np.array([len(c) for c in cps], dtype=np.int64)
+            npairs = np.maximum(lens - 1, 0)
+            if npairs.sum() == 0:
+                continue
+            allcp = np.concatenate(cps).astype(np.int64)
+            ids = np.where(allcp >= hi, allcp - shift, allcp)
+            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            row = np.repeat(np.arange(len(cps)), npairs)
+            pos = np.arange(npairs.sum()) - np.repeat(np.cumsum(npairs) - npairs, npairs)
+            at = starts[row] + pos
+            key = ids[at] * (1 << 21) + ids[at + 1]
+            first = ranks[row] * (1 << 31) + pos
+            order = np.argsort(key, kind="stable")
+            key, first, w = key[order], first[order], weights[row][order]
+            seg = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+            ukey = key[seg]
+            yield pa.RecordBatch.from_arrays([
+                pa.array((ukey >> 21).astype(np.int32)),
+                pa.array((ukey & ((1 << 21) - 1)).astype(np.int32)),
+                pa.array(np.add.reduceat(w, seg)), pa.array(np.minimum.reduceat(first, seg))],
+                ["left_id", "right_id", "n", "first"])
+    return run
 
 
 def pair_counts_arrow(chunks: DataFrame) -> DataFrame:
@@ -173,7 +180,7 @@ def pair_counts_arrow(chunks: DataFrame) -> DataFrame:
     ``(doc_id = dense rank < 2^32, weight, sym)``; the per-pair work runs as
     a numpy pass per Arrow batch followed by a Spark aggregation."""
     partial = chunks.select("doc_id", "weight", "sym").mapInArrow(
-        _pair_count_batches, PAIR_COUNT_SCHEMA)
+        _pair_count_kernel(), PAIR_COUNT_SCHEMA)
     return partial.groupBy("left_id", "right_id").agg(F.sum("n").alias("n"),
                                                       F.min("first").alias("first"))
 
