@@ -224,18 +224,32 @@ def bpe_train(docs: DataFrame, n_merges: int, first_id: int = 256,
     One aggregation job per round over the distinct-chunk table; the table is
     checkpointed to the shared folder every few rounds so lineage stays short.
     """
-    # The distinct-chunk aggregation shuffles the corpus once; its output is
-    # written before the ranking passes (quantiles, bucket totals) read it.
-    chunks = training_chunks(docs, id_col, text_col, chunking).checkpoint()
-    # Dense chunk ranks in (doc_id, chunk_pos) order (bucketed prefix sums):
-    # the tie-break key then packs into one bigint.
-    chunks = row_rank(chunks, ["doc_id", "chunk_pos"], out="_rank")
+    spark = docs.sparkSession
+    if chunking == "document":
+        # One chunk per document, weight 1: pair counts and first occurrences
+        # are the same as over distinct texts with weights, without a shuffle
+        # of the corpus (exact copies are removed upstream by exact dedup).
+        chunks = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                             F.lit(0).alias("chunk_pos"), F.lit(1).cast("long").alias("weight"),
+                             byte_symbols(F.col(text_col)).alias("sym"))
+        lo, hi = docs.agg(F.min(id_col), F.max(id_col)).first()
+        dense = lo is None or (lo >= 0 and hi < (1 << 32))
+    else:
+        # Word chunks repeat massively: collapse them (partial aggregation
+        # by hash) and write the result once before the ranking passes.
+        chunks = training_chunks(docs, id_col, text_col, chunking).checkpoint()
+        dense = False
+    if not dense:
+        # Dense chunk ranks in (doc_id, chunk_pos) order (bucketed prefix
+        # sums) so the tie-break key packs into one bigint.
+        chunks = row_rank(chunks, ["doc_id", "chunk_pos"], out="_rank").withColumn(
+            "doc_id", F.col("_rank") - 1)
     # Each round is CPU-bound on the chunk table: keep it spread over all
     # cores (AQE would coalesce a small table into one task) and write it to
     # the shared checkpoint folder so rounds re-read it instead of the corpus.
-    chunks = spread(chunks.select((F.col("_rank") - 1).alias("doc_id"), "weight", "sym"),
-                    2 * docs.sparkSession.sparkContext.defaultParallelism).checkpoint()
-    n_chunks = chunks.agg(F.max("doc_id")).collect()[0][0]
+    chunks = spread(chunks.select("doc_id", "weight", "sym"),
+                    2 * spark.sparkContext.defaultParallelism).checkpoint()
+    n_chunks = chunks.agg(F.max("doc_id")).first()[0]
     packed = n_chunks is None or n_chunks < (1 << 32)
     merges: list[Merge] = []
     for r in range(n_merges):
