@@ -270,7 +270,10 @@ def q_append_eos(spark, base):
 
 
 def q_pack_tokens(spark, base):
-    return packing.pack_tokens(_byte_ids(spark, base), 1024, BYTE_EOS).select(
+    docs = _docs(spark, base).select(
+        "doc_id", tokens.byte_tokens(F.col("text")).alias("ids"),
+        F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"))
+    return packing.pack_tokens(docs, 1024, BYTE_EOS, lengths=F.col("n_bytes")).select(
         "block_id", _ids_str(F.col("tokens")).alias("tokens"))
 
 

@@ -29,8 +29,9 @@ def flagship(spark: SparkSession, base: str) -> DataFrame:
     """``n_docs, total_tokens, n_blocks, dropped_tokens, n_packed`` for the
     curated corpus; ``n_packed`` counts the blocks actually materialised."""
     docs = curated(spark, base)
-    ids = docs.select("doc_id", tokens.byte_tokens(F.col("text")).alias("ids"))
-    blocks = packing.pack_tokens(ids, BLOCK, EOS)
+    ids = docs.select("doc_id", tokens.byte_tokens(F.col("text")).alias("ids"),
+                      F.octet_length("text").alias("n_bytes"))
+    blocks = packing.pack_tokens(ids, BLOCK, EOS, lengths=F.col("n_bytes"))
     report = packing.pack_report(ids.select(F.size("ids").alias("n_tokens")), BLOCK, EOS)
     packed = blocks.agg(F.count(F.lit(1)).alias("n_packed"))
     # Both sides are single-row aggregates.

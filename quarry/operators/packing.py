@@ -11,7 +11,7 @@ size check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.tokens import append_eos
@@ -20,14 +20,22 @@ from quarry.plans.ordering import prefix_sum
 
 def pack_tokens(df: DataFrame, block_size: int = 1024, eos_id: int | None = None,
                 ids_col: str = "ids", order_col: str = "doc_id",
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, lengths: Column | None = None) -> DataFrame:
     """``(block_id, tokens array<int>)``: documents in ``order_col`` order,
     ``eos_id`` appended to each (also to empty ones), the stream cut into
-    ``block_size`` blocks, the incomplete tail dropped."""
+    ``block_size`` blocks, the incomplete tail dropped.
+
+    ``lengths`` may give each document's token count without tokenising
+    (e.g. ``octet_length(text)`` for byte tokens); then the offset pass reads
+    only the lengths and the ids are built once, in the final pass."""
     B = block_size
     ids = F.col(ids_col)
-    docs = df.select(order_col, (append_eos(ids, eos_id) if eos_id is not None else ids).alias("_ids"))
-    docs = docs.withColumn("_n", F.size("_ids"))
+    extra = 1 if eos_id is not None else 0
+    n_expr = (lengths + F.lit(extra)) if lengths is not None else None
+    docs = df.select(order_col, (append_eos(ids, eos_id) if eos_id is not None else ids).alias("_ids"),
+                     *([n_expr.alias("_n")] if n_expr is not None else []))
+    if n_expr is None:
+        docs = docs.withColumn("_n", F.size("_ids"))
     docs = prefix_sum(docs, [order_col], F.col("_n"), n_buckets=n_buckets, out="_off")
     o, n = F.col("_off"), F.col("_n")
     first, last = F.floor(o / B), F.floor((o + n - 1) / B)
