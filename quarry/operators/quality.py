@@ -177,6 +177,7 @@ def topic_hits(df: DataFrame, keywords: list[str] = HISTORY_KEYWORDS,
     flags = [F.sum(low.rlike(whole_word_pattern([k])).cast("long")).alias(f"k{i}")
              for i, k in enumerate(keywords)]
     sums = df.agg(*flags)
-    stack = ", ".join(f"'{k}', k{i}" for i, k in enumerate(keywords))
+    stack = ", ".join("'" + k.replace("\\", "\\\\").replace("'", "\\'") + f"', k{i}"
+                      for i, k in enumerate(keywords))
     return sums.selectExpr(f"stack({len(keywords)}, {stack}) as (keyword, n_docs)").select(
         "keyword", F.coalesce(F.col("n_docs"), F.lit(0)).cast("long").alias("n_docs"))
