@@ -69,6 +69,10 @@ def q_language_filter(spark, base):
     return out.select("doc_id", "lang", "predicted", F.round("score", 6).alias("score"))
 
 
+def q_language_select(spark, base):
+    return quality.language_select(table(spark, base, "documents"), ["en", "de"]).select("doc_id", "lang")
+
+
 def q_topic_extract(spark, base):
     return quality.topic_extract(_docs(spark, base), TEST_KEYWORDS, 10_000).select("doc_id", "text")
 
@@ -386,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "gopher_reasons": q_gopher_reasons,
     "split_kept_removed": q_split_kept_removed,
     "language_filter": q_language_filter,
+    "language_select": q_language_select,
     "topic_extract": q_topic_extract,
     "topic_hits": q_topic_hits,
     "format_instruction": q_format_instruction,

@@ -64,6 +64,8 @@ def mix_sources(df: DataFrame, names: list[str] = MIX_SOURCES,
     the row that exhausts a source (first-exhausted). Returns ``pos,
     source`` and the row's columns."""
     spark = df.sparkSession
+    df = df.filter(F.col(source_col).isin(names))
+    # One row per named source reaches the driver.
     counts = {r[0]: int(r[1]) for r in df.groupBy(source_col).count().collect()}
     sizes = [counts.get(s, 0) for s in names]
     if any(n == 0 for n, p in zip(sizes, probabilities) if p > 0):

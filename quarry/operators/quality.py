@@ -141,6 +141,12 @@ def language_annotate(df: DataFrame, text_col: str = "text",
     return out.drop("_lw", "_best", *[f"_s_{l}" for l in langs])
 
 
+def language_select(df: DataFrame, languages: list[str], lang_col: str = "lang") -> DataFrame:
+    """Keep rows whose language column is listed; the predicate reaches the
+    Parquet scan."""
+    return df.filter(F.col(lang_col).isin(languages))
+
+
 def language_filter(df: DataFrame, languages: list[str], min_score: float = 0.0,
                     text_col: str = "text") -> DataFrame:
     """Keep rows whose predicted language is listed and scores at least

@@ -433,3 +433,5 @@ def _chat_tokenized_sql(n_rounds: int = 10) -> str:
 
 
 ORACLES["chat_tokenized"] = _chat_tokenized_sql()
+
+ORACLES["language_select"] = "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de')"

@@ -62,3 +62,16 @@ def test_language_scores(spark):
     df = docs_df(spark, ["the cat and the dog", "der Hund und die Katze", "le chat et les chiens"])
     got = [r.predicted for r in quality.language_annotate(df).orderBy("doc_id").collect()]
     assert got == ["en", "de", "fr"]
+
+
+def test_fenced_filter_computes_words_once(spark):
+    df = docs_df(spark, [GOOD, "short"])
+    plan = quality.gopher_filter(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2  # the word split and the line split, once each
+    assert "Generate" in plan
+
+
+def test_language_select_pushes_down(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = quality.language_select(df, ["en"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(lang" in plan or "PushedFilters: [IsNotNull(lang), EqualTo(lang" in plan
