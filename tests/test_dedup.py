@@ -69,3 +69,13 @@ def test_signature_shape(spark):
     sig = dedup.minhash_signatures(df).collect()
     assert len(sig) == 1 and len(sig[0].signature) == 160
     assert all(0 <= v < dedup.PRIME for v in sig[0].signature)
+
+
+def test_components_with_a_hub(spark):
+    # One node linked to a third of all nodes, plus a separate chain.
+    edges = [(0, i) for i in range(1, 3001)] + [(i, i + 1) for i in range(5000, 5100)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.node: r.component for r in connected_components(df).collect()}
+    assert all(got[i] == 0 for i in range(0, 3001))
+    assert all(got[i] == 5000 for i in range(5000, 5101))
+    assert len(got) == 3001 + 101
