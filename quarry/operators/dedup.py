@@ -161,6 +161,26 @@ def candidate_edges(keys: DataFrame, buckets: DataFrame | None = None) -> DataFr
             .distinct())
 
 
+def collapsed_edges(sigs: DataFrame, cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
+    """Candidate edges with identical signatures collapsed first.
+
+    Documents with the same signature (exact or normalisation-equal copies)
+    fall into the same bucket in every band, so a group of copies holding a
+    third of the corpus would be multiplied by the number of bands before
+    the bucket join. Instead each signature group links to its smallest id
+    (a partial aggregation on the signature hash plus one equi-join), and
+    LSH runs over one representative per signature. The components are the
+    same: a copy shares every bucket with its representative, and the
+    representative is the group's smallest id, so bucket minima agree."""
+    h = sigs.select("doc_id", F.md5(F.array_join("signature", " ")).alias("_sh"), "signature")
+    reps = h.groupBy("_sh").agg(F.min("doc_id").alias("_rep"))
+    copies = (h.select("doc_id", "_sh").join(reps, "_sh")
+              .filter(F.col("doc_id") != F.col("_rep"))
+              .select(F.col("doc_id").alias("src"), F.col("_rep").alias("dst")))
+    rep_sigs = h.join(reps.select(F.col("_rep").alias("doc_id")), "doc_id", "left_semi")
+    return copies.unionByName(candidate_edges(band_keys(rep_sigs.select("doc_id", "signature"), cfg)))
+
+
 def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, cluster_id)`` for every document linked to another one;
@@ -169,7 +189,7 @@ def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
     # pipeline): both sides of the bucket join derive from them, so they are
     # written once to the checkpoint folder instead of being hashed twice.
     sigs = minhash_signatures(df, cfg, id_col, text_col).checkpoint()
-    cc = connected_components(candidate_edges(band_keys(sigs, cfg)))
+    cc = connected_components(collapsed_edges(sigs, cfg))
     return cc.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
 
