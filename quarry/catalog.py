@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from quarry.functions.text import preview
 from quarry.operators import (budget, classifier, dedup, mixing, packing, prompts, quality,
                               tokens, vectors)
-from quarry.session import scratch_path
-from quarry.sources.tables import DOCUMENT_SCHEMA, read_jsonl, write_jsonl
-from quarry.streaming.filter_stream import stream_filter
+from quarry.flagship import flagship
 from quarry.plans.joins import join_small
 from quarry.plans.parallel import spread
-from quarry.sources.tables import read_corpus, table, take_first
+from quarry.session import scratch_path
+from quarry.sources.tables import (DOCUMENT_SCHEMA, read_corpus, read_jsonl, table, take_first,
+                                   write_jsonl)
+from quarry.streaming.filter_stream import stream_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -376,7 +377,6 @@ def q_quality_classifier(spark, base):
 
 
 def q_flagship(spark, base):
-    from quarry.flagship import flagship
     return flagship(spark, base)
 
 
