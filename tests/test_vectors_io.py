@@ -89,3 +89,24 @@ def test_results_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_stream_resumes_from_checkpoint(spark):
+    from quarry.streaming.filter_stream import run_available, stream_files
+    src = scratch_path(spark, "stream-src")
+    out = scratch_path(spark, "stream-sink")
+    ckpt = scratch_path(spark, "stream-state")
+    docs = docs_df(spark, [GOOD_TEXT, "tiny", GOOD_TEXT + " again"])
+
+    def annotate(df):
+        return quality.gopher_annotate(df).select("doc_id", "reason")
+    write_jsonl(docs.filter("doc_id < 2"), f"{src}/part-a")
+    run_available(stream_files(spark, f"{src}/*", DOCUMENT_SCHEMA, "json"), annotate, out, ckpt)
+    assert spark.read.parquet(out).count() == 2
+    write_jsonl(docs.filter("doc_id = 2"), f"{src}/part-b")
+    run_available(stream_files(spark, f"{src}/*", DOCUMENT_SCHEMA, "json"), annotate, out, ckpt)
+    got = sorted(r.doc_id for r in spark.read.parquet(out).collect())
+    assert got == [0, 1, 2]  # each file processed once across restarts
+
+
+GOOD_TEXT = " ".join(["the cat and the dog walked with care to the old mill"] * 5)
