@@ -174,11 +174,12 @@ def collapsed_edges(sigs: DataFrame, cfg: MinhashConfig = MinhashConfig()) -> Da
     representative is the group's smallest id, so bucket minima agree."""
     h = sigs.select("doc_id", F.md5(F.array_join("signature", " ")).alias("_sh"), "signature")
     reps = h.groupBy("_sh").agg(F.min("doc_id").alias("_rep"))
-    copies = (h.select("doc_id", "_sh").join(reps, "_sh")
-              .filter(F.col("doc_id") != F.col("_rep"))
+    # One join serves both outputs (the exchange is reused in the plan).
+    j = h.join(reps, "_sh").checkpoint()
+    copies = (j.filter(F.col("doc_id") != F.col("_rep"))
               .select(F.col("doc_id").alias("src"), F.col("_rep").alias("dst")))
-    rep_sigs = h.join(reps.select(F.col("_rep").alias("doc_id")), "doc_id", "left_semi")
-    return copies.unionByName(candidate_edges(band_keys(rep_sigs.select("doc_id", "signature"), cfg)))
+    rep_sigs = j.filter(F.col("doc_id") == F.col("_rep")).select("doc_id", "signature")
+    return copies.unionByName(candidate_edges(band_keys(rep_sigs, cfg)))
 
 
 def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
