@@ -201,6 +201,11 @@ def _trained(spark, base, n):
     return docs, tokens.bpe_train(docs, n)
 
 
+def q_bpe_train_words(spark, base):
+    merges = tokens.bpe_train(_docs(spark, base), BPE_MERGES, chunking="word")
+    return tokens.merges_frame(spark, merges)
+
+
 def q_bpe_merge(spark, base):
     docs, merges = _trained(spark, base, 1)
     return docs.select("doc_id", _ids_str(tokens.bpe_encode(F.col("text"), merges)).alias("tokens"))
@@ -414,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "pair_counts": q_pair_counts,
     "bpe_merge": q_bpe_merge,
     "bpe_train": q_bpe_train,
+    "bpe_train_words": q_bpe_train_words,
     "bpe_encode": q_bpe_encode,
     "bpe_decode": q_bpe_decode,
     "token_pieces": q_token_pieces,

@@ -435,3 +435,32 @@ def _chat_tokenized_sql(n_rounds: int = 10) -> str:
 ORACLES["chat_tokenized"] = _chat_tokenized_sql()
 
 ORACLES["language_select"] = "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de')"
+
+
+def _bpe_word_sql(n_rounds: int) -> str:
+    """Word-chunk training: each text is cut before every space (the space
+    starts the next chunk); pairs stay inside a chunk; ties go to the
+    earliest (doc, chunk, position)."""
+    sym = ("array_to_string(list_transform(list_transform(regexp_extract_all(hex(encode(w)), '..'),"
+           " lambda h: ('0x' || h)::INTEGER), lambda b: chr(b + 256)), '')")
+    ctes = [f"""wp AS (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS parts FROM documents),
+wc AS (SELECT doc_id, k, CASE WHEN k = 1 THEN parts[k] ELSE ' ' || parts[k] END AS w
+       FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS k FROM wp)),
+s0 AS MATERIALIZED (SELECT doc_id, k, {sym} AS s FROM wc)"""]
+    for r in range(n_rounds):
+        ctes.append(f"""p{r} AS MATERIALIZED (SELECT pair, count(*) AS n, min({{'d': doc_id, 'k': k, 'i': i}}) AS first
+              FROM (SELECT doc_id, k, i, l[i] || l[i + 1] AS pair
+                    FROM (SELECT doc_id, k, l, unnest(range(1, len(l))) AS i
+                          FROM (SELECT doc_id, k, string_split(s, '') AS l FROM s{r})))
+              GROUP BY pair),
+t{r} AS MATERIALIZED (SELECT {r} AS rank, pair FROM p{r} ORDER BY n DESC, first ASC LIMIT 1),
+s{r + 1} AS MATERIALIZED (SELECT doc_id, k, coalesce(replace(s, (SELECT pair FROM t{r}), chr({256 + r} + 256)), s) AS s
+              FROM s{r})""")
+    merges = " UNION ALL ".join(f"SELECT * FROM t{r}" for r in range(n_rounds))
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT rank::INTEGER AS rank, (unicode(substr(pair, 1, 1)) - 256)::INTEGER AS left_id,
+       (unicode(substr(pair, 2, 1)) - 256)::INTEGER AS right_id, (256 + rank)::INTEGER AS new_id
+FROM ({merges})"""
+
+
+ORACLES["bpe_train_words"] = _bpe_word_sql(10)
