@@ -249,8 +249,11 @@ def bpe_train(docs: DataFrame, n_merges: int, first_id: int = 256,
     # the shared checkpoint folder so rounds re-read it instead of the corpus.
     chunks = spread(chunks.select("doc_id", "weight", "sym"),
                     2 * spark.sparkContext.defaultParallelism).checkpoint()
-    n_chunks = chunks.agg(F.max("doc_id")).first()[0]
-    packed = n_chunks is None or n_chunks < (1 << 32)
+    if dense:
+        packed = True
+    else:
+        n_chunks = chunks.agg(F.max("doc_id")).first()[0]
+        packed = n_chunks is None or n_chunks < (1 << 32)
     merges: list[Merge] = []
     for r in range(n_merges):
         counts = (pair_counts_arrow(chunks) if packed else
