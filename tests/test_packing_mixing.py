@@ -93,3 +93,18 @@ def test_seeded_shuffle_is_a_permutation(spark):
     assert sorted(r.pos for r in got) == list(range(500))
     again = {r.doc_id: r.pos for r in mixing.seeded_shuffle(df).collect()}
     assert all(again[r.doc_id] == r.pos for r in got)
+
+
+def test_join_small_broadcasts_only_with_a_bound(spark):
+    from quarry.plans.joins import join_small
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        bounded = join_small(big, small, "k", max_rows=10)._jdf.queryExecution().sparkPlan().toString()
+        unbounded = join_small(big, small, "k")._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in bounded
+        assert "BroadcastHashJoin" not in unbounded
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
