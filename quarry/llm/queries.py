@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import sentencepiece_bpe
+from quarry.llm import curriculum, sentencepiece_bpe
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -18,8 +19,47 @@ def op1_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(_table(spark, base, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_curriculum(spark: SparkSession, base: str) -> DataFrame:
+    """The words that the mix takes of every document, and where in training it first appears."""
+    planned = curriculum.plan(_table(spark, base, "documents"))
+    first = F.array_min(F.transform("copies", lambda c: c.position))
+    return planned.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"), F.round(first, 6).alias("first_position"))
+
+
 QUERIES = {
+    "op4_curriculum": op4_curriculum,
     "op1_sentencepiece": op1_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op4_curriculum"] = r"""
+WITH sized AS (
+  SELECT doc_id, coalesce('a' || source, 'b') AS src,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS key
+  FROM documents),
+weighed AS (
+  SELECT src, source_size, 2 * source_size AS most,
+         CASE rn % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight,
+         CASE rn % 3 WHEN 1 THEN 0.5::DOUBLE WHEN 2 THEN 0.0::DOUBLE ELSE (-0.5)::DOUBLE END AS slope
+  FROM (SELECT src, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY src) AS rn FROM sized GROUP BY src)),
+stops AS (
+  SELECT *, coalesce(sum(most) OVER w, 0) AS most_before, coalesce(sum(weight) OVER w, 0) AS weight_before
+  FROM weighed WINDOW w AS (ORDER BY most / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lvl AS (
+  SELECT max(((SELECT sum(size) FROM sized)::DOUBLE * 1.5 - most_before::DOUBLE) / ((SELECT sum(weight) FROM weighed) - weight_before)::DOUBLE) AS level FROM stops),
+goal AS (SELECT src, source_size, slope, least(most::DOUBLE, level * weight) AS target FROM stops, lvl),
+placed AS (
+  SELECT sized.*, source_size, slope, target, floor(target + 0.5)::BIGINT AS quota,
+         coalesce(sum(size) OVER (PARTITION BY src ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM sized JOIN goal USING (src)),
+taking AS (
+  SELECT *, greatest(least(quota - start, size), 0) AS w0, greatest(least(quota - start - source_size, size), 0) AS w1 FROM placed),
+timed AS (
+  SELECT *, CASE WHEN w0 > 0 THEN (start + w0 / 2.0::DOUBLE) / target END AS y, slope + 1.0::DOUBLE AS b FROM taking)
+SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
+       ((w0 > 0)::INT + (w1 > 0)::INT)::BIGINT AS n_copies,
+       round(CASE WHEN slope = 0 THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END, 6) AS first_position
+FROM timed
+"""
