@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import join_small
+from quarry.session import checkpoint_dir
 
 BUCKET = "_bucket"
 
@@ -70,3 +71,27 @@ def row_rank(df: DataFrame, order_by: list[str], partition_by: list[str] | None
     """1-based row number in ``order_by`` order within ``partition_by``."""
     ranked = prefix_sum(df, order_by, None, partition_by, bucket, n_buckets, out="_p")
     return ranked.withColumn(out, F.col("_p") + 1).drop("_p")
+
+
+def range_prefix(df: DataFrame, order_by: list[str], sums: dict[str, Column],
+                 n_parts: int | None = None) -> DataFrame:
+    """Adds, for each ``name: value`` of ``sums``, the sum of ``value`` over
+    all rows before this one in the global ``order_by`` order (null first).
+
+    Rows are range-partitioned (Spark samples the bounds, so any key type
+    works), written once to the checkpoint folder with their partition's
+    number, summed per partition (``n_parts`` rows), and finished by a window
+    inside each partition. Rows equal in ``order_by`` stay in one partition.
+    """
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(df.sparkSession)
+    held = df.withColumns({f"_v_{k}": v for k, v in sums.items()})
+    held = held.repartitionByRange(n, *order_by).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = held.groupBy("_pid").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums])
+    within = Window.partitionBy("_pid").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    inner = held.withColumns({f"_i_{k}": F.coalesce(F.sum(f"_v_{k}").over(within), F.lit(0)) for k in sums})
+    joined = inner.join(F.broadcast(offsets), "_pid")  # n_parts rows
+    return joined.withColumns({k: F.col(f"_o_{k}") + F.col(f"_i_{k}") for k in sums}).drop(
+        "_pid", *[f"_{x}_{k}" for k in sums for x in "vio"])
