@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import curriculum, sentencepiece_bpe
+from quarry.llm import curriculum, language_id, quality_rules, secret_scan, sentencepiece_bpe
+from quarry.llm.common import checkpointed
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -26,13 +27,63 @@ def op4_curriculum(spark: SparkSession, base: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"), F.round(first, 6).alias("first_position"))
 
 
+def op5_language_id(spark: SparkSession, base: str) -> DataFrame:
+    """Language of every whole text, learned from the documents that are not held out."""
+    docs = _table(spark, base, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_id.train(docs, ~held_out)
+    return language_id.classify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_secret_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Secrets of every whole text, each distinct text scanned once."""
+    found, _ = secret_scan.scan(_table(spark, base, "documents"))
+    of_base = F.filter("found", lambda s: s["kind"].isin(*[r.kind for r in secret_scan.RULES if r.base]))
+    number = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", number("assign"), number("access"), number("hex"),
+                        F.sha2(secret_scan.listed(of_base), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
+
+
+def op9_quality_rules(spark: SparkSession, base: str) -> DataFrame:
+    """Counts of every whole text and the verdict of the learned decision list."""
+    counted = checkpointed(quality_rules.text_counts(_table(spark, base, "documents")))
+    rules = quality_rules.learn(counted, _table(spark, base, "labels"))
+    return quality_rules.verdicts(counted, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 QUERIES = {
+    "op5_language_id": op5_language_id,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
     "op4_curriculum": op4_curriculum,
     "op1_sentencepiece": op1_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {}
 
+#: Places of all matches: what lies between them and the matches themselves, summed up.
+_SPANS = r"""
+  SELECT doc_id, '{kind}' AS kind, {place} AS place, unnest(starts) AS "start", unnest(ends) AS "end", unnest(judged) AS judged FROM (
+    SELECT doc_id, judged, list_transform(generate_series(1, len(hits)), lambda i: (list_sum(gaps[1:i]) + coalesce(list_sum(hits[1:i - 1]), 0))::BIGINT) AS starts,
+           list_transform(generate_series(1, len(hits)), lambda i: (list_sum(gaps[1:i]) + list_sum(hits[1:i]))::BIGINT) AS ends
+    FROM (SELECT doc_id, list_transform(string_split_regex(text, $${pattern}$$), lambda x: length(x)) AS gaps,
+                 list_transform(regexp_extract_all(text, $${pattern}$$, 0), lambda x: length(x)) AS hits,
+                 list_transform(regexp_extract_all(text, $${pattern}$$, {group}), lambda x: length(x)) AS judged
+          FROM documents WHERE regexp_matches(text, $${pattern}$$)))
+"""
+
+ORACLES["op8_secret_scan"] = "WITH every AS (" + " UNION ALL ".join(
+    f"SELECT * FROM ({_SPANS.format(kind=r.kind, place=i, pattern=r.pattern, group=r.group)}) WHERE judged >= {r.least}" for i, r in enumerate(secret_scan.RULES)) + r"""),
+rows AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", place) FILTER (place < 3) AS base,
+         string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", place) AS spans
+  FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN rows USING (doc_id)
+"""
+
 ORACLES["op4_curriculum"] = r"""
 WITH sized AS (
   SELECT doc_id, coalesce('a' || source, 'b') AS src,
@@ -60,6 +111,6 @@ timed AS (
   SELECT *, CASE WHEN w0 > 0 THEN (start + w0 / 2.0::DOUBLE) / target END AS y, slope + 1.0::DOUBLE AS b FROM taking)
 SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
        ((w0 > 0)::INT + (w1 > 0)::INT)::BIGINT AS n_copies,
-       round(CASE WHEN slope = 0 THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END, 6) AS first_position
+       round(CASE WHEN slope = 0 OR y IS NULL THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END, 6) AS first_position
 FROM timed
 """
