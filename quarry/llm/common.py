@@ -6,11 +6,16 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import quarry.llm
 from quarry.session import checkpoint_dir
 
+# Kernels travel to the tasks with their code: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(quarry.llm)
+
 #: Words: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import curriculum, language_id, quality_rules, secret_scan, sentencepiece_bpe
+from quarry.llm import curriculum, language_id, ngram_join, quality_rules, secret_scan, sentencepiece_bpe
 from quarry.llm.common import checkpointed
 
 
@@ -20,6 +20,11 @@ def op1_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(_table(spark, base, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op2_ngram_join(spark: SparkSession, base: str) -> DataFrame:
+    """Components of texts whose 4-word shingle sets are at least 85 % similar."""
+    return ngram_join.components(_table(spark, base, "documents"), k=4, percent=85)
+
+
 def op4_curriculum(spark: SparkSession, base: str) -> DataFrame:
     """The words that the mix takes of every document, and where in training it first appears."""
     planned = curriculum.plan(_table(spark, base, "documents"))
@@ -52,6 +57,7 @@ def op9_quality_rules(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op5_language_id": op5_language_id,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
