@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.bitmaps import bitmap
 from quarry.llm.common import checkpointed, id_text, map_slices
 from quarry.plans.components import connected_components
 
@@ -99,14 +100,10 @@ def profiles(docs: DataFrame, k: int, percent: int, share: float) -> DataFrame:
 
 def whole_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
     """``gid, tokens`` of the needed (``doc_id, key, slot, gid``) documents: found by a filter of fixed size in a second pass over the texts, then exactly by a join."""
-    words = needed.select((F.col("slot") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for word, bits in words.toPandas().itertuples(index=False):  # 2**18 rows at most
-        table[word] = bits
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(needed.select("slot"), FILTER_BITS))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value.view(np.uint64)
+        bits = shared.value
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):

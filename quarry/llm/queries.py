@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import curriculum, language_id, ngram_join, quality_rules, secret_scan, sentencepiece_bpe
+from quarry.llm import curriculum, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe
 from quarry.llm.common import checkpointed
 
 
@@ -56,7 +56,14 @@ def op9_quality_rules(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.verdicts(counted, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op10_line_chunks(spark: SparkSession, base: str) -> DataFrame:
+    """Lines of every whole text, those removed as repeated chunks, and what is left."""
+    done = line_chunks.dedup(_table(spark, base, "documents"))
+    return done.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op10_line_chunks": op10_line_chunks,
     "op2_ngram_join": op2_ngram_join,
     "op5_language_id": op5_language_id,
     "op8_secret_scan": op8_secret_scan,
@@ -67,6 +74,24 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op10_line_chunks"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+ended AS (
+  SELECT *, (((coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) >> 8) % 4 = 0)::INT AS ends FROM hashed),
+placed AS (
+  SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM ended),
+chunked AS (
+  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS worded FROM placed GROUP BY ALL),
+judged AS (
+  SELECT *, n >= 2 AND worded >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS removed FROM chunked)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (removed), 0)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT removed), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 #: Places of all matches: what lies between them and the matches themselves, summed up.
 _SPANS = r"""
   SELECT doc_id, '{kind}' AS kind, {place} AS place, unnest(starts) AS "start", unnest(ends) AS "end", unnest(judged) AS judged FROM (
