@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import curriculum, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe
+from quarry.llm import curriculum, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import checkpointed
 
 
@@ -40,6 +40,12 @@ def op5_language_id(spark: SparkSession, base: str) -> DataFrame:
     return language_id.classify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Bytes of every whole text covered by 100-byte strings that also start earlier."""
+    done = suffix_dedup.dedup(_table(spark, base, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     """Secrets of every whole text, each distinct text scanned once."""
     found, _ = secret_scan.scan(_table(spark, base, "documents"))
@@ -63,6 +69,7 @@ def op10_line_chunks(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op10_line_chunks": op10_line_chunks,
     "op2_ngram_join": op2_ngram_join,
     "op5_language_id": op5_language_id,
