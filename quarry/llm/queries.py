@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import curriculum, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
+from quarry.llm import chat_collapse, curriculum, kmeans_tree, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import checkpointed
 
 
@@ -25,6 +25,11 @@ def op2_ngram_join(spark: SparkSession, base: str) -> DataFrame:
     return ngram_join.components(_table(spark, base, "documents"), k=4, percent=85)
 
 
+def op3_kmeans_tree(spark: SparkSession, base: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector by inner product."""
+    return kmeans_tree.search(_table(spark, base, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 def op4_curriculum(spark: SparkSession, base: str) -> DataFrame:
     """The words that the mix takes of every document, and where in training it first appears."""
     planned = curriculum.plan(_table(spark, base, "documents"))
@@ -40,6 +45,11 @@ def op5_language_id(spark: SparkSession, base: str) -> DataFrame:
     return language_id.classify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_chat_collapse(spark: SparkSession, base: str) -> DataFrame:
+    """Rendered turns of the conversations that are no prefix of another."""
+    return chat_collapse.collapse(_table(spark, base, "conversations"))
+
+
 def op7_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Bytes of every whole text covered by 100-byte strings that also start earlier."""
     done = suffix_dedup.dedup(_table(spark, base, "documents"))
@@ -69,6 +79,8 @@ def op10_line_chunks(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_kmeans_tree": op3_kmeans_tree,
+    "op6_chat_collapse": op6_chat_collapse,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op10_line_chunks": op10_line_chunks,
     "op2_ngram_join": op2_ngram_join,
@@ -81,6 +93,21 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op6_chat_collapse"] = r"""
+WITH placed AS (
+  SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text, coalesce('r' || role, 'n') || chr(10) || coalesce(text, '') AS own,
+         row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(coalesce('r' || role, 'n') || chr(10) || coalesce(text, '')))),
+rolled AS (
+  SELECT *, md5(string_agg(md5(own), ',') OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)) AS prefix FROM placed),
+kept AS (
+  SELECT min(conv_id) AS conv_id FROM rolled l WHERE place = n_turns
+     AND NOT EXISTS (SELECT 1 FROM rolled r WHERE r.place < r.n_turns AND r.place = l.n_turns AND r.prefix = l.prefix)
+  GROUP BY n_turns, prefix)
+SELECT conv_id, place, n_turns, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
+FROM placed JOIN kept USING (conv_id)
+"""
+
 ORACLES["op10_line_chunks"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
