@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import quarry.llm
 from quarry.session import checkpoint_dir
@@ -51,6 +52,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
         yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, text: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, text: str = "text") -> DataFrame:
     """``mapInArrow`` over slices bounded in bytes."""
     return df.mapInArrow(lambda batches: kernel(slices(batches, text)), schema)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -22,9 +22,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from quarry.llm.bitmaps import bitmap, inside
-from quarry.llm.common import WORD_RE, checkpointed, map_slices
+from quarry.llm.common import WORD_RE, checkpointed, fresh, map_slices
 
 #: A chunk ends with one line in so many, on average.
 CHUNK_LINES = 4
@@ -66,8 +67,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Null text counts as empty for the counts and stays null; rows with the same
     id and text are one document, so they do not remove each other's chunks; a
     null id comes last; ties of one id with different texts are broken by the
-    text's hash; an empty table gives an empty result. ``docs`` must not have
-    columns named ``_id, _body, _places, _lines``.
+    text's hash; an empty table gives an empty result; an input column named
+    ``_lines`` is replaced.
     """
     read = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
 
@@ -97,24 +98,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     first = held.filter("is_first").select("hash", F.col("chunk").alias("kept")).distinct()
     removed = held.filter("NOT is_first").join(first, "hash").filter(F.col("chunk") == F.col("kept"))
     places = removed.groupBy("id", "body").agg(F.collect_set("place").alias("_places"))  # of one document
-    marked = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("_body", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = marked.join(places.select(F.col("id").alias("_id"), F.col("body").alias("_body"), "_places"), ["_id", "_body"], "left").select(*docs.columns, "_places")
+    docs = docs.drop("_lines")
+    own_id, own_body, own_places = fresh(docs, "_id", "_body", "_places")
+    marked = docs.withColumn(own_id, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn(own_body, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = marked.join(places.toDF(own_id, own_body, own_places), [own_id, own_body], "left").select(*docs.columns, own_places)
+    names = list(docs.columns)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, gone = [], [], []
-            for t, places in zip(batch.column(text_col).to_pylist(), batch.column("_places").to_pylist()):
+            for t, places in zip(batch.column(text_col).to_pylist(), batch.column(own_places).to_pylist()):
                 total.append((t or "").count("\n") + 1)
                 drop = set(places or ())
                 cut = chunks(t) if drop else []
                 gone.append(sum(len(c) for p, c in enumerate(cut) if p in drop))
                 texts.append("\n".join(line for p, c in enumerate(cut) if p not in drop for line in c) if drop else t)
             lines = pa.StructArray.from_arrays([pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=["n_lines", "n_removed"])
-            arrays = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in docs_columns]
-            yield pa.RecordBatch.from_arrays([*arrays, lines], names=[*docs_columns, "_lines"])
+            arrays = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*arrays, lines], names=[*names, "_lines"])
 
-    docs_columns = list(docs.columns)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "_lines struct<n_lines: bigint, n_removed: bigint>"])
+    counts = StructType().add("n_lines", "long").add("n_removed", "long")
+    schema = StructType([*docs.schema.fields, StructField("_lines", counts)])
     return map_slices(joined, rewrite, schema, text_col)
 
 

@@ -211,4 +211,4 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose id is the smallest of their component (rows under one id are one document)."""
     kept = components(docs, k, percent, id_col, text_col).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
