@@ -62,8 +62,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes: tuple[
 
 def _position(done: Column, target: Column, slope: Column) -> Column:
     """The time at which the demand of a source reaches ``done`` words."""
-    y, b = done / target, slope + 1.0
-    return F.when(slope == 0.0, y).otherwise((b - F.sqrt(F.greatest(b * b - slope * 4.0 * y, F.lit(0.0)))) / (slope * 2.0))
+    y, b = F.try_divide(done, target), slope + 1.0
+    return F.when((slope == 0.0) | y.isNull(), y).otherwise((b - F.sqrt(F.greatest(b * b - slope * 4.0 * y, F.lit(0.0)))) / (slope * 2.0))
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
