@@ -79,7 +79,7 @@ def blobs(paths: DataFrame, text_col: str = "text") -> DataFrame:
 def scan_new(addressed: DataFrame, key: str, ledger: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows ``blob, kind, version, found`` for all (blob, rule, version) that ``ledger`` lacks.
 
-    ``addressed`` has ``key`` (unique), ``blob`` and ``text``. Of the rows with one
+    ``addressed`` has ``key`` (one for each blob at least), ``blob`` and ``text``. Of the rows with one
     blob only the one with the smallest key is scanned; the text itself is not
     grouped. A blob without findings gets a row too: it has been scanned.
     """
@@ -106,10 +106,10 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_i
     meet the paths in a join: what a path is joined with are the blobs that
     have some, and Spark splits a blob that many paths share.
     """
-    # Rows with one id and one text are one to scan; a null id counts as an id of its own.
+    # Rows with one id and one text are one path; a null id counts as an id of its own.
     addressed = blobs(paths.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     addressed = addressed.withColumn("path", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "blob"))
-    new = checkpointed(scan_new(addressed, "path", ledger, rules))
+    new = checkpointed(scan_new(addressed, "path", ledger, rules).dropDuplicates(["blob", "kind", "version"]))  # rows with one id and text are scanned as often
     total = new if ledger is None else ledger.select("blob", "kind", "version", "found").unionByName(new)
     present = reduce(lambda a, b: a | b, [(F.col("kind") == r.kind) & (F.col("version") == r.version) for r in rules])
     found = total.filter(present & (F.size("found") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))  # one row for each rule
