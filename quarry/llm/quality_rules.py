@@ -110,10 +110,11 @@ def covered(rule: list[tuple[str, str, float]], x: np.ndarray, names: list[str])
 
 def learn_list(x: np.ndarray, low: np.ndarray, names: list[str]) -> list[list[tuple[str, str, float]]]:
     """Ordered conjunctions that find the rows marked ``low``; nothing if none is precise enough."""
-    rules = []
+    rules, tries = [], 0
     growing = np.arange(len(low)) % 3 != 0
     left = np.ones(len(low), bool)
-    while len(rules) < MAX_RULES and (left & growing & low).any():
+    while len(rules) < MAX_RULES and tries < 4 * MAX_RULES and (left & growing & low).any():
+        tries += 1
         rule = _grow(x[left & growing], low[left & growing], names)
         held = left & ~growing
 
@@ -127,19 +128,22 @@ def learn_list(x: np.ndarray, low: np.ndarray, names: list[str]) -> list[list[tu
         rule = rule[: max(range(1, len(rule) + 1), key=lambda k: (worth(k), -k))]
         c = covered(rule, x, names) & left
         p, n = int((c & low).sum()), int((c & ~low).sum())
-        if p < LEAST_COVER or p < LEAST_PRECISION * (p + n):
+        if p >= LEAST_COVER and p >= LEAST_PRECISION * (p + n):
+            rules.append(rule)
+            left &= ~c
+        elif (c & low).any():
+            left &= ~(c & low)  # not precise enough: what it was grown on starts no other rule
+        else:
             break
-        rules.append(rule)
-        left &= ~c
     return rules
 
 
 def learn(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> list[list[tuple[str, str, float]]]:
-    """The decision list for documents labelled 0. Rows without a label, or with a null id, teach nothing."""
+    """The decision list for documents labelled 0, learned from those that pass the base. Rows without a label, or with a null id, teach nothing."""
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), (F.col(label_col) == 0).alias("low")).dropna()
     share = min(1.0, LABELLED_ROWS / max(1, marked.count()))
     chance = md5_u32(F.concat(F.lit("rules:"), F.col("doc_id").cast("string"))) / F.lit(2.0**32)
-    rows = marked.filter(chance < share).join(counted, "doc_id").select("doc_id", "low", *[feature(f).alias(f) for f in FEATURES])
+    rows = marked.filter(chance < share).join(counted.filter(~base_failed()), "doc_id").select("doc_id", "low", *[feature(f).alias(f) for f in FEATURES])
     got = rows.toPandas().sort_values(["doc_id", "low", *FEATURES])
     return learn_list(got[list(FEATURES)].to_numpy(float), got["low"].to_numpy(bool), list(FEATURES))
 
@@ -155,13 +159,15 @@ def first_rule(rules: list[list[tuple[str, str, float]]]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
+def base_failed() -> Column:
+    """Fewer than 50 words, or over half of the words in repeated 3-word windows."""
+    return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+
+
 def verdicts(counted: DataFrame, rules: list[list[tuple[str, str, float]]]) -> DataFrame:
     """``counted`` with ``base_failed``, ``rule`` (of the list, 0 for none) and ``kept``.
 
-    A document fails the base with fewer than 50 words, or with over half of
-    its words in repeated 3-word windows; a null or empty text therefore
-    fails. Repeated rows and null ids are judged row by row; an empty table
+    A null or empty text fails the base. Repeated rows and null ids are judged row by row; an empty table
     gives an empty result; without usable labels no rule removes anything.
     """
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return counted.withColumn("base_failed", failed).withColumn("rule", first_rule(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    return counted.withColumn("base_failed", base_failed()).withColumn("rule", first_rule(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
