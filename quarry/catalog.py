@@ -16,8 +16,8 @@ from quarry.flagship import flagship
 from quarry.plans.joins import join_small
 from quarry.plans.parallel import spread
 from quarry.session import scratch_path
-from quarry.sources.tables import (DOCUMENT_SCHEMA, read_corpus, read_jsonl, table, take_first,
-                                   write_jsonl)
+from quarry.sources.tables import (DOCUMENT_SCHEMA, read_corpus, read_jsonl, sound_rows, table,
+                                   take_first, write_jsonl, write_kept_removed)
 from quarry.streaming.filter_stream import stream_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,7 @@ def q_read_corpus(spark, base):
 
 
 def q_take_first(spark, base):
-    return take_first(_docs(spark, base), 1000, "doc_id").select("doc_id", "n_chars")
+    return take_first(_docs(spark, base), 100, "doc_id").select("doc_id", "n_chars")
 
 
 def q_preview(spark, base):
@@ -75,7 +75,7 @@ def q_language_select(spark, base):
 
 
 def q_topic_extract(spark, base):
-    return quality.topic_extract(_docs(spark, base), TEST_KEYWORDS, 10_000).select("doc_id", "text")
+    return quality.topic_extract(_docs(spark, base), TEST_KEYWORDS, 100).select("doc_id", "text")
 
 
 def q_topic_hits(spark, base):
@@ -119,7 +119,7 @@ def q_few_shot(spark, base):
     mc = prompts.multiple_choice_rows(table(spark, base, "benchmark"))
     items = mc.select("item_id", "subject",
                       prompts.mmlu_prompt(F.col("question"), F.col("choices")).alias("prompt"),
-                      prompts.mmlu_label(F.col("answer")).alias("label"))
+                      prompts.mmlu_label(F.col("answer"), F.col("choices")).alias("label"))
     return prompts.few_shot(items, 5, group_col="subject").select(
         "item_id", "subject", "prompt", "label")
 
@@ -192,8 +192,7 @@ def q_byte_tokens(spark, base):
 
 
 def q_pair_counts(spark, base):
-    sym = _docs(spark, base).select("doc_id", tokens.byte_symbols(F.col("text")).alias("sym"))
-    return tokens.pair_counts(sym).select("left_id", "right_id", "n")
+    return tokens.pair_counts(tokens.byte_chunks(_docs(spark, base))).select("left_id", "right_id", "n")
 
 
 def _trained(spark, base, n):
@@ -238,6 +237,19 @@ def q_token_pieces(spark, base):
         "doc_id", "pos", "token_id", "piece_hex")
 
 
+def q_chatml_messages(spark, base):
+    messages = prompts.conversation_messages(_conv(spark, base))
+    return messages.select("conv_id", prompts.messages_text(F.col("messages")).alias("text"))
+
+
+def q_chat_roundtrip(spark, base):
+    """Chat text encoded with its special markers and decoded again."""
+    _, merges = _trained(spark, base, BPE_MERGES)
+    specials = _specials(len(merges))
+    ids = prompts.chat_chatml(_conv(spark, base)).select("conv_id", tokens.bpe_encode(F.col("text"), merges, specials).alias("ids"))
+    return ids.select("conv_id", tokens.bpe_decode(F.col("ids"), merges, specials).alias("text"))
+
+
 def q_chat_tokenized(spark, base):
     docs, merges = _trained(spark, base, BPE_MERGES)
     chat = prompts.chat_chatml(_conv(spark, base))
@@ -260,7 +272,13 @@ def q_token_histogram(spark, base):
 
 def _padded(spark, base):
     ids, mask = tokens.truncate_pad(F.col("ids"), 256, BYTE_EOS)
-    return _byte_ids(spark, base).select("doc_id", ids.alias("input_ids"), mask.alias("mask"))
+    first = _docs(spark, base).select("doc_id", tokens.first_byte_tokens(F.col("text"), 256).alias("ids"))
+    return first.select("doc_id", ids.alias("input_ids"), mask.alias("mask"))
+
+
+def q_truncate(spark, base):
+    first = tokens.first_byte_tokens(F.col("text"), 512)
+    return _docs(spark, base).select("doc_id", _ids_str(first).alias("input_ids"))
 
 
 def q_truncate_pad(spark, base):
@@ -280,10 +298,9 @@ def q_append_eos(spark, base):
 
 
 def q_pack_tokens(spark, base):
-    docs = _docs(spark, base).select(
-        "doc_id", tokens.byte_tokens(F.col("text")).alias("ids"),
-        F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"))
-    return packing.pack_tokens(docs, 1024, BYTE_EOS, lengths=F.col("n_bytes")).select(
+    docs = _docs(spark, base).select("doc_id", "text")
+    n_bytes = F.octet_length(F.coalesce("text", F.lit("")))
+    return packing.pack_tokens(docs, 1024, BYTE_EOS, ids=tokens.byte_tokens(F.col("text")), lengths=n_bytes).select(
         "block_id", _ids_str(F.col("tokens")).alias("tokens"))
 
 
@@ -356,7 +373,7 @@ def q_embedding_lookup(spark, base):
         "vec_id", F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0),
                                               lambda acc, x: acc + x.cast("double") * x.cast("double"))), 6)
         .alias("norm"))
-    return vectors.embedding_lookup(ids, table_).select("doc_id", "pos", "vec_id", "norm")
+    return vectors.embedding_lookup(ids, table_, vocab_rows=256).select("doc_id", "pos", "vec_id", "norm")
 
 
 def q_token_budget(spark, base):
@@ -368,7 +385,15 @@ def q_token_budget(spark, base):
 def q_jsonl_roundtrip(spark, base):
     path = scratch_path(spark, "jsonl")
     write_jsonl(_docs(spark, base), path)
-    return read_jsonl(spark, path).drop("_corrupt_record")
+    return sound_rows(read_jsonl(spark, path))
+
+
+def q_kept_removed_sinks(spark, base):
+    """Both sides written in one pass, read back with the folder's flag."""
+    path = scratch_path(spark, "kept-removed")
+    write_kept_removed(quality.gopher_annotate(_docs(spark, base)).select("doc_id", "text", "kept", "reason"), path)
+    schema = "doc_id long, text string, reason string, kept boolean"
+    return spark.read.schema(schema).json(path).select("doc_id", "kept", "reason")
 
 
 def q_stream_filter(spark, base):
@@ -381,6 +406,35 @@ def q_quality_classifier(spark, base):
     return classifier.quality_classifier(_docs(spark, base), table(spark, base, "labels"))
 
 
+def q_quality_holdout(spark, base):
+    return classifier.quality_holdout(_docs(spark, base), table(spark, base, "labels"))
+
+
+# Documents made so that each rule fires: built from real texts, so that the
+# work grows with the table.
+RULE_CASES = {
+    "avg_word_low": "repeat('a b ', 40)",
+    "avg_word_high": "concat(repeat('abcdefghijklm ', 60), n)",
+    "ellipsis_ratio": "concat(repeat('word... and the ', 30), n)",
+    "bullet_lines": "concat(repeat('- the words of a longlist\n', 20), '- ', n)",
+    "ellipsis_lines": "concat(repeat('the long words of one line and of the next lines that go on ...\n', 10), n)",
+    "stop_words": "concat(repeat('the word ', 40), n)",
+    "long_doc": "concat(repeat('the words of and ', 25001), n)",
+}
+
+
+def q_gopher_rule_cases(spark, base):
+    """The first failing rule of texts made to break one rule each, one for
+    every document (the very long ones for every hundredth)."""
+    docs = _docs(spark, base).select("doc_id", F.col("n_chars").cast("string").alias("n"))
+    cases = [docs.filter(F.col("doc_id") % 100 == 0) if name == "long_doc" else docs for name in RULE_CASES]
+    made = [d.select("doc_id", F.lit(name).alias("rule"), F.expr(text).alias("text")) for d, (name, text) in zip(cases, RULE_CASES.items())]
+    every = made[0]
+    for m in made[1:]:
+        every = every.unionByName(m)
+    return quality.gopher_annotate(every).select("doc_id", "rule", "reason")
+
+
 def q_flagship(spark, base):
     return flagship(spark, base)
 
@@ -443,5 +497,11 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "stream_filter": q_stream_filter,
     "quality_classifier": q_quality_classifier,
+    "quality_holdout": q_quality_holdout,
+    "gopher_rule_cases": q_gopher_rule_cases,
+    "kept_removed_sinks": q_kept_removed_sinks,
+    "chatml_messages": q_chatml_messages,
+    "chat_roundtrip": q_chat_roundtrip,
+    "truncate": q_truncate,
     "flagship": q_flagship,
 }

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import text_or_empty
 from quarry.operators import dedup, packing, quality, tokens
 from quarry.plans.parallel import spread
+from quarry.session import checkpointed
 from quarry.sources.tables import table
 
 EOS = 256
@@ -21,18 +23,17 @@ def curated(spark: SparkSession, base: str) -> DataFrame:
     docs = spread(table(spark, base, "documents")).select("doc_id", "text")
     # The filtered corpus is read twice by deduplication (signatures and the
     # final anti-join): write it once, like a stage output table.
-    kept = quality.gopher_filter(docs).checkpoint()
-    return dedup.minhash_dedup(kept).checkpoint()
+    kept = checkpointed(quality.gopher_filter(docs))
+    return checkpointed(dedup.minhash_dedup(kept))
 
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:
     """``n_docs, total_tokens, n_blocks, dropped_tokens, n_packed`` for the
     curated corpus; ``n_packed`` counts the blocks actually materialised."""
     docs = curated(spark, base)
-    ids = docs.select("doc_id", tokens.byte_tokens(F.col("text")).alias("ids"),
-                      F.octet_length("text").alias("n_bytes"))
-    blocks = packing.pack_tokens(ids, BLOCK, EOS, lengths=F.col("n_bytes"))
-    report = packing.pack_report(ids.select(F.size("ids").alias("n_tokens")), BLOCK, EOS)
+    n_bytes = F.octet_length(text_or_empty("text"))
+    blocks = packing.pack_tokens(docs, BLOCK, EOS, ids=tokens.byte_tokens(F.col("text")), lengths=n_bytes)
+    report = packing.pack_report(docs.select(n_bytes.alias("n_tokens")), BLOCK, EOS)
     packed = blocks.agg(F.count(F.lit(1)).alias("n_packed"))
     # Both sides are single-row aggregates.
     return (report.withColumn("_k", F.lit(0))

@@ -19,8 +19,3 @@ def md5_prefix_int(s: Column, hex_digits: int) -> Column:
 def md5_u32(s: Column) -> Column:
     """Uniform 32-bit integer in [0, 2^32)."""
     return md5_prefix_int(s, 8)
-
-
-def seeded_key(seed: int | str, value: Column) -> Column:
-    """``md5_u32('<seed>:<value>')``."""
-    return md5_u32(F.concat(F.lit(f"{seed}:"), value.cast("string")))

@@ -46,12 +46,6 @@ def _escape(s: str) -> str:
     return "".join(out)
 
 
-def count_substr(text: Column, needle: str) -> Column:
-    """Non-overlapping occurrences of ``needle`` in ``text``."""
-    removed = F.length(text) - F.length(F.replace(text, F.lit(needle), F.lit("")))
-    return (removed / F.lit(len(needle))).cast("long") if len(needle) > 1 else removed
-
-
 def preview(text: Column, n: int = 100, placeholder: str = "[No Text Found]") -> Column:
     """First ``n`` characters followed by ``...``; a placeholder when empty."""
     t = text_or_empty(text)

@@ -3,8 +3,9 @@
 Near duplicates follow the MinHash / LSH scheme: word 5-gram shingles, 160
 minimum hashes split into 20 bands of 8, documents sharing any band are
 linked, connected components are clusters, and the smallest id of a
-cluster is kept. Only ``(doc_id, hashes)`` travel through the shuffles; text
-is never carried past the first projection.
+cluster is kept. Only ids and hashes travel through these shuffles; the
+final removal is an anti join against a list of ids, broadcast when its
+measured size allows, so that texts are shuffled only beyond that.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from pyspark.sql import types as T
 
 from quarry.functions.text import normalise, normalised_words
 from quarry.plans.components import connected_components
+from quarry.plans.joins import remove_listed
+from quarry.session import checkpointed
 
 PRIME = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
 class MinhashConfig:
+    # Bands, rows per band and words per shingle of the dedup step.
     num_buckets: int = 20
     hashes_per_bucket: int = 8
     n_grams: int = 5
@@ -51,14 +55,18 @@ def hash_coefficients(cfg: MinhashConfig = MinhashConfig()) -> list[tuple[int, i
 # --- exact -----------------------------------------------------------------
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows whose normalised text is first seen (smallest id). A hash
-    aggregation with map-side partial ``min``: a text repeated across a third
-    of the corpus is one entry per task before the shuffle. The kept ids are
-    semi-joined back, so text never enters the shuffle."""
-    key = F.sha2(normalise(F.coalesce(F.col(text_col), F.lit(""))), 256)
-    keep = df.select(key.alias("_h"), F.col(id_col).alias("_id")).groupBy("_h").agg(
-        F.min("_id").alias(id_col))
-    return df.join(keep.select(id_col), id_col, "left_semi")
+    """Rows whose normalised text is first seen (smallest id). A text without
+    any letter or digit is compared as it is. A hash aggregation with map-side
+    partial ``min``: a text repeated across a third of the corpus is one entry
+    per task before the shuffle; the other ids of repeated texts are the
+    removal list."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = normalise(text)
+    key = F.sha2(F.when(plain == "", F.concat(F.lit("\u0000"), text)).otherwise(plain), 256)
+    rows = df.select(key.alias("_h"), F.col(id_col).alias("_id"))
+    repeated = rows.groupBy("_h").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    removed = rows.join(repeated, "_h").filter(F.col("_id") != F.col("_first"))
+    return remove_listed(df, removed.select(F.col("_id").alias(id_col)), id_col)
 
 
 # --- shingles and signatures ----------------------------------------------
@@ -80,9 +88,10 @@ def with_shingles(df: DataFrame, text_col: str = "text", n: int = 5,
 
 
 def hash_shingles(shingle_array: Column) -> Column:
-    """28-bit hash of every distinct shingle (first 7 hex digits of MD5)."""
+    """31-bit hash of every distinct shingle (first 8 hex digits of MD5, modulo
+    2^31 - 1); ``a * h + b`` still fits a bigint."""
     return F.array_distinct(F.transform(
-        shingle_array, lambda s: F.conv(F.substring(F.md5(s), 1, 7), 16, 10).cast("long")))
+        shingle_array, lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long") % PRIME))
 
 
 def _minhash_batches(coeffs: list[tuple[int, int]]):
@@ -113,10 +122,6 @@ def _minhash_batches(coeffs: list[tuple[int, int]]):
     return run
 
 
-SIGNATURE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
-                                 T.StructField("signature", T.ArrayType(T.LongType()))])
-
-
 def minhash_signatures(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, signature array<bigint>[160])`` for documents with at least
@@ -124,13 +129,15 @@ def minhash_signatures(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
     per document run as one vectorised numpy pass per Arrow batch (each hash
     function is applied to every shingle hash of the batch, then reduced per
     document segment)."""
-    hashed = with_shingles(df.select(F.col(id_col).cast("long").alias("doc_id"), text_col),
+    hashed = with_shingles(df.select(F.col(id_col).alias("doc_id"), text_col),
                            text_col, cfg.n_grams).select(
         "doc_id", hash_shingles(F.col("shingles")).alias("hashes"))
     # No filter on the derived array here: Catalyst would push it below the
     # projections and inline the word split into the n-gram lambda. Rows
     # without shingles are skipped inside the Arrow kernel instead.
-    return hashed.mapInArrow(_minhash_batches(hash_coefficients(cfg)), SIGNATURE_SCHEMA)
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType),
+                           T.StructField("signature", T.ArrayType(T.LongType()))])
+    return hashed.mapInArrow(_minhash_batches(hash_coefficients(cfg)), schema)
 
 
 def band_keys(signatures: DataFrame, cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
@@ -175,7 +182,7 @@ def collapsed_edges(sigs: DataFrame, cfg: MinhashConfig = MinhashConfig()) -> Da
     h = sigs.select("doc_id", F.md5(F.array_join("signature", " ")).alias("_sh"), "signature")
     reps = h.groupBy("_sh").agg(F.min("doc_id").alias("_rep"))
     # One join serves both outputs (the exchange is reused in the plan).
-    j = h.join(reps, "_sh").checkpoint()
+    j = checkpointed(h.join(reps, "_sh"))
     copies = (j.filter(F.col("doc_id") != F.col("_rep"))
               .select(F.col("doc_id").alias("src"), F.col("_rep").alias("dst")))
     rep_sigs = j.filter(F.col("doc_id") == F.col("_rep")).select("doc_id", "signature")
@@ -189,7 +196,7 @@ def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
     # Signatures are a stage table (like the signature folder of a staged
     # pipeline): both sides of the bucket join derive from them, so they are
     # written once to the checkpoint folder instead of being hashed twice.
-    sigs = minhash_signatures(df, cfg, id_col, text_col).checkpoint()
+    sigs = checkpointed(minhash_signatures(df, cfg, id_col, text_col))
     cc = connected_components(collapsed_edges(sigs, cfg))
     return cc.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
@@ -202,7 +209,7 @@ def minhash_dedup(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
     cl = clusters if clusters is not None else duplicate_clusters(df, cfg, id_col, text_col)
     removed = cl.filter(F.col("doc_id") != F.col("cluster_id")).select(
         F.col("doc_id").alias(id_col))
-    return df.join(removed, id_col, "left_anti")
+    return remove_listed(df, removed, id_col)
 
 
 def duplicates_removed(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),

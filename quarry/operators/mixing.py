@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import md5_prefix_int, md5_u32
 from quarry.plans.joins import join_small
 from quarry.plans.ordering import row_rank
+from quarry.session import checkpointed
 
 # The mixture of the data-mixing step.
 MIX_SOURCES = ["web", "knowledge", "code"]
@@ -25,11 +26,6 @@ MIX_SEED = 42
 DRAWS_PER_BUCKET = 1 << 16
 
 
-def tag_source(df: DataFrame, name: str, col: str = "source") -> DataFrame:
-    """Add a constant provenance column."""
-    return df.withColumn(col, F.lit(name))
-
-
 def thresholds(probabilities: list[float]) -> list[int]:
     """Integer cut points on [0, 2^32) for cumulative probabilities."""
     total = float(sum(probabilities))
@@ -61,30 +57,36 @@ def mix_sources(df: DataFrame, names: list[str] = MIX_SOURCES,
                 source_col: str = "source", order_col: str = "doc_id") -> DataFrame:
     """Interleave sources: at position ``pos`` draw a source with the given
     probabilities and take its next row (in ``order_col`` order). Stops after
-    the row that exhausts a source (first-exhausted). Returns ``pos,
-    source`` and the row's columns."""
+    the row that exhausts a source (first-exhausted); a source without rows
+    ends it when it is first drawn. Returns ``pos, source`` and the row's
+    columns; ``order_col`` must be unique."""
     spark = df.sparkSession
     df = df.filter(F.col(source_col).isin(names))
     # One row per named source reaches the driver.
     counts = {r[0]: int(r[1]) for r in df.groupBy(source_col).count().collect()}
     sizes = [counts.get(s, 0) for s in names]
-    if any(n == 0 for n, p in zip(sizes, probabilities) if p > 0):
-        return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
-    ranked = row_rank(df, [order_col], [source_col])
+    # Only the keys are ranked; other columns join back by the order key.
+    ranked = row_rank(df.select(order_col, source_col), [order_col], [source_col])
     size_df = spark.createDataFrame(list(zip(names, sizes)), f"{source_col} string, _size long")
     # An optimistic draw count almost always covers the first exhausted
-    # source; sum(n_i - 1) + 1 draws always do (pigeonhole).
-    guess = int(min(n / p for n, p in zip(sizes, probabilities) if p > 0) * 1.25) + 1024
-    cap = sum(sizes) - len(sizes) + 1
-    for n_draws in sorted({min(guess, cap), cap}):
-        draws = _draws(spark, n_draws, names, probabilities, seed).withColumnRenamed(
-            "source", source_col)
-        last = (join_small(draws, size_df, source_col, max_rows=len(names))
-                .filter(F.col("rank") == F.col("_size")).agg(F.min("pos")).collect()[0][0])
-        if last is not None:
-            break
+    # source; sum(n_i - 1) + 1 draws always do (pigeonhole). A source without
+    # rows ends the stream at its first draw.
+    live = [(n, p) for n, p in zip(sizes, probabilities) if p > 0]
+    guess = int(min(n / p for n, p in live) * 1.25) + 1024
+    cap = max(0, sum(max(n - 1, 0) for n, _ in live)) + 1
+    empty = [s for s, n, p in zip(names, sizes, probabilities) if p > 0 and n == 0]
+    n_draws, last = min(guess, cap), None
+    while last is None:
+        draws = checkpointed(_draws(spark, n_draws, names, probabilities, seed).withColumnRenamed(
+            "source", source_col))
+        ends = join_small(draws, size_df, source_col, max_rows=len(names)).filter(
+            (F.col("rank") == F.col("_size")) | ((F.col("_size") == 0) & (F.col("rank") == 1)))
+        last = ends.agg(F.min("pos")).first()[0]
+        n_draws = max(cap, 2 * n_draws) if empty else cap
     taken = draws.filter(F.col("pos") <= last)
-    return taken.join(ranked, [source_col, "rank"]).drop("rank")
+    out = taken.join(ranked, [source_col, "rank"]).drop("rank")
+    more = [c for c in df.columns if c not in (order_col, source_col)]
+    return out.join(df.select(order_col, *more), order_col) if more else out
 
 
 def source_group(source: Column) -> Column:

@@ -15,28 +15,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.tokens import append_eos
+from quarry.plans.joins import null_safe_join
 from quarry.plans.ordering import prefix_sum
 
 
 def pack_tokens(df: DataFrame, block_size: int = 1024, eos_id: int | None = None,
-                ids_col: str = "ids", order_col: str = "doc_id",
+                ids: Column | str = "ids", order_col: str = "doc_id",
                 n_buckets: int | None = None, lengths: Column | None = None) -> DataFrame:
-    """``(block_id, tokens array<int>)``: documents in ``order_col`` order,
-    ``eos_id`` appended to each (also to empty ones), the stream cut into
-    ``block_size`` blocks, the incomplete tail dropped.
+    """``(block_id, tokens array<int>)``: documents in ``order_col`` order
+    (unique, of any type), ``eos_id`` appended to each (also to empty ones),
+    the stream cut into ``block_size`` blocks, the incomplete tail dropped.
 
     ``lengths`` may give each document's token count without tokenising
-    (e.g. ``octet_length(text)`` for byte tokens); then the offset pass reads
-    only the lengths and the ids are built once, in the final pass."""
+    (e.g. ``octet_length(text)`` for byte tokens). Offsets are computed on
+    ids and lengths alone and joined back; the token ids, an expression over
+    the columns of ``df``, are built after that join."""
     B = block_size
-    ids = F.col(ids_col)
+    tokens = F.col(ids) if isinstance(ids, str) else ids
     extra = 1 if eos_id is not None else 0
-    n_expr = (lengths + F.lit(extra)) if lengths is not None else None
-    docs = df.select(order_col, (append_eos(ids, eos_id) if eos_id is not None else ids).alias("_ids"),
-                     *([n_expr.alias("_n")] if n_expr is not None else []))
-    if n_expr is None:
-        docs = docs.withColumn("_n", F.size("_ids"))
-    docs = prefix_sum(docs, [order_col], F.col("_n"), n_buckets=n_buckets, out="_off")
+    count = (lengths if lengths is not None else F.size(tokens)) + F.lit(extra)
+    offsets = prefix_sum(df.select(order_col, count.alias("_n")), [order_col], F.col("_n"), n_buckets=n_buckets, out="_off")
+    docs = null_safe_join(df, offsets, [order_col]).select(
+        "_off", "_n", (append_eos(tokens, eos_id) if eos_id is not None else tokens).alias("_ids"))
     o, n = F.col("_off"), F.col("_n")
     first, last = F.floor(o / B), F.floor((o + n - 1) / B)
 
@@ -46,7 +46,7 @@ def pack_tokens(df: DataFrame, block_size: int = 1024, eos_id: int | None = None
         return F.struct(b.alias("block_id"), F.greatest(o - b * B, F.lit(0)).alias("at"),
                         F.slice("_ids", start + 1, end - start).alias("piece"))
 
-    pieces = docs.filter(n > 0).select(F.inline(F.transform(F.sequence(first, last), piece)))
+    pieces = docs.select(F.inline(F.when(n > 0, F.transform(F.sequence(first, last), piece))))
     blocks = pieces.groupBy("block_id").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))),
                               lambda x: x["piece"])).alias("tokens"))

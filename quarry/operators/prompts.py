@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import capitalize, words
-from quarry.plans.joins import join_small
+from quarry.plans.joins import null_safe_join
 
 # Special-token strings of the chat vocabulary.
 EOS_TOKEN = "<|endoftext|>"
@@ -57,6 +57,33 @@ def format_instruction(rows: DataFrame) -> DataFrame:
                                         F.col("output")).alias("text"))
 
 
+def line_roles(role: Column, text: Column) -> Column:
+    name = F.when(role == "user", "Human").otherwise("Assistant")
+    return F.concat(F.lit("### "), name, F.lit(": "), _s(text), F.lit("\n"))
+
+
+def line_custom(role: Column, text: Column) -> Column:
+    return F.concat(F.lit("### "), capitalize(_s(role)), F.lit(": "), _s(text), F.lit("\n"))
+
+
+def line_chatml(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(IM_START), _s(role), F.lit("\n"), _s(text), F.lit(IM_END + "\n"))
+
+
+def messages_text(messages: Column, line=line_chatml, suffix: str = IM_START + "assistant\n") -> Column:
+    """Format of an ``array<struct<role, content>>``: row-local, no shuffle.
+    A missing array has no turns; a missing role is empty."""
+    lines = F.transform(F.coalesce(messages, F.array().cast("array<struct<role:string,content:string>>")),
+                        lambda m: line(m["role"], m["content"]))
+    return F.concat(F.array_join(lines, ""), F.lit(suffix))
+
+
+def conversation_messages(conv: DataFrame) -> DataFrame:
+    """``conv_id, messages``: the turns of each conversation as an array."""
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    return conv.groupBy("conv_id").agg(F.transform(ordered, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+
+
 def _per_conversation(conv: DataFrame, line: Column, suffix: str = "") -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct(F.col("turn"), line.alias("line"))))
     body = F.array_join(F.transform(ordered, lambda x: x["line"]), "")
@@ -66,24 +93,19 @@ def _per_conversation(conv: DataFrame, line: Column, suffix: str = "") -> DataFr
 def format_roles(conv: DataFrame) -> DataFrame:
     """``### Human: x`` for user turns, ``### Assistant: x`` for every other
     role (system included), one line per turn."""
-    role = F.when(F.col("role") == "user", "Human").otherwise("Assistant")
-    return _per_conversation(conv, F.concat(F.lit("### "), role, F.lit(": "),
-                                            _s(F.col("text")), F.lit("\n")))
+    return _per_conversation(conv, line_roles(F.col("role"), F.col("text")))
 
 
 def chat_custom(conv: DataFrame, add_generation_prompt: bool = True) -> DataFrame:
     """``### <Role>: content`` per turn, role capitalised (first letter up,
     rest down), then ``### Assistant: `` when a reply is requested."""
-    line = F.concat(F.lit("### "), capitalize(F.col("role")), F.lit(": "),
-                    _s(F.col("text")), F.lit("\n"))
-    return _per_conversation(conv, line, "### Assistant: " if add_generation_prompt else "")
+    return _per_conversation(conv, line_custom(F.col("role"), F.col("text")), "### Assistant: " if add_generation_prompt else "")
 
 
 def chat_chatml(conv: DataFrame, add_generation_prompt: bool = True) -> DataFrame:
-    """ChatML layout built from the start/end markers."""
-    line = F.concat(F.lit(IM_START), F.col("role"), F.lit("\n"), _s(F.col("text")),
-                    F.lit(IM_END + "\n"))
-    return _per_conversation(conv, line, IM_START + "assistant\n" if add_generation_prompt else "")
+    """ChatML layout built from the start/end markers; a turn without a role
+    keeps its text under an empty role."""
+    return _per_conversation(conv, line_chatml(F.col("role"), F.col("text")), IM_START + "assistant\n" if add_generation_prompt else "")
 
 
 def multiple_choice_rows(benchmark: DataFrame) -> DataFrame:
@@ -114,14 +136,17 @@ def mmlu_prompt(question: Column, choices: Column) -> Column:
     return F.when(F.size(choices) <= len(CHOICE_LETTERS), prompt)
 
 
-def mmlu_label(answer: Column) -> Column:
+def mmlu_label(answer: Column, choices: Column | None = None) -> Column:
+    """The answer's letter; NULL for an item with more choices than letters
+    (it has no prompt either)."""
     letters = F.array(*[F.lit(x) for x in CHOICE_LETTERS])
-    return F.get(letters, answer)
+    label = F.get(letters, answer)
+    return label if choices is None else F.when(F.size(choices) <= len(CHOICE_LETTERS), label)
 
 
 def format_mmlu(mc: DataFrame) -> DataFrame:
     return mc.select("item_id", mmlu_prompt(F.col("question"), F.col("choices")).alias("prompt"),
-                     mmlu_label(F.col("answer")).alias("label"))
+                     mmlu_label(F.col("answer"), F.col("choices")).alias("label"))
 
 
 def extract_answer(s: Column) -> Column:
@@ -162,7 +187,8 @@ def few_shot(items: DataFrame, k: int, group_col: str | None = None,
                  lambda x: x["s"]), "").alias("_shots"),
                   F.max(order_col).alias("_last")))
     bound = None if (group_col and max_groups is None) else (max_groups or 1)
-    out = join_small(keyed, shots, "_g", max_rows=bound).filter(
-        F.col(order_col) > F.col("_last"))
+    joined = (null_safe_join(keyed, shots, ["_g"]) if bound is None
+              else null_safe_join(keyed, F.broadcast(shots), ["_g"]))
+    out = joined.filter(F.col(order_col) > F.col("_last"))
     return out.withColumn("prompt", F.concat(F.col("_shots"), F.col("prompt"))).drop(
         "_g", "_shots", "_last")

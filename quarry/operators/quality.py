@@ -65,7 +65,7 @@ def _gopher_columns(df: DataFrame, text_col: str, rules: GopherRules) -> DataFra
         F.size(F.filter(lines, lambda ln: F.rtrim(ln).endswith("...")
                         | F.rtrim(ln).endswith("\u2026"))).alias("_ell_lines"),
         F.size(F.filter(ws, lambda w: w.rlike(r"\p{L}"))).alias("_alpha"),
-        F.size(F.filter(ws, lambda w: F.array_contains(stops, w))).alias("_n_stop"),
+        F.size(F.array_intersect(stops, ws)).alias("_n_stop"),
     )
     c = F.col
     avg_len = c("_nsw_chars") / F.nullif(c("_n_nsw"), F.lit(0))
@@ -167,10 +167,10 @@ def topic_match(text: Column, keywords: list[str]) -> Column:
 
 
 def topic_extract(df: DataFrame, keywords: list[str] = HISTORY_KEYWORDS,
-                  limit: int | None = 10_000, text_col: str = "text",
+                  limit: int | None = None, text_col: str = "text",
                   order_by: str = "doc_id") -> DataFrame:
-    """Original records whose text mentions a keyword; the first ``limit``
-    of them in ``order_by`` order (the collection target)."""
+    """Original records whose text mentions a keyword; with ``limit`` only the
+    first of them in ``order_by`` order (a collection target)."""
     hits = df.filter(topic_match(F.col(text_col), keywords))
     return take_first(hits, limit, order_by) if limit else hits
 

@@ -1,31 +1,33 @@
-"""Byte-level tokens and byte-pair encoding as Spark expressions.
+"""Byte-level tokens and byte-pair encoding.
 
-A token sequence is held as a *symbol string*: one character per token,
-code point = token id (ids at or above 0xD800 are shifted past the
+Training holds a token sequence as a *symbol string*: one character per
+token, code point = token id (ids at or above 0xD800 are shifted past the
 surrogate block). Bytes become symbols with a Latin-1 decode of the UTF-8
 bytes, so a document's byte ids cost one built-in call. A merge
 ``(l, r) -> new`` is ``replace(s, chr(l) || chr(r), chr(new))``: the
 built-in replace scans left to right and never overlaps, which is exactly
-the merge rule (``aaa`` with ``(a, a)`` gives ``Xa``). Decoding replaces
-each merged symbol by its pair, newest merge first, then re-encodes Latin-1
-and reads UTF-8 (invalid sequences become U+FFFD).
-
-Training counts adjacent symbol pairs with a look-ahead regex (overlapping
-pairs counted) and a hash aggregation; each round sends one pair to the
-driver. Encode/decode nest one ``replace`` per merge, which suits merge
-tables of tens to a few hundred entries.
+the merge rule (``aaa`` with ``(a, a)`` gives ``Xa``). Each round counts the
+adjacent pairs in Arrow batches (overlapping pairs counted), sums them in a
+hash aggregation and sends one pair to the driver.
+
+Encoding and decoding take merge tables of any size: Arrow UDFs with the
+table as a broadcast variable. Encoding keeps, for a batch of texts, the
+places of every pair by merge rank and works through the ranks in order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.text import text_or_empty
-from quarry.plans.ordering import row_rank
 from quarry.plans.parallel import spread
+from quarry.session import checkpointed
 
 SURROGATE_LO, SURROGATE_HI = 0xD800, 0xE000
 
@@ -48,14 +50,6 @@ def symbol_ids(sym: Column) -> Column:
     return F.when(sym == "", F.array().cast("array<int>")).otherwise(ids)
 
 
-def ids_symbols(ids: Column) -> Column:
-    """Symbol string of an ``array<int>`` of token ids (via UTF-32)."""
-    cps = F.transform(ids, lambda i: F.when(i >= SURROGATE_LO,
-                                            i + (SURROGATE_HI - SURROGATE_LO)).otherwise(i))
-    hexed = F.array_join(F.transform(cps, lambda cp: F.lpad(F.hex(cp), 8, "0")), "")
-    return F.coalesce(F.decode(F.unhex(hexed), "UTF-32"), F.lit(""))
-
-
 def byte_tokens(text: Column) -> Column:
     """``list(text.encode('utf-8'))`` as ``array<int>``."""
     return symbol_ids(byte_symbols(text))
@@ -77,117 +71,212 @@ def apply_merges(sym: Column, merges: list[Merge]) -> Column:
     return out
 
 
-def expand_merges(sym: Column, merges: list[Merge]) -> Column:
-    """Undo merges, newest first, leaving byte symbols."""
-    out = sym
-    for m in sorted(merges, key=lambda m: -m.rank):
-        out = F.replace(out, F.lit(symbol(m.new_id)), F.lit(symbol(m.left) + symbol(m.right)))
-    return out
+def _encode_kernel(shared, specials: list[tuple[bytes, int]]):
+    """Texts to ids. A closure, so executors need not import this package."""
+
+    def split_specials(raw: bytes):
+        """``raw`` cut at special strings: bytes, or the id of a special."""
+        parts = [raw]
+        for mark, tid in specials:
+            out = []
+            for part in parts:
+                pieces = part.split(mark) if isinstance(part, bytes) else [part]
+                for i, piece in enumerate(pieces):
+                    out += [tid, piece] if i else [piece]
+            parts = out
+        return parts
+
+    def run(texts):
+        import heapq
+        import re
+
+        import numpy as np
+        import pyarrow as pa
+        left, right, new = shared.value
+        table = {}
+        for rank, (l, r) in enumerate(zip(left.tolist(), right.tolist())):
+            table.setdefault(l << 32 | r, rank)
+        keys = np.array(sorted(table), np.int64)
+        ranks = np.array([table[k] for k in keys.tolist()], np.int64)
+        marks = re.compile(b"|".join(re.escape(m) for m, _ in specials)) if specials else None
+        ids, lens = [], []
+        for t in texts.to_pylist():
+            raw = (t or "").encode("utf-8", "replace")
+            if marks and marks.search(raw):
+                pieces = [np.frombuffer(p, np.uint8).astype(np.int64) if isinstance(p, bytes) else np.array([p]) for p in split_specials(raw)]
+                ids.append(np.concatenate(pieces))
+            else:
+                ids.append(np.frombuffer(raw, np.uint8).astype(np.int64))
+            lens.append(len(ids[-1]))
+        sym = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        ends = np.cumsum(lens)
+        n = len(sym)
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        if n:
+            last = ends[np.array(lens) > 0] - 1
+            nxt[last] = -1
+            prv[np.r_[0, last[:-1] + 1]] = -1
+        waiting, queue = {}, []
+
+        def note(at):
+            """File the pairs that start at these places under their ranks."""
+            at = at[nxt[at] >= 0] if len(at) else at
+            if not len(at) or not len(keys):
+                return
+            key = sym[at] << 32 | sym[nxt[at]]
+            slot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[slot] == key
+            at, found = at[hit], ranks[slot[hit]]
+            by = np.argsort(found, kind="stable")
+            at, found = at[by], found[by]
+            cut = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else []
+            for a, b in zip(cut, np.r_[cut[1:], len(found)] if len(found) else []):
+                rank = int(found[a])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(queue, rank)
+                waiting[rank].append(at[a:b])
+
+        note(np.arange(n))
+        while queue:
+            rank = heapq.heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(rank)))
+            l, r = int(left[rank]), int(right[rank])
+            at = at[(sym[at] == l) & (nxt[at] >= 0)]
+            at = at[sym[nxt[at]] == r]
+            if l == r and len(at):  # overlapping pairs: every other one of a run, from the left
+                start = np.r_[True, nxt[at[:-1]] != at[1:]]
+                place = np.arange(len(at))
+                at = at[(place - place[start][np.cumsum(start) - 1]) % 2 == 0]
+            gone = nxt[at]
+            sym[at], sym[gone] = new[rank], -1
+            after = nxt[gone]
+            nxt[at] = after
+            prv[after[after >= 0]] = at[after >= 0]
+            before = prv[at]
+            note(np.unique(np.r_[at, before[before >= 0]]))
+        live = sym >= 0
+        counts = np.concatenate([[0], np.cumsum(live)])[np.r_[0, ends].astype(np.int64)]
+        return pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(sym[live].astype(np.int32)))
+
+    def sliced(texts):
+        """About a million bytes at a time (a longer text alone)."""
+        import pyarrow as pa
+        out, start, held = [], 0, 0
+        for i, t in enumerate(texts):
+            size = len(t.as_buffer()) if t.is_valid else 0
+            if i > start and held + size > (1 << 20):
+                out.append(run(texts.slice(start, i - start)))
+                start, held = i, 0
+            held += size
+        out.append(run(texts.slice(start)))
+        return pa.concat_arrays(out)
+
+    return sliced
 
 
-def symbols_text(sym: Column) -> Column:
-    """Byte symbols back to text; invalid UTF-8 becomes U+FFFD, never an error."""
-    return F.make_valid_utf8(F.encode(sym, "ISO-8859-1").cast("string"))
+def _shared_merges(merges: list[Merge]):
+    import numpy as np
+    ordered = sorted(merges, key=lambda m: m.rank)
+    columns = [np.array([getattr(m, f) for m in ordered], np.int64) for f in ("left", "right", "new_id")]
+    return SparkSession.getActiveSession().sparkContext.broadcast(tuple(columns))
 
 
 def bpe_encode(text: Column, merges: list[Merge], specials: dict[str, int] | None = None) -> Column:
-    """Text to token ids. Special strings (e.g. chat markers) become their
-    reserved ids first, so no merge can touch them."""
-    sym = byte_symbols(text)
-    for s, tid in (specials or {}).items():
-        sym = F.replace(sym, F.lit(s), F.lit(symbol(tid)))
-    return symbol_ids(apply_merges(sym, merges))
+    """Text to token ids (``array<int>``). Merges apply in rank order, each to
+    all its pairs from left to right; a merge's parts must come before it, as
+    in any trained table. Special strings become their ids first, the first
+    listed first, and no merge touches them. A missing text is empty."""
+    run = _encode_kernel(_shared_merges(merges), [(s.encode(), tid) for s, tid in (specials or {}).items()])
+
+    def encode(texts: pa.Array) -> pa.Array:
+        return run(texts)
+
+    return F.arrow_udf(encode, returnType="array<int>")(text)
 
 
 def bpe_decode(ids: Column, merges: list[Merge], specials: dict[str, int] | None = None) -> Column:
-    sym = ids_symbols(ids)
-    for s, tid in (specials or {}).items():
-        sym = F.replace(sym, F.lit(symbol(tid)), F.lit(s))
-    return symbols_text(expand_merges(sym, merges))
-
-
-PAIRS = r"(?s)(?=(..))"
-
-
-def pair_counts(sym_df: DataFrame, sym_col: str = "sym", id_col: str = "doc_id",
-                weight_col: str | None = None, packed_first: bool = False) -> DataFrame:
-    """Adjacent pair counts (overlapping occurrences counted) with the first
-    occurrence ``(doc_id, position)``: ``left_id, right_id, n, first``.
-    Pairs never cross rows. With ``packed_first`` the id is a dense chunk
-    rank below 2^32 and the first occurrence is the single bigint
-    ``rank * 2^31 + position``, which keeps the aggregation a fixed-width
-    hash aggregation (a struct minimum would force a sort aggregation)."""
-    w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
-    exploded = sym_df.select(F.col(id_col).alias("doc_id"), w.alias("_w"), F.posexplode(
-        F.regexp_extract_all(F.col(sym_col), F.lit(PAIRS), 1)).alias("pos", "pair"))
-    if packed_first:
-        first = F.min(F.col("doc_id") * F.lit(1 << 31) + F.col("pos")).alias("first")
-    else:
-        first = F.min(F.struct("doc_id", "pos")).alias("first")
-    agg = exploded.groupBy("pair").agg(F.sum("_w").alias("n"), first)
-    return agg.select(_sym_id(F.substring("pair", 1, 1)).alias("left_id"),
-                      _sym_id(F.substring("pair", 2, 1)).alias("right_id"), "n", "first")
+    """Token ids to text; invalid UTF-8 becomes U+FFFD, never an error. An
+    unknown id is U+FFFD too; missing ids are an empty text."""
+    pieces = vocab_bytes(merges) | {tid: s.encode() for s, tid in (specials or {}).items()}
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(pieces)
 
+    def decode(ids: pa.Array) -> pa.Array:
+        table = shared.value
+        unknown = "\ufffd".encode()
+        return pa.array([b"".join([table.get(i, unknown) for i in row or ()]).decode("utf-8", "replace") for row in ids.to_pylist()], pa.string())
 
-PAIR_COUNT_SCHEMA = "left_id int, right_id int, n long, first long"
+    return F.arrow_udf(decode, returnType="string")(ids)
 
 
 def _pair_count_kernel():
-    """Build the per-batch pair counter. A closure (not a module-level
-    function) so executors unpickle it by value without importing this
-    package."""
+    """The per-batch pair counter. A closure (not a module-level function) so
+    executors unpickle it by value without importing this package."""
     lo, hi = SURROGATE_LO, SURROGATE_HI
 
     def run(batches):
-        """Per Arrow batch: code points of every symbol string, adjacent pairs
-        inside each row, then a local aggregation (weighted count, smallest
-        ``rank * 2^31 + position``) per distinct pair. Emits one row per pair
-        and batch, so the shuffle carries pre-aggregated counts only."""
+        """Adjacent pairs of every symbol string, summed by pair: weighted
+        count and the first occurrence ``(doc_id, position)``, for about a
+        million symbols at a time. The shuffle carries these sums only."""
         import numpy as np
         import pyarrow as pa
-        shift = hi - lo
-        for batch in batches:
-            syms = batch.column("sym").to_pylist()
-            ranks = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            weights = batch.column("weight").to_numpy(zero_copy_only=False).astype(np.int64)
-            cps = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in syms]
-            lens = np.array([len(c) for c in cps], dtype=np.int64)
-            npairs = np.maximum(lens - 1, 0)
-            if npairs.sum() == 0:
+
+        def parts(batch):
+            start, held = 0, 0
+            for i, t in enumerate(batch.column("sym")):
+                size = len(t.as_buffer())
+                if i > start and held + size > (1 << 21):
+                    yield batch.slice(start, i - start)
+                    start, held = i, 0
+                held += size
+            yield batch.slice(start)
+
+        for batch in (p for b in batches if b.num_rows for p in parts(b)):
+            # Rows in the order of their ids, so that the first place of a
+            # pair in this order is its first occurrence.
+            order = pc.sort_indices(batch, sort_keys=[("doc_id", "ascending"), ("chunk_pos", "ascending")], null_placement="at_start")
+            batch = batch.take(order)
+            text = batch.column("sym").to_pylist()
+            lens = np.fromiter(map(len, text), np.int64, len(text))
+            cps = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.int64)
+            if len(cps) < 2:
+                continue
+            row = np.repeat(np.arange(len(lens)), lens)
+            at = np.flatnonzero(row[1:] == row[:-1])
+            if not len(at):
                 continue
-            allcp = np.concatenate(cps).astype(np.int64)
-            ids = np.where(allcp >= hi, allcp - shift, allcp)
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            row = np.repeat(np.arange(len(cps)), npairs)
-            pos = np.arange(npairs.sum()) - np.repeat(np.cumsum(npairs) - npairs, npairs)
-            at = starts[row] + pos
-            key = ids[at] * (1 << 21) + ids[at + 1]
-            first = ranks[row] * (1 << 31) + pos
-            order = np.argsort(key, kind="stable")
-            key, first, w = key[order], first[order], weights[row][order]
-            seg = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-            ukey = key[seg]
+            ids = np.where(cps >= hi, cps - (hi - lo), cps)
+            key = ids[at] << 21 | ids[at + 1]
+            by = np.argsort(key, kind="stable")
+            key, at = key[by], at[by]
+            seg = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            weights = batch.column("weight").to_numpy(zero_copy_only=False)
+            begin = np.cumsum(lens) - lens
+            first = at[seg]
+            rows = pa.array(row[first])
             yield pa.RecordBatch.from_arrays([
-                pa.array((ukey >> 21).astype(np.int32)),
-                pa.array((ukey & ((1 << 21) - 1)).astype(np.int32)),
-                pa.array(np.add.reduceat(w, seg)), pa.array(np.minimum.reduceat(first, seg))],
-                ["left_id", "right_id", "n", "first"])
+                pa.array((key[seg] >> 21).astype(np.int32)), pa.array((key[seg] & ((1 << 21) - 1)).astype(np.int32)),
+                pa.array(np.add.reduceat(weights[row[at]], seg)), batch.column("doc_id").take(rows),
+                batch.column("chunk_pos").take(rows), pa.array(first - begin[row[first]])],
+                ["left_id", "right_id", "n", "doc_id", "chunk_pos", "pos"])
     return run
 
 
-def pair_counts_arrow(chunks: DataFrame) -> DataFrame:
-    """Same result as ``pair_counts(..., packed_first=True)`` for a chunk table
-    ``(doc_id = dense rank < 2^32, weight, sym)``; the per-pair work runs as
-    a numpy pass per Arrow batch followed by a Spark aggregation."""
-    partial = chunks.select("doc_id", "weight", "sym").mapInArrow(
-        _pair_count_kernel(), PAIR_COUNT_SCHEMA)
-    return partial.groupBy("left_id", "right_id").agg(F.sum("n").alias("n"),
-                                                      F.min("first").alias("first"))
+def pair_counts(chunks: DataFrame) -> DataFrame:
+    """Adjacent pair counts (overlapping occurrences counted, pairs never cross
+    rows) over ``doc_id, chunk_pos, weight, sym``: ``left_id, right_id, n`` and
+    ``first``, the first occurrence ``(doc_id, chunk_pos, pos)``. Ids may be of
+    any type that has an order."""
+    schema = T.StructType([
+        T.StructField("left_id", T.IntegerType()), T.StructField("right_id", T.IntegerType()), T.StructField("n", T.LongType()),
+        T.StructField("doc_id", chunks.schema["doc_id"].dataType), T.StructField("chunk_pos", T.LongType()), T.StructField("pos", T.LongType())])
+    partial = chunks.select("doc_id", F.col("chunk_pos").cast("long").alias("chunk_pos"), F.col("weight").cast("long").alias("weight"), "sym").mapInArrow(_pair_count_kernel(), schema)
+    return partial.groupBy("left_id", "right_id").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "chunk_pos", "pos")).alias("first"))
 
 
-def _sym_id(ch: Column) -> Column:
-    cp = F.ascii(ch)
-    return F.when(cp >= SURROGATE_HI, cp - (SURROGATE_HI - SURROGATE_LO)).otherwise(cp)
+def byte_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One chunk per document: ``doc_id, chunk_pos, weight, sym``."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("chunk_pos"), F.lit(1).cast("long").alias("weight"), byte_symbols(F.col(text_col)).alias("sym"))
 
 
 def training_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -221,51 +310,30 @@ def bpe_train(docs: DataFrame, n_merges: int, first_id: int = 256,
     pair (ties: earliest first occurrence by ``(doc_id, position)``), gives it
     id ``first_id + round`` and applies it. Stops early when no pair is left.
 
-    One aggregation job per round over the distinct-chunk table; the table is
-    checkpointed to the shared folder every few rounds so lineage stays short.
+    One aggregation job per round over the chunk table, which is written to
+    the shared checkpoint folder every few rounds so lineage stays short.
+    ``word`` chunks collapse to distinct words and are the mode for large
+    corpora; ``document`` counts pairs across spaces, over all texts.
     """
-    spark = docs.sparkSession
     if chunking == "document":
-        # One chunk per document, weight 1: pair counts and first occurrences
-        # are the same as over distinct texts with weights, without a shuffle
-        # of the corpus (exact copies are removed upstream by exact dedup).
-        chunks = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                             F.lit(0).alias("chunk_pos"), F.lit(1).cast("long").alias("weight"),
-                             byte_symbols(F.col(text_col)).alias("sym"))
-        lo, hi = docs.agg(F.min(id_col), F.max(id_col)).first()
-        dense = lo is None or (lo >= 0 and hi < (1 << 32))
+        chunks = byte_chunks(docs, id_col, text_col)
     else:
-        # Word chunks repeat massively: collapse them (partial aggregation
-        # by hash) and write the result once before the ranking passes.
-        chunks = training_chunks(docs, id_col, text_col, chunking).checkpoint()
-        dense = False
-    if not dense:
-        # Dense chunk ranks in (doc_id, chunk_pos) order (bucketed prefix
-        # sums) so the tie-break key packs into one bigint.
-        chunks = row_rank(chunks, ["doc_id", "chunk_pos"], out="_rank").withColumn(
-            "doc_id", F.col("_rank") - 1)
+        chunks = training_chunks(docs, id_col, text_col, chunking)
     # Each round is CPU-bound on the chunk table: keep it spread over all
-    # cores (AQE would coalesce a small table into one task) and write it to
-    # the shared checkpoint folder so rounds re-read it instead of the corpus.
-    chunks = spread(chunks.select("doc_id", "weight", "sym"),
-                    2 * spark.sparkContext.defaultParallelism).checkpoint()
-    if dense:
-        packed = True
-    else:
-        n_chunks = chunks.agg(F.max("doc_id")).first()[0]
-        packed = n_chunks is None or n_chunks < (1 << 32)
+    # cores (AQE would coalesce a small table into one task).
+    spread_to = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    chunks = checkpointed(spread(checkpointed(chunks.select("doc_id", "chunk_pos", "weight", "sym")), spread_to)
+                          if chunking == "word" else spread(chunks, spread_to))
     merges: list[Merge] = []
     for r in range(n_merges):
-        counts = (pair_counts_arrow(chunks) if packed else
-                  pair_counts(chunks, weight_col="weight", packed_first=False))
-        top = counts.orderBy(F.desc("n"), F.asc("first")).limit(1).collect()
+        top = pair_counts(chunks).orderBy(F.desc("n"), F.asc("first")).limit(1).collect()
         if not top:
             break
         m = Merge(r, int(top[0]["left_id"]), int(top[0]["right_id"]), first_id + r)
         merges.append(m)
         chunks = chunks.withColumn("sym", apply_merges(F.col("sym"), [m]))
         if (r + 1) % checkpoint_every == 0:
-            chunks = chunks.checkpoint()
+            chunks = checkpointed(chunks)
     return merges
 
 
@@ -296,6 +364,18 @@ def append_eos(ids: Column, eos_id: int) -> Column:
     return F.concat(ids, F.array(F.lit(eos_id)))
 
 
+def truncate(ids: Column, max_length: int) -> Column:
+    """The first ``max_length`` ids, without padding."""
+    return F.slice(ids, 1, max_length)
+
+
+def first_byte_tokens(text: Column, max_length: int) -> Column:
+    """``byte_tokens`` of the first ``max_length`` bytes: the bytes are cut, so
+    no ids are built that truncation drops."""
+    cut = F.substring(F.encode(text_or_empty(text), "UTF-8"), 1, max_length)
+    return symbol_ids(F.decode(cut, "ISO-8859-1"))
+
+
 def truncate_pad(ids: Column, max_length: int, pad_id: int) -> tuple[Column, Column]:
     """(input_ids, attention_mask): cut to ``max_length``, right-pad with
     ``pad_id``; mask 1 for real tokens, 0 for padding."""
@@ -330,9 +410,3 @@ def token_histogram(df: DataFrame, max_lengths: list[int], n_tokens: str = "n_to
     return out.select(F.col("max_len").cast("int").alias("max_len"),
                       F.coalesce("n_fit", F.lit(0)).cast("long").alias("n_fit"),
                       F.round(F.col("n_fit") / F.nullif(F.col("_total"), F.lit(0)), 6).alias("share"))
-
-
-def length_percentiles(df: DataFrame, n_tokens: str = "n_tokens",
-                       probs: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """Approximate length percentiles (distributed sketch)."""
-    return df.agg(F.percentile_approx(n_tokens, list(probs)).alias("percentiles"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import join_small
+from quarry.plans.joins import join_small, null_safe_join
 
 
 def _as_double(arr: Column) -> Column:
@@ -21,14 +21,14 @@ def _as_double(arr: Column) -> Column:
 def _scoped(df: DataFrame, scope: str | None, aggs: list[Column]) -> DataFrame:
     """Attach scope aggregates to each row: ``None`` = whole table (one row,
     broadcast), ``"row"`` = per row (no aggregation), else a group column
-    (joined on the key; AQE broadcasts it when measured small)."""
+    (joined on the key, NULL being a group too)."""
     if scope == "row":
         return df.select("*", *aggs)
     if scope is None:
         keyed = df.withColumn("_scope", F.lit(0))
         one = keyed.groupBy("_scope").agg(*aggs)
         return join_small(keyed, one, "_scope", max_rows=1).drop("_scope")
-    return join_small(df, df.groupBy(scope).agg(*aggs), scope)
+    return null_safe_join(df, df.groupBy(scope).agg(*aggs), [scope])
 
 
 def absmax_quantize(df: DataFrame, scope: str | None = "label", col: str = "embedding") -> DataFrame:
@@ -69,13 +69,6 @@ def dequantize_zeropoint(q: Column, scale: Column, zero_point: Column) -> Column
     return F.transform(q, lambda x: (x.cast("double") - zero_point) * scale)
 
 
-def quantize_error(original: Column, restored: Column) -> Column:
-    """Mean squared error of one vector pair (sum and count for re-aggregation
-    are available from ``squared_error_sum``)."""
-    return F.aggregate(F.arrays_zip(original, restored), F.lit(0.0),
-                       lambda acc, p: acc + F.pow(p["0"].cast("double") - p["1"], 2)) / F.size(original)
-
-
 def squared_error_sum(original: Column, restored: Column) -> Column:
     return F.aggregate(F.zip_with(original, restored, lambda a, b: F.pow(a.cast("double") - b, 2)),
                        F.lit(0.0), lambda acc, x: acc + x)
@@ -85,9 +78,12 @@ def embedding_lookup(ids: DataFrame, table: DataFrame, ids_col: str = "ids",
                      key: str = "doc_id", vec_id: str = "vec_id",
                      vocab_rows: int | None = None) -> DataFrame:
     """Row gather: one output row per input id with its position, keeping
-    order by ``pos``. The vector table is broadcast only when its row count
-    is known to be small (``vocab_rows``); otherwise a shuffle join runs and
-    AQE splits hot ids."""
+    order by ``pos``; an id that the table lacks gives NULL columns. With
+    ``vocab_rows`` only ids below it can occur: the table is cut to them and
+    broadcast on that bound. Otherwise a shuffle join runs and AQE splits hot
+    ids."""
     exploded = ids.select(key, F.posexplode(ids_col).alias("pos", vec_id))
     exploded = exploded.withColumn(vec_id, F.col(vec_id).cast("long"))
-    return join_small(exploded, table, vec_id, max_rows=vocab_rows)
+    if vocab_rows is not None:
+        table = table.filter((F.col(vec_id) >= 0) & (F.col(vec_id) < vocab_rows))
+    return join_small(exploded, table, vec_id, "left", max_rows=vocab_rows)

@@ -9,7 +9,14 @@ from __future__ import annotations
 
 from math import sqrt
 
-from quarry.operators.quality import GOPHER_STOP_WORDS, LANGUAGE_STOP_WORDS
+# The stop words of the quality rules and of the language score.
+GOPHER_STOP_WORDS = ["the", "be", "to", "of", "and", "that", "have", "with"]
+LANGUAGE_STOP_WORDS = {
+    "en": ["the", "and", "of", "to", "is", "in", "that", "it", "with", "for"],
+    "fr": ["le", "la", "les", "et", "des", "un", "une", "du", "est", "pour"],
+    "de": ["der", "die", "das", "und", "ist", "nicht", "ein", "eine", "zu", "den"],
+    "es": ["el", "los", "las", "y", "es", "una", "que", "del", "por", "con"],
+}
 
 WS = r"[ \t\n\x0B\f\r]+"
 TEST_KEYWORDS = ["worthless", "license", "und"]
@@ -45,7 +52,7 @@ g3 AS (SELECT doc_id, len(ws) AS n_words, len(nsw) AS n_nsw,
          len(list_filter(lines, lambda l: starts_with(ltrim(l), '•') OR starts_with(ltrim(l), '-'))) AS bullets,
          len(list_filter(lines, lambda l: ends_with(rtrim(l), '...') OR ends_with(rtrim(l), '…'))) AS ell_lines,
          len(list_filter(ws, lambda x: regexp_matches(x, '\\p{{L}}'))) AS alpha,
-         len(list_filter(ws, lambda x: list_contains({_list(GOPHER_STOP_WORDS)}, x))) AS n_stop
+         len(list_distinct(list_filter(ws, lambda x: list_contains({_list(GOPHER_STOP_WORDS)}, x)))) AS n_stop
        FROM g2),
 g AS (SELECT doc_id, CASE
          WHEN n_nsw < 50 THEN 'short_doc'
@@ -79,7 +86,7 @@ WHERE predicted IN ('en', 'de') AND score >= 0.05"""
 
 ORACLES: dict[str, str] = {
     "read_corpus": "SELECT doc_id AS id, coalesce(text, '') AS text FROM documents WHERE lang = 'en'",
-    "take_first": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 1000",
+    "take_first": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 100",
     "preview": """SELECT doc_id, CASE WHEN coalesce(text, '') <> ''
                     THEN substring(text, 1, 100) || '...' ELSE '[No Text Found]' END AS snippet
                   FROM documents""",
@@ -93,7 +100,7 @@ ORACLES: dict[str, str] = {
     "language_filter": _language_sql(),
     "topic_extract": f"""SELECT doc_id, text FROM documents
         WHERE {_whole_word("lower(coalesce(text, ''))", TEST_KEYWORDS)}
-        ORDER BY doc_id LIMIT 10000""",
+        ORDER BY doc_id LIMIT 100""",
     "topic_hits": """
         SELECT k.keyword, count(d.doc_id) AS n_docs
         FROM (VALUES """ + ", ".join(f"('{k}')" for k in TEST_KEYWORDS) + """) k(keyword)
@@ -112,7 +119,7 @@ _MMLU = f"""mm AS (SELECT item_id, subject,
        CASE WHEN len(choices) <= 4 THEN 'Question: ' || coalesce(question, '') || {NL}
          || array_to_string(list_transform(choices, lambda c, i: ['A','B','C','D'][i] || '. ' || c || {NL}), '')
          || 'Answer:' END AS prompt,
-       CASE WHEN answer BETWEEN 0 AND 3 THEN ['A','B','C','D'][answer + 1] END AS label
+       CASE WHEN len(choices) <= 4 AND answer BETWEEN 0 AND 3 THEN ['A','B','C','D'][answer + 1] END AS label
      FROM mc)"""
 _WA = f"""wa AS (SELECT item_id, text AS question, 'work' || {NL} || '#### ' || item_id AS answer
      FROM benchmark),
@@ -179,7 +186,7 @@ sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM ni)""
 
 _SHINGLES = _shingles_cte()
 _SIG = f"""{_SHINGLES},
-hv AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS h FROM sh),
+hv AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(s), 1, 8))::BIGINT % 2147483647 AS h FROM sh),
 co AS (SELECT j,
          ('0x' || substr(md5('minhash:1:' || j || ':a'), 1, 8))::BIGINT % 2147483646 + 1 AS a,
          ('0x' || substr(md5('minhash:1:' || j || ':b'), 1, 8))::BIGINT % 2147483647 AS b
@@ -201,7 +208,7 @@ reach(node, root) AS (
 cl AS (SELECT node AS doc_id, min(root) AS cluster_id FROM reach GROUP BY node)"""
 
 ORACLES.update({
-    "exact_dedup": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_NORM}",
+    "exact_dedup": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY CASE WHEN {_NORM} = '' THEN ':' || coalesce(text, '') ELSE {_NORM} END",
     "shingles": f"""WITH {_SHINGLES}
         SELECT nw.doc_id, count(sh.s) AS n_shingles FROM nw LEFT JOIN sh USING (doc_id)
         GROUP BY nw.doc_id""",
@@ -308,15 +315,8 @@ ORACLES.update({
 
 
 # --- mixing ----------------------------------------------------------------
-def _thresholds(probs):
-    total, cum, out = float(sum(probs)), 0.0, []
-    for p in probs:
-        cum += p / total
-        out.append(min(1 << 32, int(round(cum * (1 << 32)))))
-    return out
-
-
-_T = _thresholds([0.5, 0.3, 0.2])
+# Half and eight tenths of 2^32: web below the first, code from the second on.
+_T = [2147483648, 3435973837]
 _GROUP = ("CASE WHEN TRY_CAST(substr(source, 4) AS INTEGER) < 10 THEN 'web' "
           "WHEN TRY_CAST(substr(source, 4) AS INTEGER) < 16 THEN 'knowledge' ELSE 'code' END")
 _MIX = f"""dr AS (SELECT r.pos, CASE WHEN u < {_T[0]} THEN 'web' WHEN u < {_T[1]} THEN 'knowledge' ELSE 'code' END AS source
@@ -434,6 +434,23 @@ def _chat_tokenized_sql(n_rounds: int = 10) -> str:
 
 ORACLES["chat_tokenized"] = _chat_tokenized_sql()
 
+_CASES = {
+    "avg_word_low": "repeat('a b ', 40)",
+    "avg_word_high": "repeat('abcdefghijklm ', 60) || n_chars",
+    "ellipsis_ratio": "repeat('word... and the ', 30) || n_chars",
+    "bullet_lines": "repeat('- the words of a longlist' || chr(10), 20) || '- ' || n_chars",
+    "ellipsis_lines": "repeat('the long words of one line and of the next lines that go on ...' || chr(10), 10) || n_chars",
+    "stop_words": "repeat('the word ', 40) || n_chars",
+    "long_doc": "repeat('the words of and ', 25001) || n_chars",
+}
+ORACLES["gopher_rule_cases"] = "WITH cases AS (" + " UNION ALL ".join(
+    f"SELECT '{rule}:' || doc_id AS doc_id, {text} AS text FROM documents" + (" WHERE doc_id % 100 = 0" if rule == "long_doc" else "")
+    for rule, text in _CASES.items()) + f"), {gopher_reason_cte('cases')} SELECT split_part(doc_id, ':', 2)::BIGINT AS doc_id, split_part(doc_id, ':', 1) AS rule, reason FROM g"
+ORACLES["kept_removed_sinks"] = ORACLES["split_kept_removed"]
+ORACLES["chatml_messages"] = ORACLES["chat_chatml"]
+ORACLES["chat_roundtrip"] = ORACLES["chat_chatml"]
+ORACLES["truncate"] = f"WITH {_BYTE_IDS} SELECT doc_id, array_to_string(ids[1:512], ' ') AS input_ids FROM byt"
+
 ORACLES["language_select"] = "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de')"
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpointed
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -58,15 +58,13 @@ def _is_star_forest(e: DataFrame) -> bool:
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = 100) -> DataFrame:
     """``(node, component)`` for every node that occurs in an edge;
-    ``component`` is the smallest node id of its connected component."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = _oriented(edges.select(F.col(src).cast("long").alias("u"),
-                               F.col(dst).cast("long").alias("v"))).checkpoint()
+    ``component`` is the smallest node id of its connected component. Ids may
+    be of any type that has an order."""
+    e = checkpointed(_oriented(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))))
     for _ in range(max_rounds):
         if _is_star_forest(e):
             break
-        e = _small_star(_large_star(e)).checkpoint()
+        e = checkpointed(_small_star(_large_star(e)))
     else:
         raise RuntimeError("connected components did not converge")
     roots = e.select(F.col("v").alias("node")).distinct()

@@ -1,11 +1,13 @@
 """Global order positions without a one-partition window.
 
 A bare ``Window.orderBy(k)`` moves every row to one task. Instead rows are
-cut into ``n_buckets`` ranges of the order key (fixed boundaries from an
-approximate quantile pass, or a caller-given bucket column). Per-bucket
-totals form a tiny table whose running sum is the offset of each bucket; it
-is joined back and a window *within* each bucket finishes the job. Bucket
-boundaries only change the balance of work, never the result.
+range-partitioned by the order key (Spark samples the bounds, so keys may
+have any type), per-partition totals form a tiny table whose running sum is
+the offset of each partition, and a window *within* each partition finishes
+the job. Within groups, the group's first global position is subtracted, so
+a group that holds most rows is spread like any other range. A caller may
+give bucket numbers instead. Boundaries only change the balance of work,
+never the result.
 """
 
 from __future__ import annotations
@@ -13,43 +15,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import join_small
-from quarry.session import checkpoint_dir
+from quarry.plans.joins import null_safe_join
+from quarry.session import checkpointed
 
 BUCKET = "_bucket"
+# Rows that one window task sorts on average, at most.
+ROWS_PER_PART = 2_000_000
 
 
-def quantile_bucket(df: DataFrame, key: str, n_buckets: int,
-                    rel_err: float = 0.001) -> Column:
-    """Bucket index 0..n_buckets-1 of numeric ``key`` from approximate
-    quantile boundaries (one small job; only the boundaries reach the driver)."""
-    if n_buckets <= 1:
-        return F.lit(0)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(b for b in df.approxQuantile(key, probs, rel_err) if b is not None))
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(key).cast("double")))
-
-
-def default_buckets(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
+def default_parts(df: DataFrame) -> int:
+    """Partitions for ``df``: by its row count, at least the session's."""
+    rows = df.select(F.lit(1)).count()
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PART))
 
 
 def prefix_sum(df: DataFrame, order_by: list[str], weight: Column | None = None,
                partition_by: list[str] | None = None, bucket: Column | None = None,
                n_buckets: int | None = None, out: str = "prefix") -> DataFrame:
-    """Adds ``out`` = sum of ``weight`` over all earlier rows (exclusive) in
-    ``order_by`` order within ``partition_by``. With weight 1 it is the
-    0-based row number. ``order_by`` must be unique within a partition."""
+    """Adds ``out`` = sum of ``weight`` (not negative) over all earlier rows
+    (exclusive) in ``order_by`` order within ``partition_by``; NULL is a
+    group like any other. With weight 1 it is the 0-based row number.
+    ``order_by`` must be unique within a partition. ``bucket``, if given,
+    must ascend with ``order_by``. Pass narrow rows: they are written once."""
     parts = list(partition_by or [])
-    w = weight if weight is not None else F.lit(1).cast("long")
-    n_buckets = n_buckets or default_buckets(df)
+    w = (weight if weight is not None else F.lit(1)).cast("long")
     if bucket is None:
-        bucket = quantile_bucket(df, order_by[0], n_buckets)
-    rows = df.withColumn(BUCKET, bucket).withColumn("_w", w.cast("long"))
+        ranged = range_prefix(df, [*parts, *order_by], {out: w}, n_buckets)
+        if not parts:
+            return ranged
+        start = ranged.groupBy(*parts).agg(F.min(out).alias("_start"))
+        return null_safe_join(ranged, start, parts).withColumn(out, F.col(out) - F.col("_start")).drop("_start")
+    rows = df.withColumn(BUCKET, bucket).withColumn("_w", w)
     totals = rows.groupBy(*parts, BUCKET).agg(F.sum("_w").alias("_tot"))
     before = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -58,9 +54,7 @@ def prefix_sum(df: DataFrame, order_by: list[str], weight: Column | None = None,
     within = Window.partitionBy(*parts, BUCKET).orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumn("_in", F.coalesce(F.sum("_w").over(within), F.lit(0)))
-    # Without partition columns the offsets table has at most n_buckets rows.
-    joined = join_small(rows, offsets, [*parts, BUCKET],
-                        max_rows=None if parts else n_buckets)
+    joined = null_safe_join(rows, offsets, [*parts, BUCKET])
     return joined.withColumn(out, F.col("_boff") + F.col("_in")).drop(
         BUCKET, "_w", "_boff", "_in")
 
@@ -83,10 +77,9 @@ def range_prefix(df: DataFrame, order_by: list[str], sums: dict[str, Column],
     number, summed per partition (``n_parts`` rows), and finished by a window
     inside each partition. Rows equal in ``order_by`` stay in one partition.
     """
-    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(df.sparkSession)
+    n = n_parts or default_parts(df)
     held = df.withColumns({f"_v_{k}": v for k, v in sums.items()})
-    held = held.repartitionByRange(n, *order_by).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    held = checkpointed(held.repartitionByRange(n, *order_by).withColumn("_pid", F.spark_partition_id()))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = held.groupBy("_pid").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums])

@@ -42,11 +42,19 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*cols, *keep)
 
 
-def take_first(df: DataFrame, n: int, order_by: str | list[str] = "doc_id") -> DataFrame:
-    """The first ``n`` rows in key order (distributed top-k: each task keeps
-    its best ``n``, one task merges them)."""
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    return df.orderBy(*keys).limit(n)
+def take_first(df: DataFrame, n: int, order_by: str = "doc_id") -> DataFrame:
+    """The first ``n`` rows in key order (NULL first). The cutoff key is found
+    on keys alone, then a filter takes the records, so no full record is
+    gathered; only if several rows share the cutoff are rows counted off."""
+    keys = df.select(F.col(order_by).alias("_k")).orderBy("_k").limit(n)
+    got = keys.agg(F.max("_k").alias("cut"), F.count("_k").alias("set"), F.count(F.lit(1)).alias("rows")).first()
+    if got["rows"] < n:
+        return df
+    key = F.col(order_by)
+    if got["cut"] is None:
+        return df.filter(key.isNull()).limit(n)
+    first = df.filter(key.isNull() | (key <= F.lit(got["cut"])))
+    return first if first.count() == n else first.orderBy(order_by).limit(n)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -56,14 +64,33 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
        .option("compression", "none").json(path))
 
 
+def write_kept_removed(annotated: DataFrame, path: str, flag: str = "kept", mode: str = "overwrite") -> None:
+    """Kept and removed records as JSON Lines in one pass: folders
+    ``kept=true`` and ``kept=false`` under ``path``; a NULL flag counts as
+    removed."""
+    (annotated.withColumn(flag, F.coalesce(flag, F.lit(False))).write.mode(mode).partitionBy(flag)
+     .option("ignoreNullFields", "false").option("compression", "none").json(path))
+
+
 def read_jsonl(spark: SparkSession, path: str,
                schema: T.StructType = DOCUMENT_SCHEMA,
                text_key: str = "text") -> DataFrame:
-    """JSON Lines with a declared schema; a missing text reads as ``''``;
-    malformed lines land in ``_corrupt_record``."""
+    """JSON Lines with a declared schema; a missing text reads as ``''``. A
+    malformed line is kept in ``_corrupt_record`` with all other columns NULL
+    (its text too, so it is not an empty document); ``corrupt_rows`` and
+    ``sound_rows`` split the two."""
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     df = (spark.read.schema(full).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     if text_key in schema.fieldNames():
-        df = df.withColumn(text_key, F.coalesce(F.col(text_key), F.lit("")))
+        filled = F.coalesce(F.col(text_key), F.lit(""))
+        df = df.withColumn(text_key, F.when(F.col("_corrupt_record").isNull(), filled))
     return df
+
+
+def sound_rows(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
+def corrupt_rows(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")

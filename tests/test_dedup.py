@@ -79,3 +79,21 @@ def test_components_with_a_hub(spark):
     assert all(got[i] == 0 for i in range(0, 3001))
     assert all(got[i] == 5000 for i in range(5000, 5101))
     assert len(got) == 3001 + 101
+
+
+def test_texts_without_words_are_compared_as_they_are(spark):
+    df = docs_df(spark, ["!!!", "###", None, "", "!!!", "a"])
+    assert sorted(r.doc_id for r in dedup.exact_dedup(df).collect()) == [0, 1, 2, 5]
+
+
+def test_string_ids(spark):
+    texts = [BASE, BASE.upper(), "entirely other words stand in this line of text", BASE + " today"]
+    df = spark.createDataFrame([(f"<urn:uuid:{i}>", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    kept = sorted(r.doc_id for r in dedup.minhash_dedup(df).collect())
+    assert kept == ["<urn:uuid:0>", "<urn:uuid:2>"]
+    assert {r.cluster_id for r in dedup.duplicates_removed(df).collect()} == {"<urn:uuid:0>"}
+
+
+def test_removal_does_not_shuffle_texts(spark):
+    plan = dedup.minhash_dedup(docs_df(spark, [BASE, BASE, "x"]))._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -108,3 +108,39 @@ def test_join_small_broadcasts_only_with_a_bound(spark):
         assert "BroadcastHashJoin" not in unbounded
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_null_groups_and_string_keys(spark):
+    df = spark.createDataFrame([(f"k{i:03}", None if i % 3 == 0 else "g") for i in range(40)], "k string, g string")
+    got = {(r.g, r.k): r.rank for r in row_rank(df, ["k"], ["g"], n_buckets=5).collect()}
+    assert len(got) == 40
+    for g in (None, "g"):
+        assert [got[x] for x in sorted((x for x in got if x[0] == g), key=lambda x: x[1])] == list(range(1, sum(x[0] == g for x in got) + 1))
+
+
+def test_pack_string_ids_and_late_tokens(spark):
+    seqs = [list(range(i % 5 + 1)) for i in range(30)]
+    df = spark.createDataFrame([(f"<urn:uuid:{i:02}>", s) for i, s in enumerate(seqs)], "doc_id string, ids array<int>")
+    got = [r.tokens for r in packing.pack_tokens(df, 8, 999).orderBy("block_id").collect()]
+    assert got == brute_pack(seqs, 8, 999)
+
+
+def test_mix_with_an_empty_source(spark):
+    rows = [(i, "web" if i % 2 else "knowledge") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = sorted((r.pos, r.source) for r in mixing.mix_sources(df).collect())
+    cuts = mixing.thresholds(mixing.MIX_PROBABILITIES)
+    want, pos = [], 0
+    while True:
+        u = int(hashlib.md5(f"42:{pos}".encode()).hexdigest()[:8], 16)
+        name = next(n for n, c in zip(mixing.MIX_SOURCES, cuts + [1 << 40]) if u < c)
+        if name == "code":
+            break
+        want.append((pos, name))
+        pos += 1
+    assert got == want and got
+
+
+def test_mix_carries_other_columns(spark):
+    df = spark.createDataFrame([(i, ["web", "knowledge", "code"][i % 3], f"t{i}") for i in range(30)], "doc_id long, source string, text string")
+    assert all(r.text == f"t{r.doc_id}" for r in mixing.mix_sources(df).collect())

@@ -75,3 +75,16 @@ def test_language_select_pushes_down(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = quality.language_select(df, ["en"])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(lang" in plan or "PushedFilters: [IsNotNull(lang), EqualTo(lang" in plan
+
+
+def test_stop_words_are_counted_once(spark):
+    assert reasons(spark, [" ".join(["the word"] * 30), " ".join(["the word of"] * 30)]) == ["stop_words", None]
+
+
+def test_long_doc(spark):
+    assert reasons(spark, [" ".join(["the", "words", "of"] * 33_334), " ".join(["the", "words", "of"] * 33_333)]) == ["long_doc", None]
+
+
+def test_topic_extract_without_limit_takes_all(spark):
+    df = docs_df(spark, ["war"] * 30)
+    assert quality.topic_extract(df, ["war"]).count() == 30

@@ -1,7 +1,7 @@
-"""Byte tokens and BPE: goldens from the reference's recorded output,
-properties, and a brute-force Python trainer on small fixtures."""
+"""Byte tokens and BPE: goldens, properties, and a trainer over plain strings."""
 
-from collections import Counter
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -12,34 +12,19 @@ HELLO = "hello hello world"
 
 
 def brute_train(texts, n_merges):
-    """Independent reference: sequences per text, counts summed over texts,
-    ties to the earliest (text index, position)."""
-    seqs = [list(t.encode("utf-8")) for t in texts]
+    """Each text as a string with one character per token: the most frequent
+    two-character substring (overlapping; ties to the first one met) becomes
+    one new character, by ``str.replace``."""
+    strings = ["".join(map(chr, t.encode("utf-8"))) for t in texts]
     merges = []
-    for r in range(n_merges):
-        counts, first = Counter(), {}
-        for d, s in enumerate(seqs):
-            for i, p in enumerate(zip(s, s[1:])):
-                counts[p] += 1
-                first.setdefault(p, (d, i))
-        if not counts:
+    for new in range(256, 256 + n_merges):
+        pairs = [p for s in strings for p in re.findall("(?s)(?=(..))", s)]
+        if not pairs:
             break
-        best = min(counts, key=lambda p: (-counts[p], first[p]))
-        new = 256 + r
-        merges.append((best, new))
-        out = []
-        for s in seqs:
-            res, i = [], 0
-            while i < len(s):
-                if i + 1 < len(s) and (s[i], s[i + 1]) == best:
-                    res.append(new)
-                    i += 2
-                else:
-                    res.append(s[i])
-                    i += 1
-            out.append(res)
-        seqs = out
-    return merges, seqs
+        best = max(dict.fromkeys(pairs), key=pairs.count)
+        merges.append(((ord(best[0]), ord(best[1])), new))
+        strings = [s.replace(best, chr(new)) for s in strings]
+    return merges, [list(map(ord, s)) for s in strings]
 
 
 def test_byte_tokens_golden(spark):
@@ -59,8 +44,7 @@ def test_bpe_train_golden(spark):
 
 def test_overlapping_pairs_merge_pairwise(spark):
     df = docs_df(spark, ["aaaa", "aaa"])
-    sym = df.select("doc_id", tokens.byte_symbols(F.col("text")).alias("sym"))
-    counts = {(r.left_id, r.right_id): r.n for r in tokens.pair_counts(sym).collect()}
+    counts = {(r.left_id, r.right_id): r.n for r in tokens.pair_counts(tokens.byte_chunks(df)).collect()}
     assert counts == {(97, 97): 5}
     merges = tokens.bpe_train(df, 1)
     enc = [r.e for r in df.orderBy("doc_id").select(
@@ -122,3 +106,49 @@ def test_word_chunking_keeps_pairs_inside_words(spark):
     assert (merges[0].left, merges[0].right) == (97, 98)
     # the space starts the second chunk: (32, 256) is the next pair
     assert (merges[1].left, merges[1].right) == (32, 256)
+
+
+def test_five_thousand_merges(spark):
+    """A table of the size of real vocabularies, against one replace per merge."""
+    rnd = random.Random(11)
+    merges, size = [], 256
+    seen = set()
+    while len(merges) < 5000:
+        pair = (rnd.choice([rnd.randrange(97, 105), rnd.randrange(97, size) if size > 256 else 97]), rnd.randrange(97, 105))
+        if pair in seen or 105 <= pair[0] < 256:
+            continue
+        seen.add(pair)
+        merges.append(tokens.Merge(len(merges), *pair, size))
+        size += 1
+    texts = ["".join(rnd.choice("abcdefgh \u00e9") for _ in range(rnd.randrange(300))) for _ in range(40)] + ["", "a", "aaaaaaa", None]
+    df = docs_df(spark, texts)
+    rows = df.select("text", tokens.bpe_encode(F.col("text"), merges).alias("e")).withColumn(
+        "back", tokens.bpe_decode(F.col("e"), merges)).collect()
+    for r in rows:
+        want = "".join(map(chr, (r.text or "").encode()))
+        for m in merges:
+            want = want.replace(chr(m.left) + chr(m.right), chr(m.new_id))
+        assert r.e == list(map(ord, want)) and r.back == (r.text or "")
+
+
+def test_non_ascii_specials(spark):
+    df = docs_df(spark, ["\uff5cstart\uff5cna\u00efve\uff5cstart\uff5c", "plain"])
+    specials = {"\uff5cstart\uff5c": 300}
+    ids = tokens.bpe_encode(F.col("text"), [], specials)
+    rows = df.select("text", ids.alias("e"), tokens.bpe_decode(ids, [], specials).alias("back")).collect()
+    assert rows[0].e[0] == rows[0].e[-1] == 300 and rows[0].e.count(300) == 2
+    assert all(r.back == r.text for r in rows)
+
+
+def test_string_ids(spark):
+    texts = ["ab ab cd", "cd cd", "", "xyz ab"]
+    df = spark.createDataFrame([(f"<urn:uuid:{i}>", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    for chunking in ("document", "word"):
+        got = [(m.left, m.right) for m in tokens.bpe_train(df, 3, chunking=chunking)]
+        assert got == [(m.left, m.right) for m in tokens.bpe_train(docs_df(spark, texts), 3, chunking=chunking)]
+
+
+def test_truncate_only(spark):
+    df = docs_df(spark, ["h\u00e9llo", None, "abc"])
+    rows = df.orderBy("doc_id").select(tokens.truncate(tokens.byte_tokens(F.col("text")), 2).alias("a"), tokens.first_byte_tokens(F.col("text"), 2).alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] == [[104, 195], [], [97, 98]]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from quarry.operators import budget, quality, vectors
 from quarry.session import scratch_path
-from quarry.sources.tables import DOCUMENT_SCHEMA, read_jsonl, write_jsonl
+from quarry.sources.tables import DOCUMENT_SCHEMA, corrupt_rows, read_jsonl, sound_rows, take_first, write_jsonl, write_kept_removed
 from quarry.streaming.filter_stream import stream_filter
 from tests.conftest import SF_CHECK, SF_SMALL, docs_df
 
@@ -74,8 +74,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_check():
-    rows_only = {"quality_classifier"}
-    assert set(entry.queries()) - set(entry.oracle_sql()) <= rows_only
+    from quarry.catalog import QUERIES
+    rows_only = {"quality_classifier", "quality_holdout"}
+    assert set(QUERIES) - set(entry.oracle_sql()) <= rows_only
 
 
 def test_results_independent_of_shuffle_partitions(spark):
@@ -109,4 +110,57 @@ def test_stream_resumes_from_checkpoint(spark):
     assert got == [0, 1, 2]  # each file processed once across restarts
 
 
+def test_null_labels_are_a_scope(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0], 1), (1, [4.0, -8.0], None)], "vec_id long, embedding array<float>, label int")
+    assert {r.vec_id: r.scale for r in vectors.absmax_quantize(df, "label").collect()} == {0: 2 / 127, 1: 8 / 127}
+    assert vectors.zeropoint_quantize(df, "label").count() == 2
+
+
+def test_lookup_keeps_unknown_ids(spark):
+    ids = spark.createDataFrame([(0, [1, 7, 1])], "doc_id long, ids array<int>")
+    table = spark.createDataFrame([(1, 0.5), (900, 1.0)], "vec_id long, norm double")
+    for rows in (None, 256):
+        got = sorted((r.pos, r.vec_id, r.norm) for r in vectors.embedding_lookup(ids, table, vocab_rows=rows).collect())
+        assert got == [(0, 1, 0.5), (1, 7, None), (2, 1, 0.5)]
+
+
+def test_take_first_binds(spark):
+    df = spark.createDataFrame([(i % 40, f"t{i}") for i in range(60)] + [(None, "n")], "doc_id long, text string")
+    assert [r.doc_id for r in take_first(df, 4).orderBy("doc_id").collect()] == [None, 0, 0, 1]
+    assert take_first(df, 1).collect()[0].doc_id is None and take_first(df, 1000).count() == 61
+    unique = docs_df(spark, [f"t{i}" for i in range(30)])
+    plan = take_first(unique, 10)._jdf.queryExecution().sparkPlan().toString()
+    assert "TakeOrdered" not in plan and take_first(unique, 10).count() == 10
+
+
+def test_corrupt_lines_are_no_documents(spark):
+    path = scratch_path(spark, "test-corrupt")
+    write_jsonl(docs_df(spark, ["one", None]), path)
+    spark.createDataFrame([("{not json",)], "value string").coalesce(1).write.mode("append").text(path)
+    read = read_jsonl(spark, path)
+    assert sorted(r.text for r in sound_rows(read).collect()) == ["", "one"]
+    assert [r[0] for r in corrupt_rows(read.cache()).collect()] == ["{not json"]
+
+
+def test_kept_and_removed_sinks(spark):
+    path = scratch_path(spark, "test-sinks")
+    write_kept_removed(quality.gopher_annotate(docs_df(spark, [GOOD_TEXT, "tiny", GOOD_TEXT + " again"])), path)
+    assert sorted(r.doc_id for r in spark.read.json(f"{path}/kept=true").collect()) == [0, 2]
+    assert [(r.doc_id, r.reason) for r in spark.read.json(f"{path}/kept=false").collect()] == [(1, "short_doc")]
+
+
+def test_no_ambient_checkpoint_folder():
+    """The flagship, clusters and BPE training set their checkpoint folder themselves."""
+    import subprocess
+    import sys
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("from quarry.session import build_session\nimport __spark_entry__ as e\ns = build_session('local[2]', shuffle_partitions=2)\n"
+            "e.entry(s).collect()\nfrom quarry.operators import dedup, tokens\nd = s.createDataFrame([(1, 'a b c d e f'), (2, 'a b c d e f')], 'doc_id long, text string')\n"
+            "assert dedup.duplicate_clusters(d).count() == 2 and len(tokens.bpe_train(d, 2)) == 2\nprint('DONE')")
+    env = {**os.environ, "SPARK_CONF_DIR": tempfile.mkdtemp(), "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=600)
+    assert "DONE" in out.stdout, out.stderr[-2000:]
+
+
 GOOD_TEXT = " ".join(["the cat and the dog walked with care to the old mill"] * 5)
