@@ -9,8 +9,11 @@ puts rare tokens first:
 2. Tokens with a hash in the lowest ``share`` are counted over all classes;
    they come first, by count and hash; the other tokens follow by hash.
    Tokens that occur once link nothing, so a class with enough of them has
-   no partner and leaves.
-3. Classes with identical prefixes and size are collapsed into one group.
+   no partner and leaves. The whole sets of the classes that stay are read
+   and all their tokens counted among these, for an order by count and hash
+   that again lets classes leave. Classes with identical prefixes and size
+   are collapsed into one group.
+3. Links are looked for between groups; whole sets are compared in the end.
 4. Star pairs: in each prefix token's list every group meets the group with
    the fewest unique tokens. Pairs pass bounds on size, on tokens that occur
    once and on the parity bitmaps of the sets (their differing bits cannot
@@ -78,7 +81,7 @@ def _parity(tokens: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, k: int, percent: int, share: float) -> DataFrame:
-    """One row per document: ``doc_id, n, key, slot, p0..p3`` and ``tokens``: all hashes in the lowest ``share``, and if they are fewer than the prefix, the next ones up to its length."""
+    """One row per document: ``doc_id, n, key, slot, p0..p3, low`` and ``tokens``: the ``low`` ones, all hashes in the lowest ``share``, and if they are fewer than the prefix, the next ones up to its length."""
     cut = int(-(1 << 63) + share * (1 << 64))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,10 +95,10 @@ def profiles(docs: DataFrame, k: int, percent: int, share: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
                  pa.array([_slot(i, h) if h is not None else None for i, h in zip(ids, keys)], pa.int64()),
-                 *(pa.array(parity[:, j]) for j in range(PARITY_WORDS)), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(part), pa.int64()))],
-                names=["doc_id", "n", "key", "slot", *(f"p{j}" for j in range(PARITY_WORDS)), "tokens"])
+                 *(pa.array(parity[:, j]) for j in range(PARITY_WORDS)), pa.array([int(np.searchsorted(t, cut)) for t in part], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(part), pa.int64()))],
+                names=["doc_id", "n", "key", "slot", *(f"p{j}" for j in range(PARITY_WORDS)), "low", "tokens"])
 
-    return map_slices(docs, kernel, "doc_id bigint, n bigint, key bigint, slot bigint, " + ", ".join(f"p{j} bigint" for j in range(PARITY_WORDS)) + ", tokens array<bigint>")
+    return map_slices(docs, kernel, "doc_id bigint, n bigint, key bigint, slot bigint, " + ", ".join(f"p{j} bigint" for j in range(PARITY_WORDS)) + ", low bigint, tokens array<bigint>")
 
 
 def whole_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
@@ -131,16 +134,19 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")) & (shared * (100 + percent) >= both * percent) & (apart * (100 + percent) <= both * (100 - percent))
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``src, dst`` of classes whose whole sets are similar enough."""
-    pairs = checkpointed(pairs)
-    ids = pairs.select(F.col("src").alias("gid")).union(pairs.select(F.col("dst").alias("gid"))).distinct()
-    sets = checkpointed(whole_sets(docs, classes.join(ids, "gid", "left_semi").select("gid", "doc_id", "key", "slot"), k))
     joined = pairs.join(sets.select(F.col("gid").alias("src"), F.col("tokens").alias("a")), "src").join(sets.select(F.col("gid").alias("dst"), F.col("tokens").alias("b")), "dst")
     shared = F.size(F.array_intersect("a", "b"))
     return joined.filter(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("src", "dst")
 
 
+def _shared_tokens(tokens: DataFrame, rank: Column) -> DataFrame:
+    """``gid, own``: the tokens of each class that others have too, as ``(df, token)`` in order; ``rank`` is their first key."""
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    return tokens.join(common, "token").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct(rank.alias("df"), "token"))).alias("own"))  # of one document
+
+
 def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: set size and smallest id reachable by links of ``percent`` % similarity or more.
 
@@ -154,32 +160,35 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     profiled = checkpointed(profiles(docs, k, percent, share).withColumn("gid", F.monotonically_increasing_id()))
     cut = int(-(1 << 63) + share * (1 << 64))
     able = profiled.filter("n > 0")
-    columns = ["doc_id", "n", "slot", *(f"p{j}" for j in range(PARITY_WORDS)), "tokens", "gid"]
-    classes = checkpointed(able.groupBy("key").agg(F.min_by(F.struct(*columns), "gid").alias("c")).select("key", "c.*"))
+    classes = able.join(able.groupBy("key").agg(F.min("gid").alias("gid")), ["key", "gid"], "left_semi")
+    parity = [f"p{j}" for j in range(PARITY_WORDS)]
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
 
-    tokens = classes.select("gid", F.explode("tokens").alias("token"))
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rank = F.when(F.col("token") < cut, F.col("df")).otherwise(F.lit(NO_ID))  # beyond the cut: by hash only
-    own = tokens.join(common, "token").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct(rank.alias("df"), "token"))).alias("own"))  # of one document
-    low = F.size(F.filter("tokens", lambda t: t < cut))
-    some = classes.join(own, "gid")
-    some = some.withColumn("u", (low - F.size(F.filter("own", lambda t: t["token"] < cut))).cast("long")).withColumn("length", F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1)
-    some = some.withColumn("prefix", F.transform(F.slice("own", F.lit(1), F.greatest(F.col("length") - F.col("u"), F.lit(0)).cast("int")), lambda t: t["token"]))
-    some = some.filter((F.size("prefix") > 0) & (100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))).select("gid", "key", "doc_id", "slot", "n", "u", *(f"p{j}" for j in range(PARITY_WORDS)), "prefix")
-    some = checkpointed(some)
+    own = _shared_tokens(classes.select("gid", F.explode("tokens").alias("token")), rank)
+    unique = F.col("low") - F.size(F.filter("own", lambda t: t["token"] < cut))
+    met = classes.join(own, "gid").withColumn("u", unique).filter((F.size("own") > 0) & (length > F.col("u")) & (100 * (F.col("n") - F.col("u")) >= percent * F.col("n")))
+    met = checkpointed(met.select("gid", "key", "doc_id", "slot", "n", *parity))
+    sets = checkpointed(whole_sets(docs, met, k))
+
+    # A partner of a class that stayed has stayed too: what counts is how many of these have a token.
+    own = _shared_tokens(sets.select("gid", F.explode("tokens").alias("token")), F.col("df"))
+    some = met.join(own, "gid").withColumn("u", F.col("n") - F.size("own"))
+    some = some.withColumn("prefix", F.transform(F.slice("own", F.lit(1), F.greatest(length - F.col("u"), F.lit(0)).cast("int")), lambda t: t["token"]))
+    some = checkpointed(some.filter((F.size("prefix") > 0) & (100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))).select("gid", "n", "u", *parity, "prefix"))
 
     # Identical prefix and size; a prefix with a token of its own is like no other.
     alike = F.when(F.col("u") == 0, F.struct("n", F.lit(-1).cast("long").alias("gid"), "prefix")).otherwise(F.struct("n", "gid", F.slice("prefix", 1, 0).alias("prefix")))
     tagged = some.withColumn("alike", F.xxhash64(alike))
     groups = tagged.groupBy("alike").agg(F.min("gid").alias("group"), F.count(F.lit(1)).alias("members"))
-    members = checkpointed(tagged.join(groups, "alike").select("gid", "group", "members", F.struct("n", "u", *(f"p{j}" for j in range(PARITY_WORDS))).alias("s"), "prefix"))
+    members = checkpointed(tagged.join(groups, "alike").select("gid", "group", "members", F.struct("n", "u", *parity).alias("s"), "prefix"))
     lists = checkpointed(members.filter("gid = group").select("group", "members", "s", F.explode("prefix").alias("token")))
 
     hubs = lists.groupBy("token").agg(F.min(F.struct("s.u", "group", "s")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("token", F.col("hub.group").alias("dst"), F.col("hub.s").alias("h"))
     stars = lists.join(hubs, "token").filter((F.col("group") != F.col("dst")) & _possible("s", "h", percent)).select(F.col("group").alias("src"), "dst")
     heads = members.filter("gid = group AND members > 1").select("group", F.col("s").alias("h"))
     inner = members.filter("members > 1 AND gid != group").join(heads, "group").filter(_possible("s", "h", percent)).select(F.col("gid").alias("src"), F.col("group").alias("dst"))
-    links = checkpointed(_linked(stars.union(inner).distinct(), some, docs, k, percent))
+    links = checkpointed(_linked(stars.union(inner).distinct(), sets, percent))
     reached = checkpointed(connected_components(links))
 
     # What is left: group pairs that may link two components.
@@ -196,7 +205,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     left = labelled.select(F.col("group").alias("ga"), F.col("gid").alias("src"), F.col("component").alias("ca"), F.col("s").alias("sa"))
     right = labelled.select(F.col("group").alias("gb"), F.col("gid").alias("dst"), F.col("component").alias("cb"), F.col("s").alias("sb"))
     rest = meet.join(left, "ga").join(right, "gb").filter((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("src") < F.col("dst"))) & _possible("sa", "sb", percent)).select("src", "dst")
-    more = _linked(rest, some, docs, k, percent)
+    more = _linked(rest, sets, percent)
     final = connected_components(links.union(more))
 
     # Ids: the smallest of each class, then of each component, back to the rows of the class.
