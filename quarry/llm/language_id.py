@@ -115,9 +115,12 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """Fits on a sample of the rows that are ``usable`` and have a text and a language."""
     rows = docs.filter(usable).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), F.lit(float(SAMPLE_PER_LANG)) / F.col("count")))
+    shares = {r["lang"]: min(1.0, SAMPLE_PER_LANG / r["count"]) for r in rows.groupBy("lang").count().collect()}  # a row for each language
     chance = md5_u32(F.concat(F.lit("lang:"), F.coalesce("id", F.lit("")))) / F.lit(2.0**32)
-    drawn = rows.withColumn("chance", chance).join(sizes.select("lang", "share"), "lang").filter("chance < share").select("lang", "text")
+    share = F.lit(0.0)
+    for lang, value in shares.items():
+        share = F.when(F.col("lang") == lang, value).otherwise(share)
+    drawn = rows.filter(chance < share).select("lang", "text")
     got = map_slices(drawn, _vectors, "lang string, counted binary").toPandas().sort_values(["lang", "counted"])
     counted = np.stack([np.frombuffer(b, np.float32) for b in got["counted"]]) if len(got) else np.zeros((0, DIMS), np.float32)
     return fit(list(got["lang"]), counted)
