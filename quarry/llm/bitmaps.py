@@ -16,8 +16,8 @@ def bitmap(slots: DataFrame, bits: int) -> np.ndarray:
     """``slots`` has a column ``slot`` from 0 to ``2**bits - 1``."""
     words = slots.select((F.col("slot") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     table = np.zeros(1 << (bits - 6), np.int64)
-    got = words.toPandas()
-    table[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    got = words.toArrow()
+    table[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return table.view(np.uint64)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import quarry.llm
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, scratch_path
 
 # Kernels travel to the tasks with their code: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(quarry.llm)
@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(quarry.llm)
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 #: A kernel works on slices of about this many bytes of text, whatever the Arrow batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -35,6 +35,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read from there: smaller than a checkpoint where rows are many and narrow."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of the batches with about ``limit`` bytes of text each (one row at least)."""
     for batch in batches:

@@ -133,7 +133,7 @@ def classify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     letter, and any text if nothing could be learned, is ``und`` with score 0,
     rejected. Equal cosines: the language first in order. Repeated rows stay
     repeated, null ids stay null, an empty table gives an empty result.
-    Row-local; memory is a slice of about 4 MB of text or one document.
+    Row-local; memory is a slice of about 2 MB of text or one document.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # centroids: bounded by languages x CENTROIDS x DIMS
 

@@ -5,15 +5,14 @@ Jaccard similarity t or more share a token among their first
 ``n - ceil(t * n) + 1`` tokens of any order that all sets use. The order
 puts rare tokens first:
 
-1. Documents with the same set become one class.
-2. Tokens with a hash in the lowest ``share`` are counted over all classes;
-   they come first, by count and hash; the other tokens follow by hash.
-   Tokens that occur once link nothing, so a class with enough of them has
-   no partner and leaves. The whole sets of the classes that stay are read
-   and all their tokens counted among these, for an order by count and hash
-   that again lets classes leave. Classes with identical prefixes and size
-   are collapsed into one group.
-3. Links are looked for between groups; whole sets are compared in the end.
+1. Tokens with a hash in the lowest ``share`` are counted over all texts.
+   Those that occur once link nothing. In a second pass, with the repeated
+   ones in a bitmap, a set with enough unique tokens to fill its prefix has
+   no partner and leaves; the sets that stay are written. Documents with the
+   same set become one class.
+2. All tokens of the classes that stayed are counted among these, for an
+   order by count and hash in which again classes leave.
+3. Classes with identical prefixes and size are collapsed into one group.
 4. Star pairs: in each prefix token's list every group meets the group with
    the fewest unique tokens. Pairs pass bounds on size, on tokens that occur
    once and on the parity bitmaps of the sets (their differing bits cannot
@@ -36,15 +35,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bitmaps import bitmap
-from quarry.llm.common import checkpointed, id_text, map_slices
+from quarry.llm.bitmaps import bitmap, inside
+from quarry.llm.common import checkpointed, id_text, map_slices, written
 from quarry.plans.components import connected_components
 
 #: Odd multipliers of the words of an n-gram.
 MIX = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-#: Bits of the filter through which the second pass over the texts finds those whose sets are compared (2 MB, whatever the input; more entries only let more through).
-FILTER_BITS = 24
+#: Most bits of the bitmap of repeated tokens (32 MB; if it fills up, fewer sets leave early and nothing else changes).
+MOST_BITS = 28
 PARITY_WORDS = 4
+#: Ids in a list that is broadcast (16 MB).
+LIST_ROWS = 1_000_000
 NO_ID = (1 << 63) - 1
 
 
@@ -71,59 +72,49 @@ def _key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _slot(doc_id: int | None, key: int) -> int:
-    return xxhash.xxh3_64_intdigest(f"{doc_id}:{key}") >> (64 - FILTER_BITS)
-
-
 def _parity(tokens: np.ndarray) -> np.ndarray:
     bits = np.bincount(tokens & (64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def repeated_tokens(docs: DataFrame, k: int, cut: int) -> tuple[np.ndarray, int]:
+    """A bitmap of the tokens below ``cut`` that occur in several texts, and its bits."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = [s[: np.searchsorted(s, cut)] for s in (token_set(t or "", k) for t in batch.column("text").to_pylist())]
+            tokens, times = np.unique(np.concatenate(low), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.minimum(times, 2).astype(np.int8))], names=["token", "times"])
+
+    counted = map_slices(docs.select("text"), kernel, "token bigint, times byte").groupBy("token").agg(F.sum("times").alias("times")).filter("times > 1")
+    counted = checkpointed(counted.select("token"))
+    bits = min(MOST_BITS, max(16, (counted.count() * 16).bit_length()))
+    return bitmap(counted.select(F.expr(f"shiftright(token, 20) & {(1 << bits) - 1}").alias("slot")), bits), bits
+
+
 def profiles(docs: DataFrame, k: int, percent: int, share: float) -> DataFrame:
-    """One row per document: ``doc_id, n, key, slot, p0..p3, low`` and ``tokens``: the ``low`` ones, all hashes in the lowest ``share``, and if they are fewer than the prefix, the next ones up to its length."""
+    """One row per document: ``doc_id, n, key, p0..p3``, and ``tokens``: its set, or null if too few of it can be shared."""
     cut = int(-(1 << 63) + share * (1 << 64))
+    table, bits = repeated_tokens(docs, k, cut)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             sets = [token_set(t or "", k) for t in batch.column("text").to_pylist()]
             keys = [_key(s) if len(s) else None for s in sets]
             parity = np.stack([_parity(s) for s in sets])
-            part = [s[: max(int(np.searchsorted(s, cut)), len(s) + (-percent * len(s)) // 100 + 1) if len(s) else 0] for s in sets]
-            offsets = pa.array(np.cumsum([0, *map(len, part)]), pa.int32())
+            stay = []
+            for s in sets:
+                low = s[: np.searchsorted(s, cut)]
+                unique = len(low) - int(inside(shared.value, low >> 20 & ((1 << bits) - 1)).sum())
+                stay.append(len(s) > 0 and unique < len(s) + (-percent * len(s)) // 100 + 1)
+            offsets = pa.array([None if not y else o for y, o in zip(stay, np.cumsum([0, *(len(s) if y else 0 for s, y in zip(sets, stay))]).tolist())] + [sum(len(s) for s, y in zip(sets, stay) if y)], pa.int32())
+            flat = [s for s, y in zip(sets, stay) if y]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
-                 pa.array([_slot(i, h) if h is not None else None for i, h in zip(ids, keys)], pa.int64()),
-                 *(pa.array(parity[:, j]) for j in range(PARITY_WORDS)), pa.array([int(np.searchsorted(t, cut)) for t in part], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(part), pa.int64()))],
-                names=["doc_id", "n", "key", "slot", *(f"p{j}" for j in range(PARITY_WORDS)), "low", "tokens"])
-
-    return map_slices(docs, kernel, "doc_id bigint, n bigint, key bigint, slot bigint, " + ", ".join(f"p{j} bigint" for j in range(PARITY_WORDS)) + ", low bigint, tokens array<bigint>")
-
-
-def whole_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
-    """``gid, tokens`` of the needed (``doc_id, key, slot, gid``) documents: found by a filter of fixed size in a second pass over the texts, then exactly by a join."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(needed.select("slot"), FILTER_BITS))
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), *(pa.array(parity[:, j]) for j in range(PARITY_WORDS)),
+                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat) if flat else [], pa.int64()))],
+                names=["doc_id", "n", "key", *(f"p{j}" for j in range(PARITY_WORDS)), "tokens"])
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                tokens = token_set(text or "", k)
-                if len(tokens):
-                    key = _key(tokens)
-                    slot = _slot(doc_id, key)
-                    if int(bits[slot >> 6]) >> (slot & 63) & 1:
-                        out.append((doc_id, key, tokens))
-            if out:
-                offsets = pa.array(np.cumsum([0, *(len(o[2]) for o in out)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                                  pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([o[2] for o in out])))], names=["doc_id", "key", "tokens"])
-
-    found = map_slices(docs, kernel, "doc_id bigint, key bigint, tokens array<bigint>")
-    held = needed.select("gid", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "key")
-    return found.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).join(held, ["doc_id", "key"]).select("gid", "tokens")
+    return map_slices(docs, kernel, "doc_id bigint, n bigint, key bigint, " + ", ".join(f"p{j} bigint" for j in range(PARITY_WORDS)) + ", tokens array<bigint>")
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
@@ -141,10 +132,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("src", "dst")
 
 
-def _shared_tokens(tokens: DataFrame, rank: Column) -> DataFrame:
-    """``gid, own``: the tokens of each class that others have too, as ``(df, token)`` in order; ``rank`` is their first key."""
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    return tokens.join(common, "token").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct(rank.alias("df"), "token"))).alias("own"))  # of one document
+def _listed(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``rows`` with (``left_semi``) or without (``left_anti``) the ``gid`` of ``ids``, a list counted first: up to ``LIST_ROWS`` of these 8-byte numbers are broadcast, so the sets in ``rows`` stay where they are."""
+    ids = checkpointed(ids.select("gid"))
+    return rows.join(F.broadcast(ids) if ids.count() <= LIST_ROWS else ids, "gid", how)
 
 
 def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,26 +147,25 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     gives an empty result; other columns are not carried.
     """
     docs = id_text(docs, id_col, text_col)
+    parity = [f"p{j}" for j in range(PARITY_WORDS)]
     share = min(1.0, 1.7 * (100 - percent) / 100)
-    profiled = checkpointed(profiles(docs, k, percent, share).withColumn("gid", F.monotonically_increasing_id()))
-    cut = int(-(1 << 63) + share * (1 << 64))
+    profiled = written(profiles(docs, k, percent, share).withColumn("gid", F.monotonically_increasing_id()), "sets")
     able = profiled.filter("n > 0")
-    classes = able.join(able.groupBy("key").agg(F.min("gid").alias("gid")), ["key", "gid"], "left_semi")
-    parity = [f"p{j}" for j in range(PARITY_WORDS)]
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
-
-    rank = F.when(F.col("token") < cut, F.col("df")).otherwise(F.lit(NO_ID))  # beyond the cut: by hash only
-    own = _shared_tokens(classes.select("gid", F.explode("tokens").alias("token")), rank)
-    unique = F.col("low") - F.size(F.filter("own", lambda t: t["token"] < cut))
-    met = classes.join(own, "gid").withColumn("u", unique).filter((F.size("own") > 0) & (length > F.col("u")) & (100 * (F.col("n") - F.col("u")) >= percent * F.col("n")))
-    met = checkpointed(met.select("gid", "key", "doc_id", "slot", "n", *parity))
-    sets = checkpointed(whole_sets(docs, met, k))
+    classes = able.groupBy("key").agg(F.min("gid").alias("gid"))
+    # A class stays with all its documents, or leaves with them.
+    stayed = profiled.filter("tokens IS NOT NULL")
+    copies = stayed.select("key", "gid").join(classes.withColumnRenamed("gid", "first"), "key").filter("gid != first")
+    sets = _listed(stayed.select("gid", "n", *parity, "tokens"), copies, "left_anti")
 
     # A partner of a class that stayed has stayed too: what counts is how many of these have a token.
-    own = _shared_tokens(sets.select("gid", F.explode("tokens").alias("token")), F.col("df"))
-    some = met.join(own, "gid").withColumn("u", F.col("n") - F.size("own"))
+    tokens = sets.select("gid", F.explode("tokens").alias("token"))
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = tokens.join(common, "token").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))  # of one document
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
+    some = sets.select("gid", "n", *parity).join(own, "gid").withColumn("u", F.col("n") - F.size("own"))
     some = some.withColumn("prefix", F.transform(F.slice("own", F.lit(1), F.greatest(length - F.col("u"), F.lit(0)).cast("int")), lambda t: t["token"]))
     some = checkpointed(some.filter((F.size("prefix") > 0) & (100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))).select("gid", "n", "u", *parity, "prefix"))
+    sets = written(_listed(profiled.select("gid", "tokens"), some, "left_semi"), "compared")
 
     # Identical prefix and size; a prefix with a token of its own is like no other.
     alike = F.when(F.col("u") == 0, F.struct("n", F.lit(-1).cast("long").alias("gid"), "prefix")).otherwise(F.struct("n", "gid", F.slice("prefix", 1, 0).alias("prefix")))
@@ -209,7 +199,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     final = connected_components(links.union(more))
 
     # Ids: the smallest of each class, then of each component, back to the rows of the class.
-    smallest = able.groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("smallest")).join(classes.select("key", "gid"), "key")
+    smallest = able.groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("smallest")).join(classes, "key")
     named = smallest.join(final.withColumnRenamed("node", "gid"), "gid", "left").withColumn("component", F.coalesce("component", "gid"))
     least = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
     by_key = named.join(least, "component").select("key", F.when(F.col("component_id") != NO_ID, F.col("component_id")).alias("component_id"))

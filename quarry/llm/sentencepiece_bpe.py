@@ -29,7 +29,7 @@ from quarry.llm.common import id_text, map_slices
 
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int32).max
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 #: A unit longer than this whose next merge has to be taken alone is finished with a queue.
 QUEUE_SYMBOLS = 256
 #: Columns a call can ask for besides doc_id.
@@ -327,7 +327,7 @@ def encode_decode(docs: DataFrame, model_path: str, outputs: tuple[str, ...] = (
     Null and empty texts give the begin and end ids alone and an empty text;
     repeated rows stay repeated; an empty table gives an empty result; a null
     id stays null. Row-local: no shuffle, memory bounded by a slice of about
-    4 MB of text (or one document) and the unit cache.
+    2 MB of text (or one document) and the unit cache.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))  # vocabulary: bounded
     wanted = list(outputs)
