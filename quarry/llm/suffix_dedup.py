@@ -28,16 +28,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.bitmaps import bitmap, inside
-from quarry.llm.common import checkpointed, map_slices
+from quarry.llm.common import checkpointed, map_slices, written
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
-#: Bytes of cells in a shard.
-SHARD_BYTES = 1 << 19
+#: Bytes of cells in a shard; sorting takes about 120 bytes of memory for each.
+SHARD_BYTES = 2 << 20
 BITS = 26
 NO_ID = (1 << 63) - 1
 #: Kasai's inequality carries a common prefix over so many positions before it is measured anew.
@@ -85,9 +85,9 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _cell_slots(doc: int, body: int, first: np.ndarray) -> np.ndarray:
+def _cell_slots(doc: np.ndarray, body: np.ndarray, first: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (np.uint64((doc * 0x9E3779B97F4A7C15 + body) & (2**64 - 1)) + first.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        x = doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + body.view(np.uint64) + first.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return (x >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -189,7 +189,7 @@ def _runs(marks: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shard_repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     """One shard: spans of the windows that repeat earlier ones, and, of an anchor in several shards, the distinct windows (``window``) in order."""
-    pdf = pdf.drop_duplicates(["id", "body", "lo"]).sort_values(["id", "body", "lo"], ignore_index=True)
+    pdf = pdf.astype({"lo": np.int64}).drop_duplicates(["id", "body", "lo"]).sort_values(["id", "body", "lo"], ignore_index=True)
     texts = pdf["raw"].tolist()
     symbols, ends, marks, least = _repeats(texts)
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -242,7 +242,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     anchors = map_slices(read, survey, "hash bigint, times byte").groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1")
     repeated = broadcast(bitmap(anchors.select(F.expr(f"shiftrightunsigned(hash, {64 - BITS})").alias("slot")), BITS))
 
-    cell_schema = pa.schema([("hash", pa.int64()), ("cell", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("slot", pa.int64()), ("again", pa.bool_())])
+    cell_schema = pa.schema([("hash", pa.int64()), ("cell", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int32()), ("more", pa.int32()), ("again", pa.bool_())])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,37 +252,59 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
                 hit = inside(repeated.value, _slots(anchor))
                 anchor, lo, hi = anchor[hit], lo[hit], hi[hit]
                 if len(anchor):
-                    own = _cell_hashes(raw, lo, hi)
-                    again = np.ones(len(own), bool)
-                    again[np.unique(own, return_index=True)[1]] = False  # an equal cell of this text comes before
-                    parts.append((anchor, own, np.full(len(own), i), np.full(len(own), b), lo, hi, _cell_slots(i, b, lo), again))
+                    parts.append((anchor, _cell_hashes(raw, lo, hi), np.full(len(anchor), i), np.full(len(anchor), b), lo, hi - lo))
             if parts:
-                yield _batch([np.concatenate(c) for c in zip(*parts)], cell_schema)
-
-    found = checkpointed(map_slices(read, candidates, "hash bigint, cell bigint, id bigint, body bigint, lo bigint, hi bigint, slot bigint, again boolean"))
-    firsts = found.filter("NOT again").groupBy("hash", "cell").agg(F.min(F.struct("id", "body", "lo", "hi", "slot")).alias("f")).select("hash", "cell", "f.*")
-    firsts = checkpointed(firsts)
-    several = firsts.groupBy("hash").agg(F.sum(F.col("hi") - F.col("lo") + LENGTH).alias("bytes"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    several = several.select("hash", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("parts"), "bytes")
-    needed = checkpointed(firsts.join(several, "hash"))
+                anchor, own, ids, bodies, lo, more = (np.concatenate(c) for c in zip(*parts))
+                # Of equal cells in these texts all but the first are covered, whatever other texts hold.
+                by = np.lexsort((lo, bodies, ids, own, anchor))
+                start = np.r_[True, (anchor[by[1:]] != anchor[by[:-1]]) | (own[by[1:]] != own[by[:-1]])]
+                first = by[np.flatnonzero(start)[np.cumsum(start) - 1]]
+                again = np.zeros(len(by), bool)
+                again[by] = (ids[by] != ids[first]) | (bodies[by] != bodies[first]) | (lo[by] != lo[first])
+                new = ~again
+                yield _batch([anchor[new], own[new], ids[new], bodies[new], lo[new], more[new], again[new]], cell_schema)
+                # Their spans, joined where they touch (the cells of a text stand in order).
+                ids, bodies, lo, end = ids[again], bodies[again], lo[again], (lo + more)[again] + LENGTH
+                if len(ids):
+                    cut = np.r_[True, (ids[1:] != ids[:-1]) | (bodies[1:] != bodies[:-1]) | (lo[1:] > end[:-1]) | (lo[1:] < lo[:-1])]
+                    start = np.flatnonzero(cut)
+                    size = np.maximum.reduceat(end, start) - lo[start] - LENGTH
+                    key = ids[start] * 1_000_003 + lo[start]  # these meet nothing: any key that spreads them
+                    yield _batch([key, np.zeros(len(start), np.int64), ids[start], bodies[start], lo[start], size, np.ones(len(start), bool)], cell_schema)
+
+    found = map_slices(read, candidates, "hash bigint, cell bigint, id bigint, body bigint, lo int, more int, again boolean")
+    order = Window.partitionBy("hash", "cell", "again").orderBy("id", "body", "lo")  # a row for each slice of texts that has the cell
+    own_place = F.struct("id", "body", "lo")
+    later = F.col("again") | (own_place != F.first(own_place).over(order))
+    judged = written(found.withColumn("later", later).select(F.when(~F.col("later"), F.col("hash")).alias("hash"), "id", "body", "lo", "more", "later"), "cells")
+    firsts = judged.filter("NOT later")
+    several = firsts.groupBy("hash").agg(F.sum(F.col("more").cast("long") + LENGTH).alias("bytes"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    several = checkpointed(several.select("hash", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("parts"), "bytes"))
+    needed = written(firsts.join(several, "hash").select("hash", "id", "body", "lo", "parts"), "needed")
     total = several.agg(F.sum("bytes")).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
-    wanted = broadcast(bitmap(needed.select("slot"), BITS))
 
-    raw_schema = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int64()), ("raw", pa.binary())])
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            i, b, lo = (np.asarray(batch.column(c)).astype(np.int64) for c in ("id", "body", "lo"))
+            yield pa.RecordBatch.from_arrays([pa.array(_cell_slots(i, b, lo))], names=["slot"])
+
+    wanted = broadcast(bitmap(needed.select("id", "body", "lo").mapInArrow(slots, "slot bigint"), BITS))
+
+    raw_schema = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int32()), ("raw", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
             for i, b, raw in _rows(batch):
                 anchor, lo, hi = cells(raw)
-                hit = inside(wanted.value, _cell_slots(i, b, lo)) & inside(repeated.value, _slots(anchor))
+                hit = inside(wanted.value, _cell_slots(np.full(len(lo), i), np.full(len(lo), b), lo)) & inside(repeated.value, _slots(anchor))
                 parts += [(h, i, b, s, raw[s:e + LENGTH]) for h, s, e in zip(anchor[hit].tolist(), lo[hit].tolist(), hi[hit].tolist())]
             if parts:
                 yield _batch(list(zip(*parts)), raw_schema)
 
     # Anchors that fit share shards by hash; a larger one has shards of its own.
-    texts = map_slices(read, fetch, "hash bigint, id bigint, body bigint, lo bigint, raw binary").join(needed.select("hash", "id", "body", "lo", "parts"), ["hash", "id", "body", "lo"])
+    texts = map_slices(read, fetch, "hash bigint, id bigint, body bigint, lo int, raw binary").join(needed.select("hash", "id", "body", "lo", "parts"), ["hash", "id", "body", "lo"])
     sub = F.pmod(F.xxhash64("id", "body", "lo"), F.col("parts")).cast("int")
     dealt = texts.withColumn("sub", sub).withColumn("shard", F.when(F.col("parts") > 1, F.concat_ws(":", "hash", "sub")).otherwise(F.pmod(F.col("hash"), F.lit(n_shards)).cast("string")))
     made = checkpointed(dealt.groupBy("shard").applyInPandas(shard_repeats, "hash bigint, id bigint, body bigint, start bigint, end bigint, window binary, sub int"))
@@ -291,8 +313,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     # A window stands in one row for each shard that has it; windows of one content meet.
     merged = merging.groupBy("hash", F.pmod(F.xxhash64("window"), F.col("parts")).alias("deal")).applyInPandas(merge_shards, "id bigint, body bigint, start bigint, end bigint")
 
-    later = found.join(firsts.select("hash", "cell", F.struct("id", "body", "lo").alias("f")), ["hash", "cell"]).filter(F.col("again") | (F.struct("id", "body", "lo") != F.col("f")))
-    spans = later.select("id", "body", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("end"))
+    spans = judged.filter("later").select("id", "body", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("more") + LENGTH).cast("long").alias("end"))
     return spans.union(made.filter("window IS NULL").select("id", "body", "start", "end")).union(merged)
 
 
