@@ -39,7 +39,7 @@ def test_suffix_array_and_prefixes():
         assert got[k] == min(n, 30)
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 19, 700])
+@pytest.mark.parametrize("shard_bytes", [2 << 20, 700])
 def test_equal_to_all_windows(spark, shard_bytes):
     rnd = random.Random(9)
     alphabet = "abcdefgh é\n"
