@@ -6,9 +6,11 @@ on a sample of at most about ``SAMPLE`` vectors chosen by a hash of their
 ids; every vector is put into a leaf. A query walks the tree best bin first:
 a priority queue holds the nodes seen, by distance of their centroids, and
 the nearest is opened next. How many leaves a query visits is calibrated:
-for a few sampled vectors the true neighbours over all rows are found by
+for a few of the queries, chosen by a hash, the true neighbours over all rows are found by
 brute force, and visits are widened until ``TARGET`` of these lie in visited
-leaves. What a visited leaf holds is compared exactly, in double precision.
+leaves. What a visited leaf holds is compared exactly, in double precision:
+first in the nearest few leaves; the score of the last neighbour found there
+is the least that a vector of the other leaves must reach to be passed on.
 
 Leaves are split into parts of bounded size, and the queries of a leaf into
 blocks, so no task's work grows with the largest leaf.
@@ -30,8 +32,10 @@ from quarry.llm.common import checkpointed
 
 #: Bound of the fitting sample, and vectors a leaf should hold on average (a sample of this size has a leaf for every 8 vectors at most).
 SAMPLE, LEAF_ROWS, BRANCH = 20_000, 256, 8
-#: Vectors whose true neighbours calibrate the visits, and the share of these to be found.
-PROBES, TARGET = 200, 0.97
+#: Queries whose true neighbours calibrate the visits, and the share of these to be found.
+PROBES, TARGET = 400, 0.95
+#: Leaves that a query visits first.
+NEAR = 4
 #: Rows of a part of a leaf, and of a block of queries.
 PART_ROWS, BLOCK_ROWS = 4096, 1024
 
@@ -89,6 +93,13 @@ class Tree:
         self.square = (self.centres * self.centres).sum(axis=1)
         self.n_leaves = sum(1 for c in self.children if not c)
 
+    @classmethod
+    def of(cls, state: dict) -> Tree:
+        """The tree with this state: plain data travel to the tasks."""
+        tree = cls.__new__(cls)
+        tree.__dict__.update(state)
+        return tree
+
     def leaf(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector: the nearest child at every node."""
         points, at = lifted(x, self.radius), np.zeros(len(x), np.int64)
@@ -126,14 +137,18 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-scores, kind="stable")
 
 
-def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """The ``k`` best of the candidates for each query, its own id left out."""
+def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, least: np.ndarray | None = None) -> list[tuple[int, int, float]]:
+    """The ``k`` best of the candidates for each query, its own id and scores under ``least`` left out."""
     by = np.argsort(ids, kind="stable")
     ids, x = ids[by], x[by]
     out = []
     for at in range(0, len(q), 128):
-        for i, scores in zip(q_ids[at:at + 128].tolist(), q[at:at + 128] @ x.T):
+        for n, (i, scores) in enumerate(zip(q_ids[at:at + 128].tolist(), q[at:at + 128] @ x.T), at):
             scores[ids == i] = -np.inf
+            if least is not None:
+                scores[scores < least[n]] = -np.inf
+                if scores.max(initial=-np.inf) == -np.inf:
+                    continue
             out += [(i, int(ids[p]), float(scores[p])) for p in best(scores, ids, k).tolist() if scores[p] > -np.inf]
     return out
 
@@ -182,14 +197,17 @@ def search(vectors: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id
         sample = rows.orderBy("vec_id").limit(1).toPandas()
     points = np.stack(sample["v"]).astype(np.float64)
     tree = Tree(points, max(1, min(total // LEAF_ROWS, len(points) // 8)))
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(vars(tree))
 
     # Visits: until the target share of the probes' true neighbours lies in visited leaves.
-    probe_ids, probes = sample["vec_id"].to_numpy()[:PROBES], points[:PROBES]
+    drawn = rows.filter(is_query).withColumn("chance", chance).orderBy("chance", "vec_id").limit(PROBES).toPandas()
+    probe_ids = drawn["vec_id"].to_numpy(np.int64)
+    probes = np.stack(drawn["v"]).astype(np.float64) if len(drawn) else points[:0]
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Tree.of(shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(shared.value.leaf(_matrix(batch.column("v"))))], names=["vec_id", "v", "leaf"])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(held.leaf(_matrix(batch.column("v"))))], names=["vec_id", "v", "leaf"])
 
     indexed = checkpointed(rows.mapInArrow(put, "vec_id bigint, v array<double>, leaf bigint"))
     true = brute_force(rows, probe_ids, probes, k).join(indexed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toPandas()  # PROBES * k rows
@@ -198,23 +216,31 @@ def search(vectors: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id
     visits = int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Tree.of(shared.value)
         for batch in batches:
-            leaves = [shared.value.visit(q, visits) for q in _matrix(batch.column("v"))]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(leaves, pa.list_(pa.int64()))], names=["query_id", "q", "leaves"])
+            leaves = [held.visit(q, visits) for q in _matrix(batch.column("v"))]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(leaves, pa.list_(pa.int64()))], names=["query_id", "q", "leaves"])  # nearest first
 
-    queries = rows.filter(is_query).mapInArrow(walk, "query_id bigint, q array<double>, leaves array<bigint>").select("query_id", "q", F.explode("leaves").alias("leaf"))
+    queries = rows.filter(is_query).mapInArrow(walk, "query_id bigint, q array<double>, leaves array<bigint>").select("query_id", "q", F.posexplode("leaves").alias("turn", "leaf"))
     queries = checkpointed(queries)
-    n_parts = indexed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("long").alias("parts"))
-    n_blocks = queries.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
-    shape = n_parts.join(n_blocks, "leaf")
-    left = queries.join(F.broadcast(shape), "leaf").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))  # a row for each leaf: at most SAMPLE / 8
-    right = indexed.join(F.broadcast(shape), "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    n_parts = checkpointed(indexed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("long").alias("parts")))
 
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        return pd.DataFrame(_top(q["query_id"].to_numpy(), np.stack(q["q"]), c["vec_id"].to_numpy(), np.stack(c["v"]), k), columns=["query_id", "vec_id", "score"])
-
-    cell = ["leaf", "part", "block"]
-    found = left.select(*cell, "query_id", "q").groupBy(*cell).cogroup(right.select(*cell, "vec_id", "v").groupBy(*cell)).applyInPandas(compare, RESULT)
-    return _ranked(found, k)
+        rows = _top(q["query_id"].to_numpy(), np.stack(q["q"]), c["vec_id"].to_numpy(), np.stack(c["v"]), k, q["least"].to_numpy())
+        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": np.int64, "vec_id": np.int64, "score": np.float64})
+
+    def candidates(asked: DataFrame) -> DataFrame:
+        """What the leaves hold for ``query_id, q, leaf, least``."""
+        n_blocks = asked.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
+        shape = F.broadcast(n_parts.join(n_blocks, "leaf"))  # a row for each leaf: at most SAMPLE / 8
+        left = asked.join(shape, "leaf").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        right = indexed.join(shape, "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        cell = ["leaf", "part", "block"]
+        return left.select(*cell, "query_id", "q", "least").groupBy(*cell).cogroup(right.select(*cell, "vec_id", "v").groupBy(*cell)).applyInPandas(compare, RESULT)
+
+    first = checkpointed(_ranked(candidates(queries.filter(F.col("turn") < NEAR).withColumn("least", F.lit(float("-inf")))), k))
+    least = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    others = queries.filter(F.col("turn") >= NEAR).join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    return _ranked(first.drop("rank").union(candidates(others)), k)
