@@ -106,6 +106,19 @@ def curriculum(planned: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position", "doc_id", "copy").sortWithinPartitions("position", "doc_id", "copy")
 
 
+def whole(taken: DataFrame) -> DataFrame:
+    """The rows of ``curriculum`` with whole texts only: the copy at the end of a source's
+    quota is taken whole where that comes at least as near to the quota as leaving it."""
+    return taken.filter(F.col("words") * 2 >= F.col("size")).withColumn("words", F.col("size"))
+
+
+def differences(planned: DataFrame) -> DataFrame:
+    """``src, target, words, difference``: the words that whole copies take of each source, and by how much that is over (or under) its target."""
+    words = F.aggregate(F.filter("copies", lambda c: c.words * 2 >= F.col("size")), F.lit(0).cast("long"), lambda a, c: a + F.col("size"))
+    by_source = planned.groupBy("src").agg(F.first("target").alias("target"), F.sum(words).alias("words"))
+    return by_source.withColumn("difference", F.col("words") - F.col("target"))
+
+
 def first_words(text: Column, words: Column) -> Column:
     """The text up to the end of its first ``words`` words."""
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1)), F.lit(1), words.cast("int")), "")
