@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_collapse, curriculum, kmeans_tree, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
+from quarry.llm import chat_collapse, cover_codes, curriculum, kmeans_tree, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import checkpointed
 
 
@@ -78,7 +78,15 @@ def op10_line_chunks(spark: SparkSession, base: str) -> DataFrame:
     return done.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_cover_codes(spark: SparkSession, base: str) -> DataFrame:
+    """Product codes of all vectors after two Lloyd rounds."""
+    done, books = cover_codes.compress(_table(spark, base, "embeddings"))
+    code = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return done.select("vec_id", code.alias("code"), "error", "label_error", F.lit(cover_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
+    "op12_cover_codes": op12_cover_codes,
     "op3_kmeans_tree": op3_kmeans_tree,
     "op6_chat_collapse": op6_chat_collapse,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -179,3 +187,34 @@ SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
        round(CASE WHEN slope = 0 OR y IS NULL THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END, 6) AS first_position
 FROM timed
 """
+
+
+def _lloyd(entries: int, rounds: int) -> str:
+    """SQL of the assignments and codebooks of all rounds: ``at{r}`` assigns to ``book{r}``."""
+    nearest = """at{r} AS (
+  SELECT rid, part, min_by(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT rid, p.part, entry, list_sum(list_transform(generate_series(1, len(p.v)), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS d FROM parted p JOIN book{r} b ON p.part = b.part) GROUP BY rid, part)"""
+    retrained = """sums{r} AS (
+  SELECT part, entry, i, sum(x)::BIGINT AS s, count(*) AS c FROM (SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM at{q} JOIN parted USING (rid, part)) GROUP BY part, entry, i),
+book{r} AS (
+  SELECT part, entry, coalesce(w, v) AS v FROM book{q} LEFT JOIN (SELECT part, entry, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY i) AS w FROM sums{r} GROUP BY part, entry) USING (part, entry))"""
+    steps = [f"book0 AS (SELECT part, rid - 1 AS entry, v FROM parted WHERE rid <= {entries})", nearest.format(r=0)]
+    for r in range(1, rounds + 1):
+        steps += [retrained.format(r=r, q=r - 1), nearest.format(r=r)]
+    return ",\n".join(steps)
+
+
+ORACLES["op12_cover_codes"] = r"""
+WITH kept AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parted AS (
+  SELECT rid, part, list_transform(embedding[(part * len(embedding)) // 16 + 1 : ((part + 1) * len(embedding)) // 16], lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM kept, (SELECT unnest(range(16)) AS part)),
+""" + _lloyd(64, 2) + r""",
+coded AS (
+  SELECT rid, string_agg(lpad(format('{:x}', entry), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM at2 GROUP BY rid),
+named AS (SELECT vec_id, label, code, error FROM kept JOIN coded USING (rid)),
+sha AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM named, sha
+"""
