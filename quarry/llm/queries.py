@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_collapse, cover_codes, curriculum, kmeans_tree, language_id, line_chunks, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
+from quarry.llm import chat_collapse, collocations, cover_codes, curriculum, kmeans_tree, language_id, line_chunks, ngram_join, pii, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import checkpointed
 
 
@@ -85,7 +85,22 @@ def op12_cover_codes(spark: SparkSession, base: str) -> DataFrame:
     return done.select("vec_id", code.alias("code"), "error", "label_error", F.lit(cover_codes.digest(books)).alias("codebooks_sha256"))
 
 
+def op13_pii(spark: SparkSession, base: str) -> DataFrame:
+    """Personal data of every whole text, and the terms near it that reveal it."""
+    found = pii.scan(_table(spark, base, "documents"))
+    number = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    of_base = F.filter("found", lambda s: s["kind"] < len(pii.BASE_KINDS))
+    return found.select("doc_id", *map(number, pii.BASE_KINDS), F.sha2(pii.listed(of_base), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"), number("general"), number("removed"))
+
+
+def op11_collocations(spark: SparkSession, base: str) -> DataFrame:
+    """The 2,000 highest-scoring phrases of two to five words of each language."""
+    return collocations.mine(_table(spark, base, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut")
+
+
 QUERIES = {
+    "op11_collocations": op11_collocations,
+    "op13_pii": op13_pii,
     "op12_cover_codes": op12_cover_codes,
     "op3_kmeans_tree": op3_kmeans_tree,
     "op6_chat_collapse": op6_chat_collapse,
@@ -218,3 +233,30 @@ named AS (SELECT vec_id, label, code, error FROM kept JOIN coded USING (rid)),
 sha AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM named, sha
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, pid, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, text, row_number() OVER () AS pid FROM documents)),
+worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces WHERE regexp_matches(piece, '[^\x20\x09]')),
+grams AS (
+  SELECT lang, w[i : i + m - 1] AS g, m FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM worded, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM grams GROUP BY lang, m, array_to_string(g, ' ') HAVING count(*) >= 100),
+gone AS (
+  SELECT DISTINCT s.lang, s.phrase FROM (
+    SELECT lang, f, m, array_to_string(g[i : j], ' ') AS phrase FROM (
+      SELECT *, unnest(range(i, m + 1)) AS j FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM f WHERE m > 2))) l
+  JOIN f s ON s.lang = l.lang AND s.phrase = l.phrase AND s.m < l.m AND 100 * l.f >= 100 * s.f),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, n, k, l.f AS l, r.f AS r, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m >= 2) c
+  JOIN totals USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1 : k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1 : c.m], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score, k AS cut FROM ranked WHERE rank <= 2000
+"""
