@@ -105,7 +105,7 @@ def _name(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
-_NEAR = "id bigint, body bigint, kind int, start bigint, end bigint, entity bigint, term bigint, general bigint, context bigint, is_first boolean, is_first_general boolean"
+_NEAR = "id bigint, body bigint, kind int, start bigint, end bigint, entity bigint, term bigint, general bigint, context bigint, is_first boolean, is_first_general boolean, is_first_term boolean"
 
 
 def _near(text: str) -> Iterator[tuple]:
@@ -126,7 +126,7 @@ def _near(text: str) -> Iterator[tuple]:
     seen, seen_general = set(), set()
     for kind, start, end, value in found:
         entity = _name(f"{kind}:{value}")
-        yield kind, start, end, entity, None, None, None, (entity not in seen), False
+        yield kind, start, end, entity, None, None, None, (entity not in seen), False, False
         seen.add(entity)
         lo, hi = bisect_left(starts, start), bisect_left(starts, end)
         near = terms[max(0, lo - WINDOW):lo] + terms[hi:hi + WINDOW]
@@ -138,8 +138,8 @@ def _near(text: str) -> Iterator[tuple]:
             own.append(names[word])
         context = xxhash.xxh3_64_intdigest(np.array([t for t, _ in own], np.int64).tobytes()) - (1 << 63)
         for (s, e), (term, general) in zip(near, own):
-            yield kind, s, e, entity, term, general, context, (entity, term) not in seen, (entity, general) not in seen_general
-            seen.add((entity, term))
+            yield kind, s, e, entity, term, general, context, (entity, term) not in seen, (entity, general) not in seen_general, (None, term) not in seen
+            seen |= {(entity, term), (None, term)}
             seen_general.add((entity, general))
 
 
@@ -153,7 +153,7 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """All values of all texts, and the terms near them, as narrow rows."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 6, pa.bool_(), pa.bool_()]
+        types = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 6, *[pa.bool_()] * 3]
         names = [field.split()[0] for field in _NEAR.split(", ")]
         pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=names)
         rows = []
@@ -170,15 +170,15 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _term_counts(docs: DataFrame, candidates: DataFrame, n_candidates: int, id_col: str, text_col: str) -> DataFrame:
-    """``name, documents``: in how many texts each candidate (a term or a generalisation) stands."""
+    """``name, documents``: in how many texts each candidate (a term or a generalisation) stands, and some others."""
     bits = max(16, min(MOST_BITS, (16 * n_candidates).bit_length()))
     table = docs.sparkSession.sparkContext.broadcast(bitmap(candidates.select(F.expr(f"shiftrightunsigned(name, {64 - bits})").alias("slot")), bits))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
-        held = 0
+        held, counts = 0, Counter()
+        pack = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["name", "n"])
         for batch in batches:
-            counts: Counter = Counter()
             for text in batch.column("text").to_pylist():
                 words = {w.lower() for w in set(_TERM.findall(text))} if text else set()
                 new = [w for w in words if w not in known]
@@ -191,10 +191,13 @@ def _term_counts(docs: DataFrame, candidates: DataFrame, n_candidates: int, id_c
                 counts.update({x for w in words for x in known[w]})
                 if len(known) > 100_000 or held > 8 << 20:
                     known, held = {}, 0
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["name", "n"])
+            if len(counts) > BATCH_ROWS:
+                yield pack()
+                counts = Counter()
+        yield pack()
 
     partial = map_slices(_read(docs, id_col, text_col), kernel, "name bigint, n bigint")
-    return partial.groupBy("name").agg(F.sum("n").alias("documents")).join(candidates, "name", "left_semi")
+    return partial.groupBy("name").agg(F.sum("n").alias("documents"))
 
 
 def disclosing(docs: DataFrame, near: DataFrame, threshold: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,19 +205,22 @@ def disclosing(docs: DataFrame, near: DataFrame, threshold: float = DISCLOSURE,
     count = lambda flag: F.sum(F.col(flag).cast("long"))
     terms = near.filter(F.col("term").isNotNull())
     pairs = terms.groupBy("entity", "term", "general").agg(count("is_first").alias("together"), F.min("context").alias("a"), F.max("context").alias("b")).filter("a != b").drop("a", "b")
-    pairs = written(pairs, "pii-pairs")
-    candidates = written(pairs.select(F.explode(F.array("term", "general")).alias("name")).distinct(), "pii-candidates")
-    total, n_candidates = docs.count(), candidates.count()
-    counts = written(_term_counts(docs, candidates, n_candidates, id_col, text_col), "pii-term-counts")
+    total = docs.count()
     entities = near.filter(F.col("term").isNull()).groupBy("entity").agg(count("is_first").alias("of_entity"))
-    general = terms.join(pairs.select("entity", "general").distinct(), ["entity", "general"], "left_semi").groupBy("entity", "general").agg(count("is_first_general").alias("together_general"))
 
-    def share(together: str, documents: str):
+    def share(together: str, documents: str) -> Column:
         information = F.log(F.lit(float(total)) / F.col("of_entity"))
         return F.when(information > 0, F.log(F.col(together) * F.lit(float(total)) / (F.col(documents) * F.col("of_entity"))) / information).otherwise(0.0)
 
+    # A term stands in at least as many documents as it stands near any value: what falls short with those need not be counted.
+    at_least = terms.groupBy("term").agg(count("is_first_term").alias("near_values"))
+    pairs = pairs.join(entities, "entity").join(at_least, "term").filter(share("together", "near_values") >= threshold).drop("near_values")
+    pairs = written(pairs, "pii-pairs")
+    candidates = written(pairs.select(F.explode(F.array("term", "general")).alias("name")).distinct(), "pii-candidates")
+    counts = written(_term_counts(docs, candidates, candidates.count(), id_col, text_col), "pii-term-counts")
+    general = terms.join(pairs.select("entity", "general").distinct(), ["entity", "general"], "left_semi").groupBy("entity", "general").agg(count("is_first_general").alias("together_general"))
     named = lambda name, documents: counts.select(F.col("name").alias(name), F.col("documents").alias(documents))
-    judged = pairs.join(entities, "entity").join(named("term", "of_term"), "term").withColumn("share", share("together", "of_term")).filter(F.col("share") >= threshold)
+    judged = pairs.join(named("term", "of_term"), "term").withColumn("share", share("together", "of_term")).filter(F.col("share") >= threshold)
     judged = judged.join(general, ["entity", "general"]).join(named("general", "of_general"), "general").withColumn("general_share", share("together_general", "of_general"))
     return judged.select("entity", "term", "share", F.when(F.col("general_share") < threshold, KINDS.index("general")).otherwise(KINDS.index("removed")).alias("kind"))
 
