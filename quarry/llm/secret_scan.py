@@ -13,6 +13,7 @@ matches, in order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,9 +49,16 @@ RULES = (
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", base=False),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", base=False),
 )
+#: Matches whose places are summed up at a time, so that time grows with the matches and not with their square.
+BLOCK = 256
 FINDINGS = "array<struct<start: bigint, place: int, kind: string, end: bigint>>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it stands in there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def spans(text: Column, rule: Rule, place: int) -> Column:
     """All findings of one rule in a text: ``start, place, kind, end`` in code points, end exclusive."""
     pattern = F.lit(rule.pattern)
@@ -67,7 +75,19 @@ def spans(text: Column, rule: Rule, place: int) -> Column:
         found = F.struct(start.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(m["judged"] >= rule.least, F.concat(state["found"], F.array(found))).otherwise(state["found"]).alias("found"))
 
-    every = F.aggregate(step, F.struct(F.lit(0).cast("long").alias("at"), none.alias("found")), add, lambda s: s["found"])
+    zero = F.lit(0).cast("long")
+
+    def cut(steps: Column) -> Column:
+        last = F.greatest(F.floor((F.size(steps) - 1) / BLOCK).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(steps, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def placed(blocks: Column) -> Column:
+        lengths = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda total, m: total + m["gap"] + m["size"]))
+        starts = F.aggregate(lengths, F.array(zero), lambda upto, n: F.concat(upto, F.array(F.element_at(upto, -1) + n)))
+        zipped = F.arrays_zip(blocks.alias("block"), F.slice(starts, F.lit(1), F.size(blocks)).alias("start"))
+        return F.flatten(F.transform(zipped, lambda z: F.aggregate(z["block"], F.struct(z["start"].alias("at"), none.alias("found")), add, lambda s: s["found"])))
+
+    every = _bound(step, lambda steps: _bound(cut(steps), placed))
     return F.when(F.rlike(text, pattern), every).otherwise(none)
 
 

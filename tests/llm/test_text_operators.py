@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -38,6 +39,20 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language_id.classify(df, nothing).collect()} == {"und"}
 
 
+def test_numbers_are_no_letters(spark):
+    rows = [(100 + i, "the cat and the dog are in the house by the river", "en", "s") for i in range(20)]
+    model = language_id.train(docs(spark, rows), F.lit(True))
+    got = language_id.classify(docs(spark, [(1, "½ ²"), (2, "Ⅷ"), (3, "½" * 5000), (4, "½ the cat")]), model).collect()
+    assert {r.doc_id: (r.lang_pred, r.score == 0, r.rejected) for r in got if r.doc_id < 4} == dict.fromkeys((1, 2, 3), ("und", True, True))
+    assert [r.lang_pred for r in got if r.doc_id == 4] == ["en"]
+
+
+def test_most_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGS", 2)
+    rows = [(i, f"words of language {i % 5} here", f"l{i % 5}", "s") for i in range(50)] + [(100 + i, "der die das", "de", "s") for i in range(30)]
+    assert set(language_id.train(docs(spark, rows), F.lit(True))["langs"]) == {"de", "l0"}
+
+
 def test_junk_is_rejected(spark):
     table = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     model = language_id.train(table, F.lit(True))
@@ -65,6 +80,19 @@ def test_spans_equal_finditer(spark):
         assert got[i] == [(k, s, e) for s, _, k, e in sorted(want)], text
 
 
+def test_many_findings_in_one_text(spark):
+    """Time grows with the findings, not with their square; places go on across blocks."""
+    text = "é " + " ".join(hashlib.sha256(str(i).encode()).hexdigest()[:40] for i in range(40_000))
+    begun = time.time()
+    (row,) = secret_scan.scan(docs(spark, [(1, text)]))[0].collect()
+    assert [(s.start, s.end) for s in row.found if s.kind == "hex"] == [m.span() for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert time.time() - begun < 15
+    for n in (1, secret_scan.BLOCK - 1, secret_scan.BLOCK, secret_scan.BLOCK + 1, 2 * secret_scan.BLOCK):
+        part = " ".join(text.split(" ")[:n + 1])
+        (row,) = secret_scan.scan(docs(spark, [(1, part)]))[0].collect()
+        assert [(s.start, s.end) for s in row.found] == [m.span() for m in re.finditer("[0-9a-f]{24,}", part)]
+
+
 def test_ledger_scans_only_what_it_lacks(spark):
     first, ledger = secret_scan.scan(docs(spark, [(1, "token=abcdefgh"), (2, "nothing"), (3, "token=abcdefgh")]))
     ledger = ledger.withColumn("found", F.when(F.col("kind") == "assign", F.col("found")).otherwise(F.col("found")))
