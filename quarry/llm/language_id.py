@@ -49,11 +49,18 @@ UNSURE_SHARE = 0.6
 #: Where all together are fewer: a cosine below this share of the least one is rejected.
 REJECT_SHARE = 0.4
 OTHER = re.compile(r"[\W\d_]+")
+#: What may be a letter; some of these are numbers (``½``, ``Ⅷ``).
 LETTER = re.compile(r"[^\W\d_]")
+#: Languages that are learned, those with most labelled rows: the fitting sample is held by the driver.
+MOST_LANGS = 256
 #: Rows whose vectors a task holds at once.
 BLOCK_ROWS = 256
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def counts(texts: list[str]) -> np.ndarray:
     """Hashed n-gram counts, one row per text."""
     rows = [np.frombuffer(OTHER.sub(" ", f" {t.lower()} ").encode("utf-8", "replace"), np.uint8) for t in texts]
@@ -144,7 +151,7 @@ def limits(best: np.ndarray, size: np.ndarray, top: np.ndarray, whole: np.ndarra
 def beginnings(text: str) -> list[str]:
     """The text and its beginnings of 2, 4, 8 ... characters, those with a letter."""
     cuts = [text[:1 << k] for k in range(1, max(1, len(text) - 1).bit_length())]
-    return [t for t in [text, *cuts] if LETTER.search(t)]
+    return [t for t in [text, *cuts] if has_letter(t)]
 
 
 def nearest(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,15 +167,18 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK_ROWS):
             part = batch.slice(at, BLOCK_ROWS)
-            keep = [i for i, t in enumerate(part.column("text").to_pylist()) if t and LETTER.search(t)]
+            keep = [i for i, t in enumerate(part.column("text").to_pylist()) if t and has_letter(t)]
             made = counts([part.column("text")[i].as_py() for i in keep])
             yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(keep, pa.int64())), pa.array([m.tobytes() for m in made], pa.binary())], names=["lang", "counted"])
 
 
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
-    """Fits on a sample of the rows that are ``usable`` and have a text and a language, and sets the limits by other such rows."""
+    """Fits on a sample of the rows that are ``usable`` and have a text and a language, and sets the limits by other such rows.
+
+    Of more than ``MOST_LANGS`` languages those with most rows are learned (ties: the first in order).
+    """
     rows = docs.filter(usable).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    held = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    held = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()}
     fitted = {lang: 1.0 if n < LEAST_SPLIT else min(0.75, SAMPLE_PER_LANG / n) for lang, n in held.items()}
     kept_out = {lang: fitted[lang] + KEPT_OUT_PER_LANG / n for lang, n in held.items()}
     chance = md5_u32(F.concat(F.lit("lang:"), F.coalesce("id", F.lit("")))) / F.lit(2.0**32)
@@ -222,7 +232,7 @@ def classify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
                 texts = part.column("text").to_pylist()
-                able = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if m["langs"] else []
+                able = [i for i, t in enumerate(texts) if t and has_letter(t)] if m["langs"] else []
                 langs, score, rejected = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if able:
                     best, score[able], rejected[able] = nearest(m, [texts[i] for i in able])
@@ -243,7 +253,7 @@ def accept(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
                 texts = part.column(text_col).to_pylist()
-                able = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if m["langs"] else []
+                able = [i for i, t in enumerate(texts) if t and has_letter(t)] if m["langs"] else []
                 if able:
                     kept = [i for i, far in zip(able, nearest(m, [texts[i] for i in able])[2].tolist()) if not far]
                     yield part.take(pa.array(kept, pa.int64()))
