@@ -11,7 +11,7 @@ creates a pair of the same or a lower rank. Which pieces can do that is known
 from the vocabulary; for those only the leftmost occurrence merges in a round.
 
 Whatever a worker remembers of units already merged is dropped beyond
-``CACHE_UNITS``; that changes the time only.
+``CACHE_UNITS`` units or ``CACHE_BYTES`` bytes; that changes the time only.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from quarry.llm.common import id_text, map_slices
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int32).max
 CACHE_UNITS = 200_000
+CACHE_BYTES = 24 << 20
 #: A unit longer than this whose next merge has to be taken alone is finished with a queue.
 QUEUE_SYMBOLS = 256
 #: Columns a call can ask for besides doc_id.
@@ -124,7 +125,7 @@ class Codec:
     def _forget(self) -> None:
         self.cache = Known()
         self.store, self.starts, self.lens = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-        self.used = 0
+        self.used = self.held = 0
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -255,6 +256,7 @@ class Codec:
         self.store[self.used:self.used + len(ids)] = ids
         self.starts[m:n], self.lens[m:n] = self.used + np.cumsum(lens) - lens, lens
         self.used += len(ids)
+        self.held += sum(map(len, keys))  # characters: of one to four bytes in memory
 
     def _units(self, text: str) -> list[str]:
         """Keys of the units of a text. A unit that is one space mark and a word goes by the word; others begin with a space mark."""
@@ -266,7 +268,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, with begin and end ids, and the offsets of the texts."""
-        if len(self.cache) > CACHE_UNITS:
+        if len(self.cache) > CACHE_UNITS or 2 * self.held + 4 * self.used > CACHE_BYTES:
             self._forget()
         units: list[str] = []
         ends = [0]

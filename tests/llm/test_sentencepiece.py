@@ -48,6 +48,21 @@ def test_forgetting_changes_nothing(codec, library, monkeypatch):
         assert codec.encode([t])[0].tolist() == library.encode(t, add_bos=True, add_eos=True)
 
 
+def test_memory_of_texts_without_spaces(codec, library):
+    """A long line without spaces is one unit; what is remembered is bounded in bytes, not in units."""
+    import resource
+
+    rnd = random.Random(9)
+    lines = lambda: "\n".join("".join(rnd.choices("aeithnorsäé", k=10_000)) for _ in range(100))
+    codec.encode([lines()])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for _ in range(20):
+        text = lines()
+        ids, _ = codec.encode([text])
+    assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 150
+
+
 def test_edges(spark, library):
     df = clashing(docs(spark, edge_rows()))
     got = sentencepiece_bpe.encode_decode(df, PATH, ("ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")).collect()
