@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from quarry.functions.text import normalise, normalised_words
 from quarry.plans.components import connected_components
-from quarry.plans.joins import remove_listed
-from quarry.session import checkpointed
+from quarry.plans.joins import BROADCAST_MAX_BYTES, null_safe_join, remove_listed
+from quarry.plans.ordering import prefix_sum
+from quarry.session import checkpointed, written
 
 PRIME = (1 << 31) - 1
 
@@ -54,19 +55,50 @@ def hash_coefficients(cfg: MinhashConfig = MinhashConfig()) -> list[tuple[int, i
 
 # --- exact -----------------------------------------------------------------
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows whose normalised text is first seen (smallest id). A text without
-    any letter or digit is compared as it is. A hash aggregation with map-side
-    partial ``min``: a text repeated across a third of the corpus is one entry
-    per task before the shuffle; the other ids of repeated texts are the
-    removal list."""
+def _text_key(text_col: str) -> Column:
+    """Hash of the normalised text; a text without any letter or digit counts as it is."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = normalise(text)
-    key = F.sha2(F.when(plain == "", F.concat(F.lit("\u0000"), text)).otherwise(plain), 256)
-    rows = df.select(key.alias("_h"), F.col(id_col).alias("_id"))
-    repeated = rows.groupBy("_h").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    removed = rows.join(repeated, "_h").filter(F.col("_id") != F.col("_first"))
-    return remove_listed(df, removed.select(F.col("_id").alias(id_col)), id_col)
+    return F.sha2(F.when(plain == "", F.concat(F.lit("\u0000"), text)).otherwise(plain), 256)
+
+
+def _one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of ``keys``, chosen by the row's contents (rows
+    that tie are equal); a hash aggregation, so a hot value is one row for
+    each task before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})).alias("_kept")) if rest else df.distinct()
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_kept.`{c}`").alias(c) for c in df.columns])
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each normalised text: that with the smallest id, NULL last.
+
+    Rows are removed, not ids: an id that occurs again with another text keeps
+    that row, and copies under one id, or under no id, leave one row (ties:
+    the least row as JSON). Texts are hashed once, to a narrow table of hash
+    and id; from it come the ids to remove (an anti join, broadcast when its
+    measured size allows, so texts are not shuffled) and the ids that occur
+    more than once and have copies, whose few rows are judged row by row."""
+    rows = df.select(_text_key(text_col).alias("_h"), F.col(id_col).alias("_id"))
+    narrow = written(rows, "text-keys")
+    by_id = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"))
+    repeated = narrow.groupBy("_h").agg(F.min(by_id).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    copies = narrow.join(repeated, "_h").select("_id", F.col("_first.id").alias("_keep"))
+    per_id = copies.groupBy("_id").agg(F.count(F.lit(1)).alias("_copies"), F.count_if(~F.col("_keep").eqNullSafe(F.col("_id"))).alias("_gone"))
+    unsure = narrow.join(per_id.select("_id"), "_id", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id")
+    listed = per_id.filter(F.col("_id").isNotNull()).join(unsure, "_id", "left_anti").filter("_gone > 0").select("_id", F.lit(False).alias("_unsure"))
+    listed = written(listed.unionByName(unsure.withColumn("_unsure", F.lit(True))).unionByName(
+        per_id.filter(F.col("_id").isNull()).select("_id", F.lit(True).alias("_unsure"))), "ids-with-copies")
+    count, size = listed.agg(F.count_if("_unsure"), F.sum(F.octet_length(F.col("_id").cast("string")) + 16)).first()
+    small = F.broadcast if (size or 0) <= BROADCAST_MAX_BYTES else (lambda side: side)
+    known = small(listed.select(F.col("_id").alias("_listed"), "_unsure"))
+    if not count:
+        return df.join(known, F.col(id_col) == F.col("_listed"), "left_anti")
+    sure = df.join(known, F.col(id_col).eqNullSafe(F.col("_listed")), "left_anti")
+    judged = df.join(known.filter("_unsure"), F.col(id_col).eqNullSafe(F.col("_listed")), "left_semi").withColumn("_h", _text_key(text_col))
+    judged = judged.join(repeated.select("_h", "_first"), "_h", "left").filter(F.col("_first").isNull() | F.col("_first.id").eqNullSafe(F.col(id_col)))
+    return sure.unionByName(_one_of_each(judged.drop("_first"), ["_h", id_col]).select(*df.columns))
 
 
 # --- shingles and signatures ----------------------------------------------
@@ -201,11 +233,35 @@ def duplicate_clusters(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
     return cc.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
 
+def with_row_keys(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each id and text, with a number ``key`` that ascends by id
+    (NULL last), then by a hash of the text. For tables whose ids repeat or
+    are missing; costs a shuffle of the texts."""
+    marked = df.withColumn("_h", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    single = checkpointed(_one_of_each(marked, ["_h", id_col]))
+    order = single.select(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"), "_h")
+    numbered = prefix_sum(order, ["_none", "_id", "_h"], out=key).select(F.col("_id").alias(id_col), "_h", key)
+    return null_safe_join(single, numbered, [id_col, "_h"]).drop("_h")
+
+
+def ids_repeat(df: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether an id occurs twice or is missing."""
+    twice = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(id_col).isNull())
+    return not twice.isEmpty()
+
+
 def minhash_dedup(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                   id_col: str = "doc_id", text_col: str = "text",
                   clusters: DataFrame | None = None) -> DataFrame:
-    """Keep unclustered documents and the first (smallest id) of each
-    cluster: a left-anti join on the removal list."""
+    """Keep unclustered documents and the first (smallest id, NULL last) of each
+    cluster: a left-anti join on the removal list.
+
+    Rows are removed, not ids: where ids repeat or are missing, rows get
+    numbers first (:func:`with_row_keys`), and rows of one id and text count
+    as one. ``clusters``, if given, names the rows by ids that are unique."""
+    if clusters is None and ids_repeat(df, id_col):
+        keyed = with_row_keys(df, "_key", id_col, text_col)
+        return minhash_dedup(keyed, cfg, "_key", text_col, duplicate_clusters(keyed, cfg, "_key", text_col)).drop("_key")
     cl = clusters if clusters is not None else duplicate_clusters(df, cfg, id_col, text_col)
     removed = cl.filter(F.col("doc_id") != F.col("cluster_id")).select(
         F.col("doc_id").alias(id_col))
@@ -215,8 +271,10 @@ def minhash_dedup(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
 def duplicates_removed(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                        id_col: str = "doc_id", text_col: str = "text",
                        clusters: DataFrame | None = None) -> DataFrame:
-    """The removed side with its cluster id."""
+    """The removed side with its cluster id (ids are unique). The list of
+    removed ids is written and measured; up to ``BROADCAST_MAX_BYTES`` it is
+    broadcast, so that only rows that go are read on, and no text is shuffled."""
     cl = clusters if clusters is not None else duplicate_clusters(df, cfg, id_col, text_col)
-    removed = cl.filter(F.col("doc_id") != F.col("cluster_id")).withColumnRenamed(
-        "doc_id", id_col)
-    return df.join(removed, id_col)
+    removed = written(cl.filter(F.col("doc_id") != F.col("cluster_id")).withColumnRenamed("doc_id", id_col), "removed-ids")
+    size = removed.agg(F.sum(F.octet_length(F.col(id_col).cast("string")) + 24)).first()[0] or 0
+    return df.join(F.broadcast(removed) if size <= BROADCAST_MAX_BYTES else removed, id_col)

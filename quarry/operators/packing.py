@@ -1,8 +1,8 @@
 """Concatenate tokenised documents in order and cut fixed-size blocks.
 
-No row per token is ever created. Each document's start offset in the
-global stream is an exclusive prefix sum of lengths computed in key-range
-buckets (``plans.ordering``). A document then emits one slice per block it
+No row per token is ever created. Documents are range-partitioned by the
+order key; each one's start offset in the global stream is its partition's
+offset plus a running sum inside it (``plans.ordering``). A document then emits one slice per block it
 touches, keyed by ``block_id`` with its position in the block; a group-by on
 ``block_id`` (at most ``block_size`` tokens per group) sorts and flattens
 the slices. Only the last block can be short, so dropping the tail is a
@@ -15,27 +15,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.tokens import append_eos
-from quarry.plans.joins import null_safe_join
-from quarry.plans.ordering import prefix_sum
+from quarry.plans.ordering import running_offsets
 
 
 def pack_tokens(df: DataFrame, block_size: int = 1024, eos_id: int | None = None,
                 ids: Column | str = "ids", order_col: str = "doc_id",
                 n_buckets: int | None = None, lengths: Column | None = None) -> DataFrame:
     """``(block_id, tokens array<int>)``: documents in ``order_col`` order
-    (unique, of any type), ``eos_id`` appended to each (also to empty ones),
+    (NULL first), ``eos_id`` appended to each (also to empty ones),
     the stream cut into ``block_size`` blocks, the incomplete tail dropped.
 
-    ``lengths`` may give each document's token count without tokenising
-    (e.g. ``octet_length(text)`` for byte tokens). Offsets are computed on
-    ids and lengths alone and joined back; the token ids, an expression over
-    the columns of ``df``, are built after that join."""
+    Keys may repeat or be missing: rows that tie stand in the order of a hash
+    of their columns. ``lengths`` may give each document's token count without
+    tokenising (e.g. ``octet_length(text)`` for byte tokens). Rows are
+    range-partitioned by the key once, with their text; the token ids, an
+    expression over the columns of ``df``, are built after that."""
     B = block_size
     tokens = F.col(ids) if isinstance(ids, str) else ids
     extra = 1 if eos_id is not None else 0
     count = (lengths if lengths is not None else F.size(tokens)) + F.lit(extra)
-    offsets = prefix_sum(df.select(order_col, count.alias("_n")), [order_col], F.col("_n"), n_buckets=n_buckets, out="_off")
-    docs = null_safe_join(df, offsets, [order_col]).select(
+    docs = running_offsets(df.withColumn("_n", count.cast("long")), [order_col], F.col("_n"), "_off", n_buckets).select(
         "_off", "_n", (append_eos(tokens, eos_id) if eos_id is not None else tokens).alias("_ids"))
     o, n = F.col("_off"), F.col("_n")
     first, last = F.floor(o / B), F.floor((o + n - 1) / B)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import null_safe_join
-from quarry.session import checkpointed
+from quarry.session import checkpointed, written
 
 BUCKET = "_bucket"
 # Rows that one window task sorts on average, at most.
@@ -77,8 +77,8 @@ def range_prefix(df: DataFrame, order_by: list[str], sums: dict[str, Column],
     number, summed per partition (``n_parts`` rows), and finished by a window
     inside each partition. Rows equal in ``order_by`` stay in one partition.
     """
-    n = n_parts or default_parts(df)
-    held = df.withColumns({f"_v_{k}": v for k, v in sums.items()})
+    held = written(df.withColumns({f"_v_{k}": v for k, v in sums.items()}), "unranked")  # counted, sampled and ranged from there
+    n = n_parts or default_parts(held)
     held = checkpointed(held.repartitionByRange(n, *order_by).withColumn("_pid", F.spark_partition_id()))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = held.groupBy("_pid").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
@@ -88,3 +88,39 @@ def range_prefix(df: DataFrame, order_by: list[str], sums: dict[str, Column],
     joined = inner.join(F.broadcast(offsets), "_pid")  # n_parts rows
     return joined.withColumns({k: F.col(f"_o_{k}") + F.col(f"_i_{k}") for k in sums}).drop(
         "_pid", *[f"_{x}_{k}" for k in sums for x in "vio"])
+
+
+def running_offsets(df: DataFrame, order_by: list[str], weight: Column, out: str = "offset", n_parts: int | None = None) -> DataFrame:
+    """The rows of ``df`` with ``out`` = sum of ``weight`` (not negative) over
+    all earlier rows in ``order_by`` order (null first), for rows that need no
+    unique key: ties go by a hash of the row, and equal rows are
+    interchangeable. The rows, texts included, are shuffled once, by range, and
+    nothing is joined back; a key that a third of all rows share is spread by
+    the tie. The sorted partitions are checkpointed, summed, and read through
+    with their partition's offset (``n_parts`` numbers)."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    names = df.columns
+    rows = df.select("*", weight.cast("long").alias("_w"), F.xxhash64(*names).alias("_tie"), F.monotonically_increasing_id().alias("_nth"))
+    order = [*order_by, "_tie", "_nth"]
+    n = n_parts or default_parts(df)
+    held = checkpointed(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*names, "_w", F.spark_partition_id().alias("_pid")))
+    sums = dict(held.groupBy("_pid").agg(F.sum("_w").alias("_t")).orderBy("_pid").collect())  # n_parts rows
+    starts, total = {}, 0
+    for pid, own in sums.items():
+        starts[pid], total = total, total + own
+
+    def add(batches):
+        at = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = starts[batch.column("_pid")[0].as_py()] if at is None else at
+            ends = at + np.cumsum(batch.column("_w").to_numpy())
+            before = np.concatenate([[at], ends[:-1]])
+            at = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(before, pa.int64())], [*names, out])
+
+    return held.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(out, T.LongType())]))

@@ -70,3 +70,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     not) and read from there; its lineage ends at the files."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a fresh folder under the shared
+    checkpoint folder, and read from there. Its plan runs a single time;
+    ``checkpoint`` runs it twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
