@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_or_empty, whole_word_pattern, words
+from quarry.operators.keywords import keyword_hits, matched_keywords
 from quarry.plans.parallel import filter_fenced
 from quarry.sources.tables import take_first
 
@@ -161,8 +162,15 @@ HISTORY_KEYWORDS = ["history", "ancient", "war", "century", "empire",
                     "civilization", "dynasty", "archaeology"]
 
 
+# Up to so many keywords a regular expression is faster than an automaton.
+REGEX_KEYWORDS = 32
+
+
 def topic_match(text: Column, keywords: list[str]) -> Column:
-    """Lower-cased text contains any keyword as a whole word."""
+    """Lower-cased text contains any keyword as a whole word: by a regular
+    expression, or for long lists by an automaton that reads a text once."""
+    if len(keywords) > REGEX_KEYWORDS:
+        return F.size(matched_keywords(text, keywords, any_only=True)) > 0
     return F.lower(text_or_empty(text)).rlike(whole_word_pattern(keywords))
 
 
@@ -178,7 +186,10 @@ def topic_extract(df: DataFrame, keywords: list[str] = HISTORY_KEYWORDS,
 def topic_hits(df: DataFrame, keywords: list[str] = HISTORY_KEYWORDS,
                text_col: str = "text") -> DataFrame:
     """Documents matching each keyword: one pass, one boolean column per
-    keyword, a global partial/final sum, then unpivot."""
+    keyword, a global partial/final sum, then unpivot; for long lists one
+    search of each text for all keywords (:mod:`quarry.operators.keywords`)."""
+    if len(keywords) > REGEX_KEYWORDS:
+        return keyword_hits(df, keywords, text_col)
     low = F.lower(text_or_empty(F.col(text_col)))
     flags = [F.sum(low.rlike(whole_word_pattern([k])).cast("long")).alias(f"k{i}")
              for i, k in enumerate(keywords)]
