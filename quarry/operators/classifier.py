@@ -12,9 +12,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.calibration import auc
+from quarry.session import checkpointed
+
 
 def quality_pipeline(num_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 50) -> Pipeline:
     return Pipeline(stages=[
@@ -49,13 +52,9 @@ def quality_holdout(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     rows = docs.select(id_col, F.coalesce(F.col("text"), F.lit("")).alias("text")).join(marked, id_col)
     scored = quality_pipeline().fit(rows.filter(fold != 0)).transform(rows.filter(fold == 0))
     p = vector_to_array(F.col("_prob"))[1]
-    flat = scored.select("_label", p.alias("_p"), (p >= threshold).alias("_yes"))
-    # Of two documents with different labels, how often the good one scores higher.
-    by = flat.groupBy("_p").agg(F.sum("_label").alias("_pos"), F.sum(1 - F.col("_label")).alias("_neg"))
-    below = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # scores of a held-out fold of labels
-    ranked = by.withColumn("_under", F.coalesce(F.sum("_neg").over(below), F.lit(0.0)))
-    auc = ranked.agg(F.round(F.try_divide(F.sum(F.col("_pos") * (F.col("_under") + F.col("_neg") / 2)), F.sum("_pos") * F.sum("_neg")), 6).alias("auc"))
+    flat = checkpointed(scored.select("_label", p.alias("_p"), (p >= threshold).alias("_yes")))  # the model scores once
+    area = auc(flat, "_p", "_label").select(F.round("auc", 6).alias("auc"))
     good, yes = F.col("_label") == 1, F.col("_yes")
     cells = flat.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(name) for name, c in (
         ("tp", good & yes), ("fp", ~good & yes), ("tn", ~good & ~yes), ("fn", good & ~yes))])
-    return cells.join(F.broadcast(auc))  # single rows
+    return cells.join(F.broadcast(area))  # single rows
