@@ -164,3 +164,38 @@ def test_no_ambient_checkpoint_folder():
 
 
 GOOD_TEXT = " ".join(["the cat and the dog walked with care to the old mill"] * 5)
+
+
+def test_quantisation_of_odd_elements(spark):
+    """NULL and NaN elements become NULL, infinities the nearest bound; none of them moves the scale."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, -2.0, nan], "a"), (2, [None, inf, -inf], "a"), (3, [nan, None], "b"), (4, None, "a"), (5, [], "c"), (6, [0.0, 0.0], "d")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    a = {r.vec_id: (r.scale, r.q) for r in vectors.absmax_quantize(df).collect()}
+    assert a[1] == (2 / 127, [64, -127, None]) and a[2][1] == [None, 127, -127] and a[3] == (None, [None, None])
+    assert a[4] == (2 / 127, None) and a[5] == (None, []) and a[6] == (0.0, [0, 0])
+    z = {r.vec_id: (r.scale, r.zero_point, r.q) for r in vectors.zeropoint_quantize(df).collect()}
+    assert z[1] == (3 / 255, 170.0, [255, 0, None]) and z[2][2] == [None, 255, 0] and z[6][2] == [0, 0]
+    both = {r.vec_id: {m.method: (m.scale, m.q) for m in r.quantized} for r in vectors.quantize_both(df).collect()}
+    assert all(both[i] == {"absmax": a[i], "zeropoint": (z[i][0], z[i][2])} for i in both)
+    flat = vectors.quantize_both(df).select("vec_id", "embedding", F.inline("quantized"))
+    errors = {(r.vec_id, r.method): (r.se, r.n) for r in flat.select("vec_id", "method", vectors.squared_error_sum(F.col("embedding"), F.col("values")).alias("se"), vectors.error_count(F.col("embedding"), F.col("values")).alias("n")).collect()}
+    assert errors[1, "absmax"][1] == 2 and errors[1, "absmax"][0] < 1e-4 and errors[2, "absmax"] == (0.0, 0) and errors[6, "zeropoint"] == (0.0, 2)
+
+
+def test_lookup_with_hot_ids(spark):
+    """Ids that hold most positions are joined by broadcast, and the rest spreads over all tasks."""
+    import random
+    rng = random.Random(4)
+    rows = [(i, [7 if rng.random() < 0.3 else 8 if rng.random() < 0.1 else rng.randrange(4000) for _ in range(200)]) for i in range(200)] + [(900, None), (901, [])]
+    ids = spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(4)
+    table = spark.createDataFrame([(i, [float(i)]) for i in range(3900)], "vec_id long, embedding array<float>")
+    got = sorted((r.doc_id, r.pos, r.vec_id, tuple(r.embedding or ())) for r in vectors.embedding_lookup_skewed(ids, table, share=0.02).collect())
+    assert got == sorted((d, p, v, (float(v),) if v < 3900 else ()) for d, own in rows for p, v in enumerate(own or ()))
+    exploded = ids.select(F.explode("ids").alias("vec_id"))
+    hot = vectors.hot_ids(exploded.withColumn("vec_id", F.col("vec_id").cast("long")), "vec_id", 0.02)
+    assert hot == [7, 8]
+    parts = exploded.filter(~F.col("vec_id").isin(hot)).repartition(8, "vec_id").groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in parts)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert vectors.embedding_lookup_skewed(ids.limit(0), table).count() == 0
