@@ -110,6 +110,33 @@ def seeded_shuffle(df: DataFrame, seed: int = MIX_SEED, id_col: str = "doc_id")
     return out.withColumn("pos", F.col("_r") - 1).drop("_k", "_r")
 
 
+BUFFER = 1000
+
+
+def buffered_shuffle(df: DataFrame, seed: int = MIX_SEED, buffer_size: int = BUFFER, order_col: str = "doc_id") -> DataFrame:
+    """The shuffle of an iterator with a buffer: it holds ``buffer_size`` rows,
+    and each row that comes in (in ``order_col`` order, which must be unique)
+    takes the place of one that is let out, drawn by ``(seed, number of the
+    row)``; at the end the buffer is emptied in seeded order. Adds ``pos``,
+    the 0-based place in the output. A row comes out at most ``buffer_size``
+    places early, and at any later place.
+
+    No iterator runs: the draw says in which slot of the buffer a row stands,
+    and it leaves when the slot is next drawn, the next row in a window over
+    its slot. The slots are as many tasks' worth of work; memory does not
+    hold a buffer."""
+    n = df.count()
+    numbered = row_rank(df, [order_col], out="_i").withColumn("_i", F.col("_i") - 1)
+    draw = md5_u32(F.concat(F.lit(f"{seed}:buffer:"), F.col("_i").cast("string"))) % buffer_size
+    slotted = numbered.withColumn("_slot", F.when(F.col("_i") < buffer_size, F.col("_i")).otherwise(draw))
+    left = slotted.withColumn("_out", F.lead("_i").over(Window.partitionBy("_slot").orderBy("_i")))
+    # The last row of each slot stays to the end: at most ``buffer_size`` rows, ordered by one task.
+    rest = left.filter(F.col("_out").isNull()).withColumn("_k", md5_u32(F.concat(F.lit(f"{seed}:rest:"), F.col("_slot").cast("string"))))
+    rest = rest.withColumn("pos", F.lit(max(0, n - buffer_size)) + F.row_number().over(Window.orderBy("_k", "_slot")) - 1)
+    gone = left.filter(F.col("_out").isNotNull()).withColumn("pos", F.col("_out") - buffer_size)
+    return gone.select(*df.columns, F.col("pos").cast("long").alias("pos")).unionByName(rest.select(*df.columns, F.col("pos").cast("long").alias("pos")))
+
+
 def mix_report(mixed: DataFrame, n: int = 1000, seed: int = MIX_SEED,
                source_col: str = "source") -> DataFrame:
     """Source counts and shares among the first ``n`` rows of the shuffled

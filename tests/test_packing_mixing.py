@@ -144,3 +144,25 @@ def test_mix_with_an_empty_source(spark):
 def test_mix_carries_other_columns(spark):
     df = spark.createDataFrame([(i, ["web", "knowledge", "code"][i % 3], f"t{i}") for i in range(30)], "doc_id long, source string, text string")
     assert all(r.text == f"t{r.doc_id}" for r in mixing.mix_sources(df).collect())
+
+
+def simulated_buffer(n, size, seed):
+    """The iterator with a buffer that ``buffered_shuffle`` stands for."""
+    import hashlib
+    number = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
+    held, out = list(range(min(n, size))), []
+    for i in range(size, n):
+        slot = number(f"{seed}:buffer:{i}") % size
+        out.append(held[slot])
+        held[slot] = i
+    return out + [held[s] for s in sorted(range(len(held)), key=lambda s: (number(f"{seed}:rest:{s}"), s))]
+
+
+def test_buffered_shuffle_equals_the_iterator(spark):
+    for n, size, seed in ((0, 10, 1), (7, 10, 2), (10, 10, 3), (11, 10, 4), (500, 20, 5), (300, 1, 6)):
+        df = spark.range(n).select((F.col("id") * 3).alias("doc_id"), F.col("id").cast("string").alias("more")).repartition(3)
+        rows = sorted((r.pos, r.doc_id // 3, r.more) for r in mixing.buffered_shuffle(df, seed, size).collect())
+        want = simulated_buffer(n, size, seed)
+        assert rows == [(p, i, str(i)) for p, i in enumerate(want)]
+        assert all(p >= i - size for p, i in enumerate(want))
+        assert rows == sorted((r.pos, r.doc_id // 3, r.more) for r in mixing.buffered_shuffle(df.repartition(5), seed, size).collect())
