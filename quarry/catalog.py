@@ -8,17 +8,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.text import preview
-from quarry.operators import (budget, classifier, dedup, mixing, packing, prompts, quality,
-                              tokens, vectors)
+from quarry.operators import (bpe_index, budget, calibration, classifier, dedup, keywords, language_profiles, length_sketches, lsh_store,
+                              mixing, packing,
+                              prompts, quality, tokens, vectors)
 from quarry.flagship import flagship
 from quarry.plans.joins import join_small
 from quarry.plans.parallel import spread
 from quarry.session import scratch_path
+from quarry.sources.progressive import first_matching
 from quarry.sources.tables import (DOCUMENT_SCHEMA, read_corpus, read_jsonl, sound_rows, table,
                                    take_first, write_jsonl, write_kept_removed)
-from quarry.streaming.filter_stream import stream_filter
+from quarry.streaming import sinks as two_sinks
+from quarry.streaming.filter_stream import stream_files, stream_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +86,65 @@ def q_topic_hits(spark, base):
     return quality.topic_hits(_docs(spark, base), TEST_KEYWORDS)
 
 
+def _keyed_copy(spark, base):
+    """The documents as a table of several files in key order, as a collected corpus is stored."""
+    path = scratch_path(spark, "keyed-documents")
+    table(spark, base, "documents").repartitionByRange(16, "doc_id").write.parquet(path)
+    return path
+
+
+def q_take_first_progressive(spark, base):
+    """The first 100 documents, reading only the files that hold them."""
+    rows, _ = first_matching(spark, _keyed_copy(spark, base), F.lit(True), 100)
+    return rows.select("doc_id", "n_chars")
+
+
+def q_topic_extract_progressive(spark, base):
+    """The first 100 documents on a topic, reading on only until they are found."""
+    rows, _ = first_matching(spark, _keyed_copy(spark, base), quality.topic_match(F.col("text"), TEST_KEYWORDS), 100)
+    return rows.select("doc_id", "text")
+
+
+def _profiles(spark, base):
+    return language_profiles.language_profiles(_docs(spark, base))
+
+
+def q_language_profiles(spark, base):
+    """The rank-order n-gram profile of every language, from all labelled documents."""
+    return _profiles(spark, base)
+
+
+def q_language_identify(spark, base):
+    """Nearest profile of every document and its out-of-place distance."""
+    known = language_profiles.collected(_profiles(spark, base))
+    found = _docs(spark, base).select("doc_id", language_profiles.identify(F.col("text"), known).alias("f"))
+    return found.select("doc_id", "f.predicted", "f.distance", "f.n_grams")
+
+
+def q_language_profile_filter(spark, base):
+    """Documents nearest to the English or German profile, not too far from it."""
+    known = language_profiles.collected(_profiles(spark, base))
+    kept = language_profiles.profile_filter(_docs(spark, base), known, ["en", "de"], 0.7)
+    return kept.select("doc_id", "predicted", F.round("distance", 6).alias("distance"))
+
+
+def _benchmark_words(spark, base):
+    """The distinct words of the benchmark's texts, as a keyword list."""
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    return keywords.keyword_list(table(spark, base, "benchmark").select(F.explode(words).alias("word")), "word")
+
+
+def q_topic_hits_many(spark, base):
+    """Documents that hold each word of the benchmark's texts."""
+    return quality.topic_hits(_docs(spark, base), _benchmark_words(spark, base))
+
+
+def q_topic_extract_many(spark, base):
+    """All documents that hold a word of the benchmark's texts with ten letters or more."""
+    long = [w for w in _benchmark_words(spark, base) if len(w) >= 10]
+    return quality.topic_extract(_docs(spark, base), long).select("doc_id", "text")
+
+
 def _conv(spark, base):
     return table(spark, base, "conversations")
 
@@ -160,6 +223,16 @@ def q_dup_clusters(spark, base):
     return dedup.duplicate_clusters(_docs(spark, base))
 
 
+def q_dup_clusters_incremental(spark, base):
+    """Clusters of the documents arriving in three increments, by a hash of their source."""
+    docs = _docs(spark, base)
+    store = lsh_store.LshStore(spark, scratch_path(spark, "lsh-store"))
+    arrival = F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 3
+    for k in range(3):
+        store.add(docs.filter(arrival == k), f"arrival{k}")
+    return store.clusters()
+
+
 def q_minhash_dedup(spark, base):
     return dedup.minhash_dedup(_docs(spark, base)).select("doc_id")
 
@@ -205,6 +278,15 @@ def q_bpe_train_words(spark, base):
     return tokens.merges_frame(spark, merges)
 
 
+INDEXED_MERGES = 20
+
+
+def q_bpe_train_indexed(spark, base):
+    """Merges learned on words, each reading only the chunks that hold its pair."""
+    merges, _ = bpe_index.bpe_train_indexed(table(spark, base, "documents"), INDEXED_MERGES)
+    return tokens.merges_frame(spark, merges)
+
+
 def q_bpe_merge(spark, base):
     docs, merges = _trained(spark, base, 1)
     return docs.select("doc_id", _ids_str(tokens.bpe_encode(F.col("text"), merges)).alias("tokens"))
@@ -270,6 +352,26 @@ def q_token_histogram(spark, base):
     return tokens.token_histogram(d, [2048, 4096, 32768, 131072])
 
 
+PERCENTILES = [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+def q_token_percentiles(spark, base):
+    """Percentiles of the documents' lengths in bytes, from sketches of two
+    stored runs (one for each half of the sources' names by their hash), with
+    the exact ranks of the answers: whether each lies within the error bound."""
+    lengths = _docs(spark, base).select("lang", (F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 2).alias("half"),
+                                        F.octet_length(F.coalesce("text", F.lit(""))).alias("n_tokens"))
+    path = scratch_path(spark, "length-runs")
+    for half in (0, 1):
+        length_sketches.store_run(length_sketches.sketch_lengths(lengths.filter(F.col("half") == half), by=["lang"]), path, f"half{half}")
+    merged = length_sketches.merge_runs(length_sketches.stored_runs(spark, path), ["lang"])
+    answers = length_sketches.percentiles(merged, PERCENTILES)
+    error = length_sketches.rank_error()
+    ranked = length_sketches.rank_bounds(lengths, answers, by=["lang"])
+    within = (F.col("below") - error <= F.col("p")) & (F.col("p") <= F.col("upto") + error)
+    return ranked.select("lang", "p", "n", within.alias("within_bound"))
+
+
 def _padded(spark, base):
     ids, mask = tokens.truncate_pad(F.col("ids"), 256, BYTE_EOS)
     first = _docs(spark, base).select("doc_id", tokens.first_byte_tokens(F.col("text"), 256).alias("ids"))
@@ -345,14 +447,8 @@ def q_quantize_zeropoint(spark, base):
 
 
 def _restored(spark, base):
-    e = _emb(spark, base)
-    a = vectors.absmax_quantize(e, "label").select(
-        "vec_id", "label", "embedding", F.lit("absmax").alias("method"),
-        vectors.dequantize_absmax(F.col("q"), F.col("scale")).alias("values"))
-    z = vectors.zeropoint_quantize(e, "label").select(
-        "vec_id", "label", "embedding", F.lit("zeropoint").alias("method"),
-        vectors.dequantize_zeropoint(F.col("q"), F.col("scale"), F.col("zero_point")).alias("values"))
-    return a.unionByName(z)
+    both = vectors.quantize_both(_emb(spark, base), "label")
+    return both.select("vec_id", "label", "embedding", F.inline("quantized"))
 
 
 def q_dequantize(spark, base):
@@ -360,9 +456,8 @@ def q_dequantize(spark, base):
 
 
 def q_quantize_error(spark, base):
-    r = _restored(spark, base)
-    per = r.select("label", "method", vectors.squared_error_sum(F.col("embedding"), F.col("values")).alias("se"),
-                   F.size("embedding").alias("n"))
+    per = _restored(spark, base).select("label", "method", vectors.squared_error_sum(F.col("embedding"), F.col("values")).alias("se"),
+                                        vectors.error_count(F.col("embedding"), F.col("values")).alias("n"))
     return per.groupBy("label", "method").agg(
         F.round(F.sum("se") / F.sum("n"), 12).alias("mse"))
 
@@ -376,6 +471,19 @@ def q_embedding_lookup(spark, base):
     return vectors.embedding_lookup(ids, table_, vocab_rows=256).select("doc_id", "pos", "vec_id", "norm")
 
 
+def q_embedding_lookup_skewed(spark, base):
+    """The lookup with no bound on the vocabulary: hot ids found by a sketch."""
+    path = scratch_path(spark, "byte-ids")
+    _byte_ids(spark, base).write.parquet(path)
+    norms = _emb(spark, base).select("vec_id", F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))), 6).alias("norm"))
+    return vectors.embedding_lookup_skewed(spark.read.parquet(path), norms).select("doc_id", "pos", "vec_id", "norm")
+
+
+def q_buffered_shuffle(spark, base):
+    """The documents in the order in which a buffer of 1,000 rows lets them out."""
+    return mixing.buffered_shuffle(_docs(spark, base).select("doc_id")).select("pos", "doc_id")
+
+
 def q_token_budget(spark, base):
     d = _grouped_docs(spark, base).select(
         "source", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n_tokens"))
@@ -402,6 +510,25 @@ def q_stream_filter(spark, base):
     return stream_filter(spark, base, DOCUMENT_SCHEMA, annotate, glob="documents.parquet")
 
 
+def q_stream_sinks(spark, base):
+    """Kept and removed records of the document stream, from the two sinks behind it."""
+    path = scratch_path(spark, "stream-sinks")
+    stream = stream_files(spark, base, DOCUMENT_SCHEMA, glob="documents.parquet")
+    two_sinks.run_two_sinks(stream, lambda df: quality.gopher_annotate(df).select("doc_id", "text", "reason", "kept"), path, scratch_path(spark, "stream-sinks-ckpt"))
+    return two_sinks.read_sinks(spark, path, T.StructType().add("doc_id", "long").add("text", "string").add("reason", "string")).select("doc_id", "kept", "reason")
+
+
+def q_stream_topic(spark, base):
+    """The topic filter over the document stream."""
+    return stream_filter(spark, base, DOCUMENT_SCHEMA, lambda df: quality.topic_extract(df, TEST_KEYWORDS).select("doc_id", "text"), glob="documents.parquet")
+
+
+def q_stream_prompts(spark, base):
+    """Prompts made of the benchmark as it arrives."""
+    schema = T.StructType().add("item_id", "long").add("text", "string")
+    return stream_filter(spark, base, schema, lambda df: prompts.format_gsm8k(prompts.worked_answer_rows(df)), glob="benchmark.parquet")
+
+
 def q_quality_classifier(spark, base):
     return classifier.quality_classifier(_docs(spark, base), table(spark, base, "labels"))
 
@@ -410,29 +537,46 @@ def q_quality_holdout(spark, base):
     return classifier.quality_holdout(_docs(spark, base), table(spark, base, "labels"))
 
 
-# Documents made so that each rule fires: built from real texts, so that the
-# work grows with the table.
+def _letter_scores(spark, base):
+    """The labelled documents with the share of ``a`` to ``z`` in their texts as a score."""
+    text = F.coalesce("text", F.lit(""))
+    share = F.length(F.regexp_replace(text, "[^a-z]", "")).cast("double") / F.greatest(F.length(text), F.lit(1))
+    labels = table(spark, base, "labels").select("doc_id", F.col("quality").alias("label"))
+    return _docs(spark, base).select("doc_id", share.alias("score")).join(labels, "doc_id")
+
+
+def q_score_auc(spark, base):
+    """How well the share of plain letters separates good documents from bad ones."""
+    return calibration.auc(_letter_scores(spark, base)).select("n_pos", "n_neg", F.round("auc", 9).alias("auc"))
+
+
+def q_score_confusion(spark, base):
+    """Confusion cells of the share of plain letters at several thresholds."""
+    return calibration.confusion(_letter_scores(spark, base), [0.5, 0.6, 0.7, 0.75, 0.8, 0.85])
+
+
+# Every whole text changed so that one rule fires: what is added grows with the
+# text (``t``, never NULL), as a rule compares shares of it.
 RULE_CASES = {
-    "avg_word_low": "repeat('a b ', 40)",
-    "avg_word_high": "concat(repeat('abcdefghijklm ', 60), n)",
-    "ellipsis_ratio": "concat(repeat('word... and the ', 30), n)",
-    "bullet_lines": "concat(repeat('- the words of a longlist\n', 20), '- ', n)",
-    "ellipsis_lines": "concat(repeat('the long words of one line and of the next lines that go on ...\n', 10), n)",
-    "stop_words": "concat(repeat('the word ', 40), n)",
-    "long_doc": "concat(repeat('the words of and ', 25001), n)",
+    "avg_word_low": "concat(t, ' ', repeat('a b ', length(t) + 40))",
+    "avg_word_high": "concat(t, ' ', repeat(concat(repeat('abcdefghij', 6), ' '), cast(60 + floor(length(t) / 8) as int)))",
+    "ellipsis_ratio": "concat(t, ' ', repeat('word... and the ', cast(30 + floor(length(t) / 8) as int)))",
+    "bullet_lines": "concat(repeat('- the words of a longlist\n', 20), '- ', replace(t, '\n', '\n- '))",
+    "ellipsis_lines": "concat(repeat('the long words of one line and of the next lines that go on ...\n', 10), replace(t, '\n', ' ...\n'), ' ...')",
+    "stop_words": "concat(repeat('the word ', 40), regexp_replace(t, '[tbohwd]', 'x'))",
 }
+# The texts as they are, under a bound of so many words: 100,000 words are
+# more than any of them has.
+LONG_RULE = quality.GopherRules(max_doc_words=200)
 
 
 def q_gopher_rule_cases(spark, base):
-    """The first failing rule of texts made to break one rule each, one for
-    every document (the very long ones for every hundredth)."""
-    docs = _docs(spark, base).select("doc_id", F.col("n_chars").cast("string").alias("n"))
-    cases = [docs.filter(F.col("doc_id") % 100 == 0) if name == "long_doc" else docs for name in RULE_CASES]
-    made = [d.select("doc_id", F.lit(name).alias("rule"), F.expr(text).alias("text")) for d, (name, text) in zip(cases, RULE_CASES.items())]
-    every = made[0]
-    for m in made[1:]:
-        every = every.unionByName(m)
-    return quality.gopher_annotate(every).select("doc_id", "rule", "reason")
+    """The first failing rule of every whole text changed to break one rule,
+    and of the texts as they are under a lower bound for long ones."""
+    docs = _docs(spark, base).select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    made = docs.select("doc_id", F.expr("inline(array(" + ", ".join(f"struct('{name}' AS rule, {text} AS text)" for name, text in RULE_CASES.items()) + "))"))
+    long = docs.select("doc_id", F.lit("long_doc").alias("rule"), F.col("t").alias("text"))
+    return quality.gopher_annotate(made).unionByName(quality.gopher_annotate(long, rules=LONG_RULE)).select("doc_id", "rule", "reason")
 
 
 def q_flagship(spark, base):
@@ -452,6 +596,13 @@ QUERIES: dict[str, Query] = {
     "language_select": q_language_select,
     "topic_extract": q_topic_extract,
     "topic_hits": q_topic_hits,
+    "topic_hits_many": q_topic_hits_many,
+    "take_first_progressive": q_take_first_progressive,
+    "topic_extract_progressive": q_topic_extract_progressive,
+    "language_profiles": q_language_profiles,
+    "language_identify": q_language_identify,
+    "language_profile_filter": q_language_profile_filter,
+    "topic_extract_many": q_topic_extract_many,
     "format_instruction": q_format_instruction,
     "format_roles": q_format_roles,
     "chat_custom": q_chat_custom,
@@ -467,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "lsh_buckets": q_lsh_buckets,
     "candidate_edges": q_candidate_edges,
     "dup_clusters": q_dup_clusters,
+    "dup_clusters_incremental": q_dup_clusters_incremental,
     "minhash_dedup": q_minhash_dedup,
     "dup_removed": q_dup_removed,
     "byte_tokens": q_byte_tokens,
@@ -474,12 +626,14 @@ QUERIES: dict[str, Query] = {
     "bpe_merge": q_bpe_merge,
     "bpe_train": q_bpe_train,
     "bpe_train_words": q_bpe_train_words,
+    "bpe_train_indexed": q_bpe_train_indexed,
     "bpe_encode": q_bpe_encode,
     "bpe_decode": q_bpe_decode,
     "token_pieces": q_token_pieces,
     "chat_tokenized": q_chat_tokenized,
     "token_stats": q_token_stats,
     "token_histogram": q_token_histogram,
+    "token_percentiles": q_token_percentiles,
     "truncate_pad": q_truncate_pad,
     "lm_labels": q_lm_labels,
     "append_eos": q_append_eos,
@@ -487,17 +641,24 @@ QUERIES: dict[str, Query] = {
     "pack_report": q_pack_report,
     "mix_sources": q_mix_sources,
     "seeded_shuffle": q_seeded_shuffle,
+    "buffered_shuffle": q_buffered_shuffle,
     "mix_report": q_mix_report,
     "quantize_absmax": q_quantize_absmax,
     "quantize_zeropoint": q_quantize_zeropoint,
     "dequantize": q_dequantize,
     "quantize_error": q_quantize_error,
     "embedding_lookup": q_embedding_lookup,
+    "embedding_lookup_skewed": q_embedding_lookup_skewed,
     "token_budget": q_token_budget,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "stream_filter": q_stream_filter,
+    "stream_sinks": q_stream_sinks,
+    "stream_topic": q_stream_topic,
+    "stream_prompts": q_stream_prompts,
     "quality_classifier": q_quality_classifier,
     "quality_holdout": q_quality_holdout,
+    "score_auc": q_score_auc,
+    "score_confusion": q_score_confusion,
     "gopher_rule_cases": q_gopher_rule_cases,
     "kept_removed_sinks": q_kept_removed_sinks,
     "chatml_messages": q_chatml_messages,

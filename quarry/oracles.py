@@ -434,18 +434,24 @@ def _chat_tokenized_sql(n_rounds: int = 10) -> str:
 
 ORACLES["chat_tokenized"] = _chat_tokenized_sql()
 
+_T_ = "coalesce(text, '')"
 _CASES = {
-    "avg_word_low": "repeat('a b ', 40)",
-    "avg_word_high": "repeat('abcdefghijklm ', 60) || n_chars",
-    "ellipsis_ratio": "repeat('word... and the ', 30) || n_chars",
-    "bullet_lines": "repeat('- the words of a longlist' || chr(10), 20) || '- ' || n_chars",
-    "ellipsis_lines": "repeat('the long words of one line and of the next lines that go on ...' || chr(10), 10) || n_chars",
-    "stop_words": "repeat('the word ', 40) || n_chars",
-    "long_doc": "repeat('the words of and ', 25001) || n_chars",
+    "avg_word_low": f"{_T_} || ' ' || repeat('a b ', length({_T_}) + 40)",
+    "avg_word_high": f"{_T_} || ' ' || repeat(repeat('abcdefghij', 6) || ' ', 60 + length({_T_}) // 8)",
+    "ellipsis_ratio": f"{_T_} || ' ' || repeat('word... and the ', 30 + length({_T_}) // 8)",
+    "bullet_lines": f"repeat('- the words of a longlist' || chr(10), 20) || '- ' || replace({_T_}, chr(10), chr(10) || '- ')",
+    "ellipsis_lines": f"repeat('the long words of one line and of the next lines that go on ...' || chr(10), 10) || replace({_T_}, chr(10), ' ...' || chr(10)) || ' ...'",
+    "stop_words": f"repeat('the word ', 40) || regexp_replace({_T_}, '[tbohwd]', 'x', 'g')",
 }
-ORACLES["gopher_rule_cases"] = "WITH cases AS (" + " UNION ALL ".join(
-    f"SELECT '{rule}:' || doc_id AS doc_id, {text} AS text FROM documents" + (" WHERE doc_id % 100 = 0" if rule == "long_doc" else "")
-    for rule, text in _CASES.items()) + f"), {gopher_reason_cte('cases')} SELECT split_part(doc_id, ':', 2)::BIGINT AS doc_id, split_part(doc_id, ':', 1) AS rule, reason FROM g"
+
+
+def _judged_cases(cases: dict[str, str], most_words: int = 100000) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{rule}:' || doc_id AS doc_id, {text} AS text FROM documents" for rule, text in cases.items())
+    judged = gopher_reason_cte("cases").replace("n_nsw > 100000", f"n_nsw > {most_words}")
+    return f"WITH cases AS ({rows}), {judged} SELECT split_part(doc_id, ':', 2)::BIGINT AS doc_id, split_part(doc_id, ':', 1) AS rule, reason FROM g"
+
+
+ORACLES["gopher_rule_cases"] = f"SELECT * FROM ({_judged_cases(_CASES)}) UNION ALL SELECT * FROM ({_judged_cases({'long_doc': _T_}, 200)})"
 ORACLES["kept_removed_sinks"] = ORACLES["split_kept_removed"]
 ORACLES["chatml_messages"] = ORACLES["chat_chatml"]
 ORACLES["chat_roundtrip"] = ORACLES["chat_chatml"]
@@ -481,3 +487,66 @@ FROM ({merges})"""
 
 
 ORACLES["bpe_train_words"] = _bpe_word_sql(10)
+
+
+# --- long keyword lists, percentiles ------------------------------------------
+_WORDS_OF = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')"
+_KEYWORDS = f"kw AS (SELECT DISTINCT unnest({_WORDS_OF}) AS keyword FROM benchmark)"
+ORACLES["topic_hits_many"] = f"""WITH {_KEYWORDS},
+    held AS (SELECT DISTINCT rid, unnest(w) AS keyword FROM (SELECT row_number() OVER () AS rid, {_WORDS_OF} AS w FROM documents))
+    SELECT kw.keyword, count(held.rid) AS n_docs FROM kw LEFT JOIN held ON held.keyword = kw.keyword GROUP BY kw.keyword"""
+ORACLES["topic_extract_many"] = f"""WITH {_KEYWORDS}
+    SELECT doc_id, text FROM documents
+    WHERE list_has_any({_WORDS_OF}, (SELECT coalesce(list(keyword), []) FROM kw WHERE length(keyword) >= 10))"""
+ORACLES["token_percentiles"] = """SELECT lang, p::DOUBLE AS p, count(*) AS n, true AS within_bound
+    FROM documents, (VALUES (0.05), (0.25), (0.5), (0.75), (0.95), (0.99)) v(p) GROUP BY lang, p"""
+
+ORACLES["take_first_progressive"] = ORACLES["take_first"]
+ORACLES["topic_extract_progressive"] = ORACLES["topic_extract"]
+
+
+# --- language profiles ----------------------------------------------------------
+_LETTER_WORDS = "list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}]+', ' ', 'g'), ' '), lambda x: x <> '')"
+_GRAMS = """SELECT rid, lang, substr('_' || w || '_', i, m) AS gram FROM (
+    SELECT rid, lang, w, m, unnest(range(1, length(w) + 4 - m)) AS i FROM lw, (VALUES (2), (3)) t(m))
+  UNION ALL SELECT rid, lang, unnest(string_split(w, '')) AS gram FROM lw"""
+_PROFILES = f"""lw AS (SELECT rid, lang, unnest({_LETTER_WORDS}) AS w FROM (SELECT *, row_number() OVER () AS rid FROM documents)),
+gr AS ({_GRAMS}),
+pr AS (SELECT lang, gram, rank, n FROM (
+  SELECT lang, gram, count(*) AS n, (row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram))::INTEGER AS rank
+  FROM gr WHERE lang IS NOT NULL GROUP BY lang, gram) WHERE rank <= 300)"""
+_IDENTIFIED = f"""{_PROFILES},
+own AS (SELECT * FROM (SELECT rid, gram, row_number() OVER (PARTITION BY rid ORDER BY count(*) DESC, gram) AS place FROM gr GROUP BY rid, gram) WHERE place <= 300),
+far AS (SELECT rid, l.lang, sum(coalesce(abs(place - pr.rank), 300))::BIGINT AS distance, count(*)::INTEGER AS n_grams
+        FROM own, (SELECT DISTINCT lang FROM pr) l LEFT JOIN pr ON pr.lang = l.lang AND pr.gram = own.gram GROUP BY rid, l.lang),
+best AS (SELECT rid, lang AS predicted, distance, n_grams FROM far QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, lang) = 1),
+idd AS (SELECT doc_id, predicted, distance, coalesce(n_grams, 0)::INTEGER AS n_grams FROM (SELECT *, row_number() OVER () AS rid FROM documents) LEFT JOIN best USING (rid))"""
+ORACLES["language_profiles"] = f"WITH {_PROFILES} SELECT lang, gram, rank, n FROM pr"
+ORACLES["language_identify"] = f"WITH {_IDENTIFIED} SELECT doc_id, predicted, distance, n_grams FROM idd"
+ORACLES["language_profile_filter"] = f"""WITH {_IDENTIFIED}
+    SELECT doc_id, predicted, round(distance / (n_grams * 300), 6) AS distance FROM idd
+    WHERE predicted IN ('en', 'de') AND distance / (n_grams * 300) <= 0.7"""
+ORACLES["bpe_train_indexed"] = _bpe_word_sql(20)
+
+_SCORED = """sc AS (SELECT length(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g'))::DOUBLE / greatest(length(coalesce(text, '')), 1) AS score, quality AS label
+  FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1))"""
+ORACLES["score_auc"] = f"""WITH {_SCORED},
+    per AS (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM sc GROUP BY score),
+    un AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under FROM per)
+    SELECT sum(pos)::BIGINT AS n_pos, sum(neg)::BIGINT AS n_neg, round(sum(pos * (2 * under + neg))::DOUBLE / (2.0 * sum(pos) * sum(neg)), 9) AS auc FROM un"""
+ORACLES["score_confusion"] = f"""WITH {_SCORED}
+    SELECT t::DOUBLE AS threshold, count(*) FILTER (score >= t AND label = 1) AS tp, count(*) FILTER (score >= t AND label = 0) AS fp,
+           count(*) FILTER (score < t AND label = 0) AS tn, count(*) FILTER (score < t AND label = 1) AS fn
+    FROM sc, (VALUES (0.5::DOUBLE), (0.6), (0.7), (0.75), (0.8), (0.85)) v(t) GROUP BY t"""
+
+ORACLES["embedding_lookup_skewed"] = ORACLES["embedding_lookup"].replace("FROM ex JOIN nv", "FROM ex LEFT JOIN nv").replace("nv.vec_id, nv.norm", "ex.ids[ex.pos + 1]::BIGINT AS vec_id, nv.norm")
+ORACLES["buffered_shuffle"] = """WITH nm AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+    sl AS (SELECT doc_id, i, CASE WHEN i < 1000 THEN i ELSE ('0x' || substr(md5('42:buffer:' || i), 1, 8))::BIGINT % 1000 END AS slot FROM nm),
+    ld AS (SELECT *, lead(i) OVER (PARTITION BY slot ORDER BY i) AS o FROM sl)
+    SELECT doc_id, CASE WHEN o IS NOT NULL THEN o - 1000 ELSE greatest((SELECT count(*) FROM nm) - 1000, 0)
+      + row_number() OVER (PARTITION BY o IS NULL ORDER BY ('0x' || substr(md5('42:rest:' || slot), 1, 8))::BIGINT, slot) - 1 END AS pos FROM ld"""
+
+ORACLES["stream_sinks"] = ORACLES["split_kept_removed"]
+ORACLES["stream_topic"] = f"""SELECT doc_id, text FROM documents WHERE {_whole_word("lower(coalesce(text, ''))", TEST_KEYWORDS)}"""
+ORACLES["stream_prompts"] = ORACLES["format_gsm8k"]
+ORACLES["dup_clusters_incremental"] = ORACLES["dup_clusters"]
