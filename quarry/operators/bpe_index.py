@@ -4,9 +4,10 @@ Counting every pair again for every merge reads the whole chunk table some
 thousand times for a useful vocabulary. Here the distinct chunks of the corpus are
 indexed once: one row for each chunk and distinct pair in it, sorted by pair,
 so that the holders of one pair are a pruned read. A merge then reads the
-holders of its pair, rewrites them, writes their new index rows to a folder of its own, and sums up
-by how much it changed the counts of the pairs around it. An index row is out of date
-once its chunk was rewritten by a later merge. After ``rounds_per_index`` merges the
+holders of its pair, rewrites them, writes their new index rows to a folder of its own, with a
+row that says so for each pair that a chunk lost, and sums up
+by how much it changed the counts of the pairs around it. Of the rows of one pair
+and chunk the last one holds. After ``rounds_per_index`` merges the
 chunks are indexed anew.
 
 The driver holds the counts of the ``top`` most frequent pairs and of all pairs with a symbol that
@@ -25,7 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from quarry.operators.tokens import Merge, symbol, training_chunks
 from quarry.plans.parallel import spread
@@ -80,7 +81,7 @@ def _rewritten(index: _Index) -> DataFrame | None:
 
 
 def _read(index: _Index, folders: list[str]) -> DataFrame:
-    schema = StructType([*index.postings.schema.fields, StructField("old", StringType()), StructField("round", IntegerType())])
+    schema = StructType([*index.postings.schema.fields, StructField("gone", BooleanType()), StructField("old", StringType()), StructField("round", IntegerType())])
     return index.postings.sparkSession.read.schema(schema).parquet(*folders)
 
 
@@ -93,12 +94,12 @@ def _present(index: _Index, pairs: list[str] | None) -> DataFrame:
         last = later.filter("old IS NOT NULL").groupBy("chunk").agg(F.max("round").alias("_last"))
         newest = later.filter("old IS NOT NULL").join(last, "chunk").filter(F.col("round") == F.col("_last"))
         return index.chunks.join(last, "chunk", "left_anti").select(*_CHUNK).unionByName(newest.select(*_CHUNK))
-    held = index.postings.filter(F.col("pair").isin(pairs)).withColumn("round", F.lit(-1))
+    held = index.postings.filter(F.col("pair").isin(pairs))
     if later is None:
         return held
-    last = later.filter("old IS NOT NULL").groupBy("chunk").agg(F.max("round").alias("_last"))
-    rows = held.unionByName(later.filter(F.col("pair").isin(pairs)).drop("old"))
-    return rows.join(last, "chunk", "left").filter(F.coalesce("_last", F.lit(-1)) == F.col("round")).drop("_last")
+    rows = held.withColumn("gone", F.lit(False)).withColumn("round", F.lit(-1)).unionByName(later.filter(F.col("pair").isin(pairs)).drop("old"))
+    last = rows.groupBy("pair", "chunk").agg(F.max_by(F.struct("weight", "doc_id", "chunk_pos", "sym", "gone"), "round").alias("_l"))
+    return last.select("pair", "chunk", "_l.*").filter("NOT gone").drop("gone")
 
 
 def _earliest(index: _Index, pairs: list[str]) -> str:
@@ -110,9 +111,11 @@ def _earliest(index: _Index, pairs: list[str]) -> str:
 def _merge(index: _Index, pair: str, new: str, n_round: int) -> int:
     """Rewrites the pair's holders and brings the counts up to date; the number of holders."""
     changed = _present(index, [pair]).select("chunk", "weight", "doc_id", "chunk_pos", F.replace("sym", F.lit(pair), F.lit(new)).alias("sym"), F.col("sym").alias("old"), F.lit(n_round).alias("round"))
-    # A row for each distinct pair of the new string, one for a string without pairs; the first has the old string too.
-    each = changed.select("*", F.posexplode_outer(F.array_distinct(_pairs(F.col("sym")))).alias("_i", "pair"))
-    rows = each.withColumn("old", F.when(F.coalesce("_i", F.lit(0)) == 0, F.col("old"))).select("pair", *_CHUNK, "old", "round")
+    # A row for each distinct pair of the new string and each that it lost (the merged one at least); the first has the old string too.
+    now, before = F.array_distinct(_pairs(F.col("sym"))), F.array_distinct(_pairs(F.col("old")))
+    row = lambda gone: lambda p: F.struct(p.alias("pair"), F.lit(gone).alias("gone"))
+    each = changed.select("*", F.posexplode(F.concat(F.transform(now, row(False)), F.transform(F.array_except(before, now), row(True)))).alias("_i", "_p"))
+    rows = each.withColumn("old", F.when(F.col("_i") == 0, F.col("old"))).select("_p.pair", *_CHUNK, "_p.gone", "old", "round")
     path = scratch_path(index.chunks.sparkSession, f"pairs-{n_round}")
     rows.write.parquet(path)
     index.folders.append(path)
