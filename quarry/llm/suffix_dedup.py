@@ -16,12 +16,11 @@ these hand on their distinct windows in order, which are merged by binary
 search, dealt by content so that no group grows with the anchor.
 
 Everything is judged on the input. Passes over the texts go through bitmaps
-of fixed size, so apart from candidates the texts are shuffled once.
+sized by the number of their entries, so apart from candidates the texts are shuffled once.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +36,9 @@ from quarry.llm.common import checkpointed, map_slices, written
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes of cells in a shard; sorting takes about 120 bytes of memory for each.
-SHARD_BYTES = 2 << 20
-BITS = 26
+SHARD_BYTES = 1 << 20
+#: The bitmaps have 16 bits for each entry, up to two to this power.
+MOST_BITS = 28
 NO_ID = (1 << 63) - 1
 #: Kasai's inequality carries a common prefix over so many positions before it is measured anew.
 STRIDE = 32
@@ -81,15 +81,19 @@ def _cell_hashes(raw: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(raw[a:b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())], np.uint64).view(np.int64)
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+def _bits(entries: int, most_bits: int) -> int:
+    return max(16, min(most_bits, (16 * entries).bit_length()))
 
 
-def _cell_slots(doc: np.ndarray, body: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _cell_slots(doc: np.ndarray, body: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + body.view(np.uint64) + first.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(64 - BITS)).astype(np.int64)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
@@ -228,7 +232,7 @@ def merge_shards(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": rows[:, 0], "body": rows[:, 1], "start": rows[:, 2], "end": rows[:, 2] + LENGTH})
 
 
-def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, most_bits: int = MOST_BITS) -> DataFrame:
     """``id, body, start, end`` of covered spans (they may overlap); see ``dedup``."""
     read = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
     broadcast = docs.sparkSession.sparkContext.broadcast
@@ -239,8 +243,9 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
             hashes, times = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.minimum(times, 2).astype(np.int8))], names=["hash", "times"])
 
-    anchors = map_slices(read, survey, "hash bigint, times byte").groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1")
-    repeated = broadcast(bitmap(anchors.select(F.expr(f"shiftrightunsigned(hash, {64 - BITS})").alias("slot")), BITS))
+    anchors = written(map_slices(read, survey, "hash bigint, times byte").groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1").select("hash"), "anchors")
+    anchor_bits = _bits(anchors.count(), most_bits)
+    repeated = broadcast(bitmap(anchors.select(F.expr(f"shiftrightunsigned(hash, {64 - anchor_bits})").alias("slot")), anchor_bits))
 
     cell_schema = pa.schema([("hash", pa.int64()), ("cell", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int32()), ("more", pa.int32()), ("again", pa.bool_())])
 
@@ -249,7 +254,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
             parts = []
             for i, b, raw in _rows(batch):
                 anchor, lo, hi = cells(raw)
-                hit = inside(repeated.value, _slots(anchor))
+                hit = inside(repeated.value, _slots(anchor, anchor_bits))
                 anchor, lo, hi = anchor[hit], lo[hit], hi[hit]
                 if len(anchor):
                     parts.append((anchor, _cell_hashes(raw, lo, hi), np.full(len(anchor), i), np.full(len(anchor), b), lo, hi - lo))
@@ -284,12 +289,14 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     total = several.agg(F.sum("bytes")).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
 
+    cell_bits = _bits(needed.count(), most_bits)
+
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             i, b, lo = (np.asarray(batch.column(c)).astype(np.int64) for c in ("id", "body", "lo"))
-            yield pa.RecordBatch.from_arrays([pa.array(_cell_slots(i, b, lo))], names=["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(_cell_slots(i, b, lo, cell_bits))], names=["slot"])
 
-    wanted = broadcast(bitmap(needed.select("id", "body", "lo").mapInArrow(slots, "slot bigint"), BITS))
+    wanted = broadcast(bitmap(needed.select("id", "body", "lo").mapInArrow(slots, "slot bigint"), cell_bits))
 
     raw_schema = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("lo", pa.int32()), ("raw", pa.binary())])
 
@@ -298,7 +305,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
             parts = []
             for i, b, raw in _rows(batch):
                 anchor, lo, hi = cells(raw)
-                hit = inside(wanted.value, _cell_slots(np.full(len(lo), i), np.full(len(lo), b), lo)) & inside(repeated.value, _slots(anchor))
+                hit = inside(wanted.value, _cell_slots(np.full(len(lo), i), np.full(len(lo), b), lo, cell_bits)) & inside(repeated.value, _slots(anchor, anchor_bits))
                 parts += [(h, i, b, s, raw[s:e + LENGTH]) for h, s, e in zip(anchor[hit].tolist(), lo[hit].tolist(), hi[hit].tolist())]
             if parts:
                 yield _batch(list(zip(*parts)), raw_schema)
@@ -317,7 +324,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     return spans.union(made.filter("window IS NULL").select("id", "body", "start", "end")).union(merged)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, most_bits: int = MOST_BITS) -> DataFrame:
     """``doc_id, spans, kept, n_bytes, n_removed``: covered byte spans (maximal, in order) and the remaining bytes of every row.
 
     Null text counts as empty; texts of under ``LENGTH`` bytes keep all; of
@@ -327,7 +334,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     gives an empty result; other columns are not carried.
     """
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    spans = covered(read, "doc_id", "text", shard_bytes).groupBy("id", "body").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # of one document
+    spans = covered(read, "doc_id", "text", shard_bytes, most_bits).groupBy("id", "body").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # of one document
     marked = read.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("body", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = marked.join(spans, ["id", "body"], "left").select("doc_id", "text", "spans")
 

@@ -39,8 +39,9 @@ def test_suffix_array_and_prefixes():
         assert got[k] == min(n, 30)
 
 
-@pytest.mark.parametrize("shard_bytes", [2 << 20, 700])
-def test_equal_to_all_windows(spark, shard_bytes):
+@pytest.mark.parametrize("shard_bytes, most_bits", [(2 << 20, 28), (700, 7)])  # shards that hand on windows, bitmaps that let all through
+def test_equal_to_all_windows(spark, shard_bytes, most_bits, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_bits", lambda entries, most: min(16, most))
     rnd = random.Random(9)
     alphabet = "abcdefgh é\n"
     text = lambda n: "".join(rnd.choice(alphabet) for _ in range(n))
@@ -51,7 +52,7 @@ def test_equal_to_all_windows(spark, shard_bytes):
         rows.append((i, "".join(parts)))
     rows += [(100, "ab" * 400), (101, "x" * 350), (102, "x" * 350), (103, rows[3][1]), (104, None), (105, ""), (106, "\u0000" * 230), (50_000, rows[7][1][50:])]
     rows += [(200 + i, f"{i}head" + passages[4] + f"tail{i}") for i in range(40)]
-    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup.dedup(docs(spark, rows), shard_bytes=shard_bytes).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup.dedup(docs(spark, rows), shard_bytes=shard_bytes, most_bits=most_bits).collect()}
     assert got == brute(rows)
 
 
