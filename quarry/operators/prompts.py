@@ -41,14 +41,17 @@ def instruction_text(instruction: Column, input_: Column, output: Column) -> Col
 def instruction_rows(conv: DataFrame) -> DataFrame:
     """Instruction rows from a turn table: a user turn is the instruction,
     the assistant turn right after it the output, the conversation's system
-    text (if any) the input. Equi-joins on (conv_id, turn) and conv_id."""
-    users = conv.filter(F.col("role") == "user").select(
+    text (if any) the input. Equi-joins on (conv_id, turn) and conv_id; a NULL
+    conv_id is a conversation like any other, a turn without a number has no
+    turn after it."""
+    conv = conv.filter(F.col("turn").isNotNull() | (F.col("role") == "system"))
+    users = conv.filter((F.col("role") == "user") & F.col("turn").isNotNull()).select(
         "conv_id", "turn", F.col("text").alias("instruction"))
-    replies = conv.filter(F.col("role") == "assistant").select(
+    replies = conv.filter((F.col("role") == "assistant") & F.col("turn").isNotNull()).select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
     system = (conv.filter(F.col("role") == "system").groupBy("conv_id")
-              .agg(F.min_by("text", "turn").alias("input")))
-    return users.join(replies, ["conv_id", "turn"]).join(system, "conv_id", "left")
+              .agg(F.min_by("text", F.coalesce("turn", F.lit((1 << 62)))).alias("input")))
+    return null_safe_join(null_safe_join(users, replies, ["conv_id", "turn"]), system, ["conv_id"], "left")
 
 
 def format_instruction(rows: DataFrame) -> DataFrame:
@@ -168,7 +171,8 @@ def few_shot(items: DataFrame, k: int, group_col: str | None = None,
              order_col: str = "item_id", max_groups: int | None = None) -> DataFrame:
     """``items(order_col, [group_col], prompt, label)`` → for every item after
     the first ``k`` of its group: the ``k`` solved examples
-    (``prompt label\\n\\n`` each, in order) followed by its own prompt.
+    (``prompt label\\n\\n`` each, in order) followed by its own prompt. An
+    item without a key is no example and always gets a prompt, last in order.
 
     The shots table has at most ``k`` rows per group; it is broadcast only
     when the caller bounds the number of groups (``max_groups``)."""
@@ -177,8 +181,8 @@ def few_shot(items: DataFrame, k: int, group_col: str | None = None,
     # Only the top k per group are ranked (row_number <= k becomes a partial
     # group limit before the exchange); the rest are found by key comparison.
     top = keyed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_g").orderBy(order_col))
-    ).filter(F.col("_rn") <= k)
+        "_rn", F.row_number().over(Window.partitionBy("_g").orderBy(F.asc_nulls_last(order_col)))
+    ).filter((F.col("_rn") <= k) & F.col(order_col).isNotNull())
     shots = (top.groupBy("_g")
              .agg(F.array_join(F.transform(
                  F.array_sort(F.collect_list(F.struct(
@@ -187,8 +191,7 @@ def few_shot(items: DataFrame, k: int, group_col: str | None = None,
                  lambda x: x["s"]), "").alias("_shots"),
                   F.max(order_col).alias("_last")))
     bound = None if (group_col and max_groups is None) else (max_groups or 1)
-    joined = (null_safe_join(keyed, shots, ["_g"]) if bound is None
-              else null_safe_join(keyed, F.broadcast(shots), ["_g"]))
-    out = joined.filter(F.col(order_col) > F.col("_last"))
-    return out.withColumn("prompt", F.concat(F.col("_shots"), F.col("prompt"))).drop(
+    joined = null_safe_join(keyed, shots if bound is None else F.broadcast(shots), ["_g"], "left")
+    out = joined.filter(F.col(order_col).isNull() | (F.col(order_col) > F.col("_last")))
+    return out.withColumn("prompt", F.concat(_s(F.col("_shots")), F.col("prompt"))).drop(
         "_g", "_shots", "_last")

@@ -122,3 +122,15 @@ def test_label_goes_with_the_prompt(spark):
     mc = spark.createDataFrame([(0, "q", ["a", "b", "c", "d", "e"], 2)], "item_id long, question string, choices array<string>, answer int")
     r = prompts.format_mmlu(mc).first()
     assert r.prompt is None and r.label is None
+
+
+def test_rows_without_keys(spark):
+    """A conversation without an id pairs its turns; an item without a key gets a prompt and is no example."""
+    conv = spark.createDataFrame([(None, 1, "user", "q"), (None, 2, "assistant", "a"), (1, 1, "user", "x"), (1, None, "assistant", "y"), (1, None, "user", "z"), (None, None, "system", "s")],
+                                 "conv_id long, turn long, role string, text string")
+    got = [tuple(r) for r in prompts.instruction_rows(conv).select("conv_id", "turn", "instruction", "output", "input").collect()]
+    assert got == [(None, 1, "q", "a", "s")]
+    items = spark.createDataFrame([(1, "p1", "l1"), (2, "p2", "l2"), (None, "p", "l"), (3, "p3", "l3")], "item_id long, prompt string, label string")
+    assert sorted((repr(r.item_id), r.prompt) for r in prompts.few_shot(items, 2).collect()) == [("3", "p1 l1\n\np2 l2\n\np3"), ("None", "p1 l1\n\np2 l2\n\np")]
+    alone = spark.createDataFrame([(None, "p", "l")], "item_id long, prompt string, label string")
+    assert [r.prompt for r in prompts.few_shot(alone, 2).collect()] == ["p"]
