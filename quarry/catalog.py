@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import preview
-from quarry.operators import (bpe_index, budget, calibration, classifier, dedup, keywords, language_profiles, length_sketches, lsh_store,
-                              mixing, packing,
-                              prompts, quality, tokens, vectors)
+from quarry.operators import (bpe_index, budget, calibration, classifier, dedup, keywords, language_profiles,
+                              length_sketches, lsh_store, mixing, packing, prompts, quality, tokens, vectors)
 from quarry.flagship import flagship
 from quarry.plans.joins import join_small
 from quarry.plans.parallel import spread
 from quarry.session import scratch_path
+from quarry.sources import jsonl_source
 from quarry.sources.progressive import first_matching
 from quarry.sources.tables import (DOCUMENT_SCHEMA, read_corpus, read_jsonl, sound_rows, table,
                                    take_first, write_jsonl, write_kept_removed)
@@ -496,6 +496,15 @@ def q_jsonl_roundtrip(spark, base):
     return sound_rows(read_jsonl(spark, path))
 
 
+def q_jsonl_source(spark, base):
+    """The documents written and read again by the JSON Lines data source."""
+    jsonl_source.register(spark)
+    path = scratch_path(spark, "jsonl-source")
+    docs = _docs(spark, base)
+    docs.write.format(jsonl_source.NAME).option("maxFileBytes", 1 << 20).mode("append").save(path)
+    return spark.read.format(jsonl_source.NAME).schema(docs.schema).option("splitBytes", 1 << 19).load(path)
+
+
 def q_kept_removed_sinks(spark, base):
     """Both sides written in one pass, read back with the folder's flag."""
     path = scratch_path(spark, "kept-removed")
@@ -651,6 +660,7 @@ QUERIES: dict[str, Query] = {
     "embedding_lookup_skewed": q_embedding_lookup_skewed,
     "token_budget": q_token_budget,
     "jsonl_roundtrip": q_jsonl_roundtrip,
+    "jsonl_source": q_jsonl_source,
     "stream_filter": q_stream_filter,
     "stream_sinks": q_stream_sinks,
     "stream_topic": q_stream_topic,

@@ -550,3 +550,4 @@ ORACLES["stream_sinks"] = ORACLES["split_kept_removed"]
 ORACLES["stream_topic"] = f"""SELECT doc_id, text FROM documents WHERE {_whole_word("lower(coalesce(text, ''))", TEST_KEYWORDS)}"""
 ORACLES["stream_prompts"] = ORACLES["format_gsm8k"]
 ORACLES["dup_clusters_incremental"] = ORACLES["dup_clusters"]
+ORACLES["jsonl_source"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
