@@ -15,8 +15,8 @@ phrases is spread like any other range. A phrase and its extensions may then
 lie in different partitions: a first pass finds each partition's last open phrases and the
 extensions whose phrase lies before it (at most a dozen rows for a partition), which the second starts from.
 
-A phrase is no more frequent than its parts, so three passes over the texts count words, then pairs of
-frequent words, then longer phrases whose pairs are all frequent. Bitmaps sized by
+A phrase is no more frequent than its parts, so three passes over the texts count words, then the hashes of pairs of
+frequent words, then the pairs and longer phrases all of whose pairs have frequent hashes. Bitmaps sized by
 the number of frequent entries tell which may be; the counts themselves are exact.
 """
 
@@ -43,7 +43,8 @@ TOP = 2000
 UNKNOWN = "und"
 #: Every word of a key ends with this, which no word holds: byte order is then word order, and what a key extends begins with its bytes.
 END = "\t"
-#: The bitmaps have 16 bits for each frequent entry, up to two to this power.
+#: The bitmaps have so many bits for each frequent word and pair, up to two to this power.
+WORD_BITS, PAIR_BITS = 16, 64
 MOST_BITS = 28
 #: Parts in which a language's phrases are ranked before the best of all parts are.
 RANK_PARTS = 32
@@ -176,8 +177,24 @@ class _Known:
         return np.concatenate(parts)
 
 
-def _phrases(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> DataFrame:
-    """Counts of the pairs of words in the bitmap ``words``; with the bitmap ``pairs``, of the longer phrases all of whose pairs are in that."""
+def _pair_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
+    """``hash, n`` of the pairs of words in the bitmap: narrow rows, as most pairs are rare."""
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known(shared.value, _bits(shared.value))
+        for group in _groups(batches):
+            own = known.numbers(group)
+            hashes = np.array(known.hashes, np.uint64)
+            at = np.flatnonzero((own[:-1] > 0) & (own[1:] > 0))
+            found, n = np.unique(_pair_hashes(hashes[own[at]], hashes[own[at + 1]]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"])
+
+    return texts.mapInArrow(kernel, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def _phrases(texts: DataFrame, words: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """Counts of the phrases of two words or more, all in the bitmap ``words``, all of whose pairs are in the bitmap ``pairs``."""
     context = texts.sparkSession.sparkContext
     words_shared, pairs_shared = context.broadcast(words), context.broadcast(pairs)
 
@@ -195,19 +212,14 @@ def _phrases(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> D
         for group in _groups(batches):
             own = known.numbers(group)
             fit = (own[:-1] > 0) & (own[1:] > 0)
-            if of_pairs is not None:
-                hashes = np.array(known.hashes, np.uint64)
-                at = np.flatnonzero(fit)
+            hashes = np.array(known.hashes, np.uint64)
+            at = np.flatnonzero(fit)
+            if len(at):
                 fit[at] = inside(of_pairs, _slots(_pair_hashes(hashes[own[at]], hashes[own[at + 1]]), _bits(of_pairs)))
             starts = np.flatnonzero(fit)
             rank = np.zeros(len(fit) + 1, np.int64)  # of the phrase of m words at each place
-            if of_pairs is None:
-                if len(starts):
-                    yield counted(own, 2, starts, own[starts] * len(known.words) + own[starts + 1])[0]
-                continue
-            rank[starts] = own[starts] * len(known.words) + own[starts + 1]
-            rank[starts] = np.unique(rank[starts], return_inverse=True)[1]
-            for m in range(3, LONGEST + 1):
+            rank[starts] = own[starts]
+            for m in range(2, LONGEST + 1):
                 starts = starts[starts + m - 2 < len(fit)]
                 starts = starts[fit[starts + m - 2]]
                 if not len(starts):
@@ -223,18 +235,18 @@ def _bits(table: np.ndarray) -> int:
     return len(table).bit_length() + 5
 
 
-def _marked(frequent: DataFrame, most_bits: int) -> np.ndarray:
-    """Bitmap of the frequent phrases (of one length: words or pairs), sized by their number."""
-    bits = max(16, min(most_bits, (16 * frequent.count()).bit_length()))
+def _sized(entries: int, each: int, most_bits: int) -> int:
+    return max(6, min(most_bits, max(16, (each * entries).bit_length())))
+
+
+def _marked_words(frequent: DataFrame, most_bits: int) -> np.ndarray:
+    """Bitmap of the frequent words, sized by their number."""
+    bits = _sized(frequent.count(), WORD_BITS, most_bits)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(lang, key.encode().split(b"\t")[:-1]) for lang, key in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase"))) if key]
-            if not rows:
-                continue
-            hashed = np.array([[_hash(lang, w) for w in own] for lang, own in rows], np.uint64)
-            slots = hashed[:, 0] if hashed.shape[1] == 1 else _pair_hashes(hashed[:, 0], hashed[:, 1])
-            yield pa.RecordBatch.from_arrays([pa.array(_slots(slots, bits), pa.int64())], names=["slot"])
+            hashed = np.array([_hash(lang, key[:-len(END)].encode()) for lang, key in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")))], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(_slots(hashed, bits), pa.int64())], names=["slot"])
 
     return bitmap(frequent.filter("phrase != ''").select("lang", "phrase").mapInArrow(kernel, "slot bigint"), bits)
 
@@ -243,10 +255,11 @@ def count_streams(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     """``lang, phrase, n`` of every phrase of one to five words that occurs ``least`` times or more in a language, each word ended by a tab, and of the empty phrase."""
     texts = _texts(docs, lang_col, text_col)
     words = _frequent(_word_counts(texts), least, "collocation-words")
-    of_words = _marked(words, most_bits)
-    pairs = _frequent(_phrases(texts, of_words, None), least, "collocation-pairs")
-    longer = _frequent(_phrases(texts, of_words, _marked(pairs, most_bits)), least, "collocation-phrases")
-    return words.unionByName(pairs).unionByName(longer)
+    of_words = _marked_words(words, most_bits)
+    pairs = written(_pair_counts(texts, of_words).filter(F.col("n") >= least).select("hash"), "collocation-pairs")
+    bits = _sized(pairs.count(), PAIR_BITS, most_bits)
+    of_pairs = bitmap(pairs.select(F.expr(f"shiftrightunsigned(hash, {64 - bits})").alias("slot")), bits)
+    return words.unionByName(_frequent(_phrases(texts, of_words, of_pairs), least, "collocation-phrases"))
 
 
 class _Open:
