@@ -33,9 +33,9 @@ def quality_pipeline(num_features: int = 1 << 18, reg: float = 0.01, max_iter: i
 def quality_classifier(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
                        label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, p_quality, kept`` for every document: train on the labelled
-    subset (inner join on id, all labelled rows), score all, keep ``p >= threshold``."""
+    subset (inner join on id, all rows with a label), score all, keep ``p >= threshold``."""
     corpus = docs.select(id_col, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    train = corpus.join(labels.select(id_col, F.col(label_col).cast("double").alias("_label")), id_col)
+    train = corpus.join(labels.select(id_col, F.col(label_col).cast("double").alias("_label")).dropna(), id_col)
     model = quality_pipeline().fit(train)
     scored = model.transform(corpus)
     p = F.round(vector_to_array(F.col("_prob"))[1], 6)

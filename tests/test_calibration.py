@@ -74,3 +74,19 @@ def test_calibration_is_the_nearest_monotone_function(spark, levels):
     assert got[-1.0] == pytest.approx(min(want.values())) and got[9.0] == pytest.approx(max(want.values())) and got[None] is None
     for r in calibration.reliability(calibration.calibrated(frame(spark, data), model), "probability").collect():
         assert r.mean_probability == pytest.approx(r.share_good, abs=1e-6)
+
+
+def test_classifier_separates_what_differs(spark):
+    """Every document is scored, the kept ones by the threshold; the cells of the held-out fold add up to its rows."""
+    from quarry.operators import classifier
+
+    rng = random.Random(4)
+    good, bad = ["river", "garden", "letter", "morning", "teacher"], ["zzq", "xxk", "click", "buy", "promo"]
+    texts = [" ".join(rng.choices(good if i % 2 else bad, k=30)) for i in range(120)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120) if i % 3] + [(5000, 1), (3, None)], "doc_id long, quality int")
+    scored = {r.doc_id: r for r in classifier.quality_classifier(docs, labels, threshold=0.6).collect()}
+    assert len(scored) == len(texts) and all(r.kept == (r.p_quality >= 0.6) for r in scored.values())
+    assert all(scored[i].kept == bool(i % 2) for i in range(120))
+    held = classifier.quality_holdout(docs, labels).first()
+    assert held.auc == 1.0 and held.n == held.tp + held.fp + held.tn + held.fn and (held.fp, held.fn) == (0, 0) and held.n > 5
