@@ -37,9 +37,13 @@ LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes of cells in a shard; sorting takes about 120 bytes of memory for each.
 SHARD_BYTES = 1 << 20
+#: Texts are hashed together up to about so many bytes, which a processor's cache holds.
+BLOCK_BYTES = 1 << 17
 #: The bitmaps have 16 bits for each entry, up to two to this power.
 MOST_BITS = 28
 NO_ID = (1 << 63) - 1
+#: Stands for a whole text among the places of its cells.
+WHOLE = -1
 #: Kasai's inequality carries a common prefix over so many positions before it is measured anew.
 STRIDE = 32
 
@@ -53,11 +57,28 @@ def _slide(h: np.ndarray, width: int, f) -> np.ndarray:
     return f(h[: len(h) - (width - n)], h[width - n:]) if width > n else h
 
 
-def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first and last window start of each cell of a text."""
-    if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h, factor, n = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15), 1
+def cells_of(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text (place in the list), anchor hash, first and last window start of each cell, text by text."""
+    parts, start, held = [], 0, 0
+    for i, raw in enumerate(raws):
+        held += len(raw)
+        if held >= BLOCK_BYTES or i + 1 == len(raws):
+            parts.append(_block_cells(raws[start:i + 1], start))
+            start, held = i + 1, 0
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text, anchor, first, last = (np.concatenate(c) for c in zip(*parts))
+    return text, anchor, first, last
+
+
+def _block_cells(raws: list[bytes], number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of texts that lie end to end; a window never leaves its text."""
+    lens = np.fromiter(map(len, raws), np.int64, len(raws))
+    ends = np.cumsum(lens)
+    windows = np.maximum(lens - LENGTH + 1, 0)
+    if not windows.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h, factor, n = np.frombuffer(b"".join(raws), np.uint8).astype(np.uint64) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15), 1
     with np.errstate(over="ignore"):
         while n < GRAM:
             h, factor, n = h[:-n] * factor + h[n:], factor * factor, 2 * n
@@ -66,19 +87,28 @@ def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     least = _slide(h, SPAN, np.minimum)
     edge = np.zeros(SPAN - 1, np.uint64)
     anchors = np.flatnonzero(h == _slide(np.concatenate([edge, least, edge]), SPAN, np.maximum)[: len(h)])  # least of some window
-    place = np.searchsorted(anchors, np.arange(len(least)))
+    place = np.repeat(np.arange(len(anchors) + 1), np.diff(np.r_[-1, anchors, len(h) - 1]))[: len(least)]  # the first anchor from each window's start on
     at = anchors[place]
     wrong = np.flatnonzero(h[at] != least)
     while len(wrong):  # the leftmost anchor in the window that has its least hash
         place[wrong] += 1
         at[wrong] = anchors[place[wrong]]
         wrong = wrong[h[at[wrong]] != least[wrong]]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return h[at[first]].view(np.int64), first, np.r_[first[1:], len(least)] - 1
+    cut = np.r_[True, at[1:] != at[:-1]]
+    inner = np.cumsum(np.bincount(ends - lens, windows > 0, len(least) + 1) - np.bincount(ends - lens + windows, windows > 0, len(least) + 1))[: len(least)] > 0
+    outer = np.flatnonzero(~inner)
+    cut[outer] = True
+    cut[outer[outer + 1 < len(cut)] + 1] = True
+    first = np.flatnonzero(cut)
+    last = np.r_[first[1:], len(least)] - 1
+    first, last = first[inner[first]], last[inner[first]]
+    text = np.searchsorted(ends, first, "right")
+    begin = (ends - lens)[text]
+    return text + number, h[at[first]].view(np.int64), first - begin, last - begin
 
 
-def _cell_hashes(raw: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(raw[a:b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())], np.uint64).view(np.int64)
+def _cell_hashes(raws: list[bytes], text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(raws[t][a:b + LENGTH]) for t, a, b in zip(text.tolist(), first.tolist(), last.tolist())], np.uint64).view(np.int64)
 
 
 def _bits(entries: int, most_bits: int) -> int:
@@ -109,29 +139,35 @@ def suffix_array(symbols: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarra
     """Positions in the order of the strings that start there, compared over at least ``depth`` symbols or up to their cell's end (``ends``); equal ones by place."""
     n = len(symbols)
     at = np.arange(n)
+    h, bits = 7, n.bit_length()  # symbols of 9 bits in a first key
+    padded = np.concatenate([symbols.astype(np.int64) + 1, np.zeros(h, np.int64)])
     packed = np.zeros(n, np.int64)
-    h = 7  # symbols of 9 bits in a first key
     for k in range(h):
         packed <<= 9
-        packed += np.where(at + k < ends, symbols[np.minimum(at + k, n - 1)].astype(np.int64) + 1, 0)
-    order = np.argsort(packed, kind="stable")
+        packed += padded[k:k + n]
+    tail = np.flatnonzero(ends - at < h)
+    packed[tail] &= -1 << (9 * (h - (ends - at)[tail]))  # nothing behind a cell's end
+    order = np.argsort(packed)
     packed = packed[order]
     new = np.r_[True, packed[1:] != packed[:-1]]
     rank = np.empty(n, np.int64)
-    start = np.maximum.accumulate(np.where(new, at, 0))
-    rank[order] = start
+    rank[order] = np.maximum.accumulate(np.where(new, at, 0))
     while h < depth:
-        sizes = np.diff(np.r_[np.flatnonzero(new), n])
-        open_ = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places in unsorted groups
+        open_ = np.flatnonzero(~(new & np.r_[new[1:], True]))  # places in unsorted groups
         if not len(open_):
             break
         who = order[open_]
-        key = np.where(who + h < ends[who], rank[np.minimum(who + h, n - 1)] + 1, 0)
-        group = rank[who]
-        by = np.lexsort((key, group))
-        who, key, group = who[by], key[by], group[by]
+        key = np.where(who + h < ends[who], rank[np.minimum(who + h, n - 1)] + np.int64(1), 0)
+        group = np.cumsum(new[open_]) - 1
+        if int(group[-1]).bit_length() + 2 * bits <= 63:  # group, key and place in one number
+            one = np.sort(((group << bits) | key) << bits | who)
+            who, key = one & ((1 << bits) - 1), one >> bits
+            fresh = np.r_[True, key[1:] != key[:-1]]
+        else:
+            by = np.lexsort((who, key, group))
+            who, key, group = who[by], key[by], group[by]
+            fresh = np.r_[True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])]
         order[open_] = who
-        fresh = np.r_[True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])]
         new[open_] = fresh
         rank[who] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(open_)), 0))]
         h *= 2
@@ -239,8 +275,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [cells(raw)[0] for _, _, raw in _rows(batch)]
-            hashes, times = np.unique(np.concatenate(found), return_counts=True)
+            hashes, times = np.unique(cells_of([raw for _, _, raw in _rows(batch)])[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.minimum(times, 2).astype(np.int8))], names=["hash", "times"])
 
     anchors = written(map_slices(read, survey, "hash bigint, times byte").groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1").select("hash"), "anchors")
@@ -251,17 +286,16 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for i, b, raw in _rows(batch):
-                anchor, lo, hi = cells(raw)
-                hit = inside(repeated.value, _slots(anchor, anchor_bits))
-                anchor, lo, hi = anchor[hit], lo[hit], hi[hit]
-                if len(anchor):
-                    parts.append((anchor, _cell_hashes(raw, lo, hi), np.full(len(anchor), i), np.full(len(anchor), b), lo, hi - lo))
-            if parts:
-                anchor, own, ids, bodies, lo, more = (np.concatenate(c) for c in zip(*parts))
-                # Of equal cells in these texts all but the first are covered, whatever other texts hold.
-                by = np.lexsort((lo, bodies, ids, own, anchor))
+            rows = sorted(_rows(batch), key=lambda row: row[:2])
+            text, anchor, lo, hi = cells_of([raw for _, _, raw in rows])
+            hit = np.flatnonzero(inside(repeated.value, _slots(anchor, anchor_bits)))
+            if len(hit):
+                text, anchor, lo, hi = text[hit], anchor[hit], lo[hit], hi[hit]
+                own = _cell_hashes([raw for _, _, raw in rows], text, lo, hi)
+                ids, bodies = (np.array(c, np.int64)[text] for c in zip(*(row[:2] for row in rows)))
+                more = hi - lo
+                # Of equal cells in these texts, which stand in order, all but the first are covered, whatever other texts hold.
+                by = np.lexsort((own, anchor))
                 start = np.r_[True, (anchor[by[1:]] != anchor[by[:-1]]) | (own[by[1:]] != own[by[:-1]])]
                 first = by[np.flatnonzero(start)[np.cumsum(start) - 1]]
                 again = np.zeros(len(by), bool)
@@ -289,12 +323,13 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     total = several.agg(F.sum("bytes")).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
 
-    cell_bits = _bits(needed.count(), most_bits)
+    cell_bits = _bits(2 * needed.count(), most_bits)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             i, b, lo = (np.asarray(batch.column(c)).astype(np.int64) for c in ("id", "body", "lo"))
-            yield pa.RecordBatch.from_arrays([pa.array(_cell_slots(i, b, lo, cell_bits))], names=["slot"])
+            both = np.concatenate([_cell_slots(i, b, lo, cell_bits), np.unique(_cell_slots(i, b, np.full(len(lo), WHOLE), cell_bits))])
+            yield pa.RecordBatch.from_arrays([pa.array(both)], names=["slot"])
 
     wanted = broadcast(bitmap(needed.select("id", "body", "lo").mapInArrow(slots, "slot bigint"), cell_bits))
 
@@ -302,13 +337,18 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for i, b, raw in _rows(batch):
-                anchor, lo, hi = cells(raw)
-                hit = inside(wanted.value, _cell_slots(np.full(len(lo), i), np.full(len(lo), b), lo, cell_bits)) & inside(repeated.value, _slots(anchor, anchor_bits))
-                parts += [(h, i, b, s, raw[s:e + LENGTH]) for h, s, e in zip(anchor[hit].tolist(), lo[hit].tolist(), hi[hit].tolist())]
-            if parts:
-                yield _batch(list(zip(*parts)), raw_schema)
+            rows = list(_rows(batch))
+            if not rows:
+                continue
+            ids, bodies = (np.array(c, np.int64) for c in zip(*(row[:2] for row in rows)))
+            some = np.flatnonzero(inside(wanted.value, _cell_slots(ids, bodies, np.full(len(rows), WHOLE), cell_bits)))
+            ids, bodies, raws = ids[some], bodies[some], [rows[k][2] for k in some.tolist()]
+            text, anchor, lo, hi = cells_of(raws)
+            hit = np.flatnonzero(inside(repeated.value, _slots(anchor, anchor_bits)))
+            hit = hit[inside(wanted.value, _cell_slots(ids[text[hit]], bodies[text[hit]], lo[hit], cell_bits))]
+            if len(hit):
+                text, anchor, lo, hi = text[hit], anchor[hit], lo[hit], hi[hit]
+                yield _batch([anchor, ids[text], bodies[text], lo, [raws[t][s:e + LENGTH] for t, s, e in zip(text.tolist(), lo.tolist(), hi.tolist())]], raw_schema)
 
     # Anchors that fit share shards by hash; a larger one has shards of its own.
     texts = map_slices(read, fetch, "hash bigint, id bigint, body bigint, lo int, raw binary").join(needed.select("hash", "id", "body", "lo", "parts"), ["hash", "id", "body", "lo"])
