@@ -69,9 +69,9 @@ def _position(done: Column, target: Column, slope: Column) -> Column:
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
          slopes: tuple[float, ...] = SLOPES, budget: float = 1.5, max_repeats: int = 2, seed: str = "mix", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, src, size, source_size, target,
-    taken, copies``; ``copies`` lists ``(copy, words, position)`` of each time
+    taken, copies, start``; ``copies`` lists ``(copy, words, position)`` of each time
     the mix takes words of the document, the last time perhaps only its first
-    words. Columns named in ``keep`` follow in the struct ``row``.
+    words; ``start`` counts the source's words before it. Columns named in ``keep`` follow in the struct ``row``.
 
     A null source is a source of its own, a null or empty text has size 0 and
     is not taken; rows with the same id and size are interchangeable; a null
@@ -96,7 +96,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         words = F.greatest(F.least(quota - begin, F.col("size")), F.lit(0))
         copies.append(F.struct(F.lit(copy).alias("copy"), words.cast("long").alias("words"), _position(begin + words / 2.0, F.col("target"), F.col("slope")).alias("position")))
     placed = placed.withColumn("copies", F.filter(F.array(*copies), lambda c: c.words > 0))
-    return placed.select("doc_id", "src", "size", "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c.words).alias("taken"), "copies", *(["row"] if keep else []))
+    return placed.select("doc_id", "src", "size", "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c.words).alias("taken"), "copies", start.alias("start"), *(["row"] if keep else []))
 
 
 def curriculum(planned: DataFrame) -> DataFrame:
@@ -106,6 +106,26 @@ def curriculum(planned: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position", "doc_id", "copy").sortWithinPartitions("position", "doc_id", "copy")
 
 
+def numbered(planned: DataFrame) -> DataFrame:
+    """The rows of ``curriculum``, with ``src``, ``start``, ``source_size``, ``target`` and their ``place`` in training order (from 1)."""
+    copies = planned.select("src", "start", "doc_id", "size", "source_size", "target", F.explode("copies").alias("c")).select("*", "c.position", "c.copy", "c.words").drop("c")
+    ranked = range_prefix(copies, ["position", "doc_id", "copy", "src", "start"], {"before": F.lit(1).cast("long")})
+    return ranked.withColumn("place", F.col("before") + 1).drop("before")
+
+
+def per_document(planned: DataFrame) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, n_copies, first_position, first_place, last_place``
+    of every row of the plan, from the numbered mix; where the mix takes nothing the position is null and the places are 0.
+
+    A source's words before a row tell rows apart that the mix takes, whatever their ids.
+    """
+    mixed = numbered(planned).groupBy("src", "start", "doc_id", "size", "source_size", "target").agg(
+        F.sum("words").alias("taken"), F.count(F.lit(1)).alias("n_copies"), F.min("position").alias("first_position"), F.min("place").alias("first_place"), F.max("place").alias("last_place")).drop("src", "start")
+    nothing = F.lit(0).cast("long")
+    left = planned.filter(F.size("copies") == 0).select("doc_id", "size", "source_size", "target", *[nothing.alias(c) for c in ("taken", "n_copies", "first_place", "last_place")])
+    return mixed.unionByName(left, allowMissingColumns=True)
+
+
 def whole(taken: DataFrame) -> DataFrame:
     """The rows of ``curriculum`` with whole texts only: the copy at the end of a source's
     quota is taken whole where that comes at least as near to the quota as leaving it."""

@@ -31,10 +31,9 @@ def op3_kmeans_tree(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op4_curriculum(spark: SparkSession, base: str) -> DataFrame:
-    """The words that the mix takes of every document, and where in training it first appears."""
-    planned = curriculum.plan(_table(spark, base, "documents"))
-    first = F.array_min(F.transform("copies", lambda c: c.position))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"), F.round(first, 6).alias("first_position"))
+    """The words that the mix takes of every document, and its places in training order."""
+    mixed = curriculum.per_document(curriculum.plan(_table(spark, base, "documents")))
+    return mixed.withColumn("first_position", F.round("first_position", 6))
 
 
 def op5_language_id(spark: SparkSession, base: str) -> DataFrame:
@@ -57,8 +56,10 @@ def op7_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, base: str) -> DataFrame:
-    """Secrets of every whole text, each distinct text scanned once."""
-    found, _ = secret_scan.scan(_table(spark, base, "documents"))
+    """Secrets of every whole text, each distinct text scanned once: the rows come as two versions, and the second scans what the first left unseen."""
+    docs = _table(spark, base, "documents")
+    late = F.coalesce(F.col("doc_id"), F.lit(0)) % 2 == 1
+    found, _ = secret_scan.scan_versions([docs.filter(~late), docs.filter(late)])
     of_base = F.filter("found", lambda s: s["kind"].isin(*[r.kind for r in secret_scan.RULES if r.base]))
     number = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", number("assign"), number("access"), number("hex"),
@@ -196,11 +197,17 @@ placed AS (
 taking AS (
   SELECT *, greatest(least(quota - start, size), 0) AS w0, greatest(least(quota - start - source_size, size), 0) AS w1 FROM placed),
 timed AS (
-  SELECT *, CASE WHEN w0 > 0 THEN (start + w0 / 2.0::DOUBLE) / target END AS y, slope + 1.0::DOUBLE AS b FROM taking)
-SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
-       ((w0 > 0)::INT + (w1 > 0)::INT)::BIGINT AS n_copies,
-       round(CASE WHEN slope = 0 OR y IS NULL THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END, 6) AS first_position
-FROM timed
+  SELECT src, start, copy, doc_id, words, slope, slope + 1.0::DOUBLE AS b, ("begin" + words / 2.0::DOUBLE) / target AS y
+  FROM (SELECT src, start, start AS "begin", 0 AS copy, doc_id, w0 AS words, slope, target FROM taking UNION ALL
+        SELECT src, start, start + source_size, 1, doc_id, w1, slope, target FROM taking) WHERE words > 0),
+mixed AS (
+  SELECT *, row_number() OVER (ORDER BY position, doc_id NULLS FIRST, copy, src, start) AS place FROM (
+    SELECT *, CASE WHEN slope = 0 THEN y ELSE (b - sqrt(greatest(b * b - slope * 4.0::DOUBLE * y, 0.0))) / (slope * 2.0::DOUBLE) END AS position FROM timed)),
+merged AS (
+  SELECT src, start, sum(words)::BIGINT AS taken, count(*) AS n_copies, min(position) AS first_position, min(place) AS first_place, max(place) AS last_place FROM mixed GROUP BY src, start)
+SELECT doc_id, size, source_size, target, coalesce(m.taken, 0) AS taken, coalesce(n_copies, 0) AS n_copies, round(first_position, 6) AS first_position,
+       coalesce(first_place, 0) AS first_place, coalesce(last_place, 0) AS last_place
+FROM taking t LEFT JOIN merged m ON t.src = m.src AND t.start = m.start AND w0 > 0
 """
 
 

@@ -137,6 +137,15 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_i
     return rows.select("doc_id", "blob", F.coalesce("found", F.from_json(F.lit("[]"), FINDINGS)).alias("found")), total
 
 
+def scan_versions(versions: list[DataFrame], id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """``scan`` of each version's paths in turn, each with the ledger that the versions before it filled: findings of all paths, and the ledger."""
+    found, ledger = [], None
+    for paths in versions:
+        rows, ledger = scan(paths, ledger, id_col, text_col, rules)
+        found.append(rows)
+    return reduce(DataFrame.unionByName, found), ledger
+
+
 def listed(found: Column) -> Column:
     """``kind:start:end`` of the spans, comma-joined."""
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -60,6 +60,24 @@ def test_curriculum_is_range_sorted(spark):
     assert got == sorted(got) and got
 
 
+def test_numbered_mix_by_document(spark):
+    """Places number the range-sorted mix; rows with one id stay rows."""
+    rows = [(i % 150, "w " * (i % 9), "en", "abcd"[i % 4]) for i in range(200)] + [(None, "w w w", "en", "a"), (None, "w w w", "en", "a"), (None, None, "en", None)]
+    planned = curriculum.plan(docs(spark, rows))
+    mix = curriculum.curriculum(planned).collect()
+    numbered = curriculum.numbered(planned).orderBy("place").collect()
+    assert [r.place for r in numbered] == list(range(1, len(mix) + 1))
+    assert [(r.position, r.doc_id, r.copy) for r in numbered] == [(r.position, r.doc_id, r.copy) for r in mix]
+    got = curriculum.per_document(planned).collect()
+    want = planned.collect()
+    key = lambda r, n: (str(r.doc_id), r.size, r.source_size, r.taken, n)
+    assert sorted(key(r, r.n_copies) for r in got) == sorted(key(r, len(r.copies)) for r in want)
+    assert all((r.first_place == 0) == (r.taken == 0) == (r.last_place == 0) == (r.first_position is None) for r in got)
+    assert sum(r.n_copies for r in got) == len(mix)
+    assert {(r.first_position, r.first_place) for r in got if r.taken} <= {(r.position, r.place) for r in numbered}
+    assert curriculum.per_document(curriculum.plan(docs(spark, rows).limit(0))).collect() == []
+
+
 def test_first_words(spark):
     row = spark.createDataFrame([(" one\n two  three ", 2)], "t string, n long").select(curriculum.first_words(F.col("t"), F.col("n")).alias("x")).first()
     assert row.x == " one\n two"
