@@ -70,3 +70,17 @@ def test_rows_of_one_id_are_one_document(spark):
     long = " ".join(f"{i * i}" for i in range(90))
     got = suffix_dedup.dedup(docs(spark, [(1, long + "abc"), (1, long + "abc"), (2, long)])).collect()
     assert sorted((r.doc_id, r.n_removed == 0) for r in got) == [(1, True), (1, True), (2, False)]
+
+
+def test_cells_do_not_depend_on_the_texts_beside(monkeypatch):
+    """Texts hashed together have the cells that each has alone, those too short for a window have none."""
+    rnd = random.Random(3)
+    raws = [bytes(rnd.choices(b"abc ", k=n)) for n in (0, 99, 100, 101, 5000, 0, 700, 99)] + [b"a" * 400, b"ab" * 200]
+    together = suffix_dedup.cells_of(raws)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1)
+    alone = suffix_dedup.cells_of(raws)
+    assert all((a == b).all() for a, b in zip(together, alone)) and set(alone[0].tolist()) == {2, 3, 4, 6, 8, 9}
+    assert [len(c) for c in suffix_dedup.cells_of([])] == [0] * 4
+    for i, raw in enumerate(raws):  # every window is in one cell
+        first, last = alone[2][alone[0] == i], alone[3][alone[0] == i]
+        assert [p for a, b in zip(first, last) for p in range(a, b + 1)] == list(range(len(raw) - 99))
