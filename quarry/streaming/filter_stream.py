@@ -17,6 +17,13 @@ from pyspark.sql import types as T
 from quarry.session import scratch_path
 
 
+def table_files(base: str, name: str) -> str:
+    """The path to stream a Parquet table of a dataset folder from, whether it
+    is one file or a folder of files: as a pattern, since a plain path must be
+    a folder."""
+    return f"{base.rstrip('/')}/{{{name}.parquet}}"
+
+
 def stream_files(spark: SparkSession, path: str, schema: T.StructType,
                  fmt: str = "parquet", max_files_per_trigger: int | None = None,
                  glob: str | None = None) -> DataFrame:

@@ -79,3 +79,23 @@ def test_topic_filter_and_templates_stream_as_they_run(spark, tmp_path):
                  lambda df: df.select("doc_id", prompts.gsm8k_prompt(F.col("text")).alias("text"))):
         got = stream_filter(spark, source, SCHEMA, step)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, step(batch).collect()))
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_queries_read_tables_of_one_file_or_several(spark, tmp_path, files):
+    from quarry import catalog
+    from quarry.sources.tables import DOCUMENT_SCHEMA
+    base = str(tmp_path)
+    docs = spark.createDataFrame([(i, texts(i) + (" license" if i % 2 else ""), "en", "s", 1) for i in range(30)], DOCUMENT_SCHEMA)
+    for name, df in (("documents", docs), ("benchmark", docs.select(F.col("doc_id").alias("item_id"), "text"))):
+        out = f"{base}/{name}.parquet"
+        if files > 1:
+            df.repartition(files).write.parquet(out)
+        else:
+            df.coalesce(1).write.parquet(f"{base}/{name}-parts")
+            next((tmp_path / f"{name}-parts").glob("part-*")).rename(out)
+    flagged = rows_of(annotate(docs))
+    for query in (catalog.q_stream_filter, catalog.q_stream_sinks):
+        assert sorted(tuple(r) for r in query(spark, base).select("doc_id", "kept").collect()) == [(i, kept) for i, _, _, kept in sorted(flagged)]
+    assert sorted(r.doc_id for r in catalog.q_stream_topic(spark, base).collect()) == list(range(1, 30, 2))
+    assert catalog.q_stream_prompts(spark, base).count() == prompts.format_gsm8k(prompts.worked_answer_rows(docs.select(F.col("doc_id").alias("item_id"), "text"))).count()
