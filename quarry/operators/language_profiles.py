@@ -11,11 +11,15 @@ Arrow batches, each on its own, so nothing but words and n-grams is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_or_empty
+from quarry.plans.parallel import filter_fenced
 
 #: n-grams of one to so many characters.
 LONGEST = 3
@@ -62,35 +66,63 @@ def collected(profiles: DataFrame, most_languages: int = MOST_LANGUAGES, size: i
     return out
 
 
+def _order(gram: str) -> int:
+    """A number by which n-grams stand in the order of their UTF-8 bytes: 21 bits a character."""
+    return sum((ord(g) + 1) << 21 * (LONGEST - 1 - i) for i, g in enumerate(gram))
+
+
+def _postings(profiles: dict[str, dict[str, int]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Languages by name; the profiles' distinct n-grams as numbers in order; where the entries of each start and end, and these: language, rank."""
+    names = sorted(profiles)
+    entries = np.array(sorted((_order(g), i, rank) for i, name in enumerate(names) for g, rank in profiles[name].items() if len(g) <= LONGEST), np.int64).reshape(-1, 3)
+    grams, starts = np.unique(entries[:, 0], return_index=True)
+    return names, grams, np.append(starts, len(entries)), entries[:, 1], entries[:, 2]
+
+
+def _nearest(texts: Iterable[str], postings: tuple, size: int) -> Iterator[tuple[str | None, int | None, int]]:
+    """``predicted, distance, n_grams`` of each text, n-grams as numbers in flat arrays."""
+    names, grams, starts, languages, ranks = postings
+    pad = ord("_") + 1
+    for text in texts:
+        words = text.split()
+        if not words:
+            yield None, None, 0
+            continue
+        one = np.frombuffer(f"_{'__'.join(words)}_".encode("utf-32-le"), np.uint32).astype(np.int64) + 1
+        inner = one != pad
+        apart = inner[:-1] | inner[1:]  # not the end of a word and the start of the next
+        two = one[:-1] << 42 | one[1:] << 21
+        three = two[:-1] | one[2:]
+        own, n = np.unique(np.concatenate([one[inner] << 42, two[apart], three[apart[:-1] & apart[1:]]]), return_counts=True)
+        if len(own) > size:  # all that are as frequent as the last one
+            frequent = n >= np.partition(n, len(n) - size)[len(n) - size]
+            own, n = own[frequent], n[frequent]
+        own = own[np.argsort(-n, kind="stable")[:size]]
+        if not names:
+            yield None, None, len(own)
+            continue
+        at = np.searchsorted(grams, own)
+        place = np.flatnonzero(np.append(grams, -1)[at] == own)
+        first = starts[at[place]]
+        many = starts[at[place] + 1] - first
+        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        nearer = np.abs(np.repeat(place + 1, many) - ranks[at]) - size
+        distance = size * len(own) + np.bincount(languages[at], nearer, len(names)).astype(np.int64)
+        best = int(distance.argmin())
+        yield names[best], int(distance[best]), len(own)
+
+
 def identify(text: Column, profiles: dict[str, dict[str, int]], size: int = PROFILE) -> Column:
     """``struct<predicted string, distance long, n_grams int>``: the nearest
     language (ties: the first by name), the ranks by which the text's most
     frequent n-grams are out of place in its profile (``size`` for one that it
     lacks), and how many those are. A text without letters has NULL for both."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast((sorted(profiles), profiles))
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(_postings(profiles))
 
     def score(texts: pa.Array) -> pa.Array:
-        from collections import Counter
-
         import pyarrow as pa
-        names, ranks = shared.value
-        predicted, distance, count = [], [], []
-        for value in texts:
-            grams = Counter()
-            for word, n in Counter(value.as_py().split(" ")).items():
-                if word:
-                    padded = f"_{word}_"
-                    for g in word:
-                        grams[g] += n
-                    for m in range(2, LONGEST + 1):
-                        for i in range(len(padded) - m + 1):
-                            grams[padded[i:i + m]] += n
-            own = sorted(grams.items(), key=lambda x: (-x[1], x[0].encode()))[:size]
-            best = min(((sum(abs(place - of[g]) if g in of else size for place, (g, _) in enumerate(own, 1)), name) for name, of in ((n, ranks[n]) for n in names)), default=None) if own else None
-            predicted.append(best[1] if best else None)
-            distance.append(best[0] if best else None)
-            count.append(len(own))
-        return pa.StructArray.from_arrays([pa.array(predicted, pa.string()), pa.array(distance, pa.int64()), pa.array(count, pa.int32())], ["predicted", "distance", "n_grams"])
+        found = _nearest((value.as_py() for value in texts), shared.value, size)
+        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (pa.string(), pa.int64(), pa.int32()))], ["predicted", "distance", "n_grams"])
 
     return F.arrow_udf(score, returnType="struct<predicted string, distance long, n_grams int>")(letters_only(text))
 
@@ -99,4 +131,6 @@ def profile_filter(df: DataFrame, profiles: dict[str, dict[str, int]], languages
     """The rows whose predicted language is listed, with ``predicted`` and ``distance``: the mean share of a profile by which n-grams are out of place, at most ``most_distance``."""
     scored = df.withColumn("_found", identify(F.col(text_col), profiles, size))
     share = F.col("_found.distance") / (F.col("_found.n_grams") * size)
-    return scored.select(*df.columns, F.col("_found.predicted").alias("predicted"), share.alias("distance")).filter(F.col("predicted").isin(languages) & (F.col("distance") <= most_distance))
+    out = scored.select(*df.columns, F.col("_found.predicted").alias("predicted"), share.alias("distance"))
+    # A filter pushed below the projection would have every text scored a second time.
+    return filter_fenced(out.withColumn("_near", F.col("predicted").isin(languages) & (F.col("distance") <= most_distance)), "_near")

@@ -1,5 +1,6 @@
 """Profiles against plain counting, accuracy on documents kept out of them."""
 
+import random
 import re
 from collections import Counter
 
@@ -60,3 +61,22 @@ def test_filter_and_limits(spark):
         lp.collected(lp.language_profiles(df), most_languages=0)
     empty = lp.collected(lp.language_profiles(df.limit(0)))
     assert empty == {} and df.select(lp.identify(F.col("text"), empty)["predicted"].alias("p")).distinct().collect() == [(None,)]
+
+
+def test_scores_of_odd_texts_equal_plain():
+    rng = random.Random(7)
+    texts = ["", " ", " a ", "𝔘𝔫 한국 ｱ"] + [" ".join("".join(rng.choice("abé한𐐷ｚλ") for _ in range(rng.choice([1, 2, 3, 9]))) for _ in range(rng.randint(1, 80))) for _ in range(60)]
+    for size in (5, 300):
+        two = {lang: ranking(plain_grams(" ".join(texts[i::2])), size) for i, lang in enumerate("yx")}
+        for known in (two, {}, {"a": {}}, {"b": two["x"], "a": two["x"], "c": {"e": 1, "longer": 2}}):
+            for text, got in zip(texts, lp._nearest(texts, lp._postings(known), size), strict=True):
+                own = ranking(plain_grams(text), size)
+                best = min((sum(abs(p - of[g]) if g in of else size for g, p in own.items()), name) for name, of in known.items()) if own and known else (None, None)
+                assert got == (best[1], best[0], len(own))
+
+
+def test_filter_scores_a_text_once(spark):
+    df = spark.createDataFrame([(1, "the cat and the hat", "en"), (2, "le chat et la", "fr")], SCHEMA)
+    known = lp.collected(lp.language_profiles(df))
+    plan = lp.profile_filter(df, known, ["en"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
