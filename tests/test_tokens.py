@@ -152,3 +152,52 @@ def test_truncate_only(spark):
     df = docs_df(spark, ["h\u00e9llo", None, "abc"])
     rows = df.orderBy("doc_id").select(tokens.truncate(tokens.byte_tokens(F.col("text")), 2).alias("a"), tokens.first_byte_tokens(F.col("text"), 2).alias("b")).collect()
     assert [r.a for r in rows] == [r.b for r in rows] == [[104, 195], [], [97, 98]]
+
+
+def test_a_task_passes_each_pair_on_once():
+    import numpy as np
+    import pyarrow as pa
+    sym = pa.array(["ab ac " * 200_000, "cab " * 300_000, "", "b"])
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 3, 1, 2]), pa.array(np.zeros(4, np.int64)), pa.array([1, 1, 1, 5]), sym], ["doc_id", "chunk_pos", "weight", "sym"])
+    got = [r for b in tokens._pair_count_kernel()([batch, batch]) for r in b.to_pylist()]
+    assert len({(r["left_id"], r["right_id"]) for r in got}) == len(got)
+    ab = next(r for r in got if (r["left_id"], r["right_id"]) == (97, 98))
+    assert (ab["n"], ab["doc_id"], ab["pos"]) == (1_000_000, 3, 1)
+
+
+def test_a_task_passes_each_word_on_once(spark):
+    texts = [" the cat  sat", "the the", None, " ", "cat the"]
+    df = docs_df(spark, texts).coalesce(1)
+    rows = tokens.training_chunks(df, chunking="word")
+    got = {r.sym: (r.doc_id, r.chunk_pos, r.weight) for r in rows.collect()}
+    assert got == {" the": (0, 0, 3), " cat": (0, 1, 1), " ": (0, 2, 2), " sat": (0, 3, 1), "the": (1, 0, 1), "": (2, 0, 1), "cat": (4, 0, 1)}
+    assert "MapInArrow" in rows._jdf.queryExecution().toString()
+
+
+def test_words_of_rows_with_one_id(spark):
+    df = spark.createDataFrame([(1, "a b c x"), (1, "q x c"), (None, "z x")], "doc_id long, text string").coalesce(1)
+    got = {r.sym: (r.doc_id, r.chunk_pos, r.weight) for r in tokens.training_chunks(df, chunking="word").collect()}
+    assert got[" c"] == (1, 2, 2) and got[" x"] == (None, 1, 3) and got[" b"] == (1, 1, 1)
+
+
+def test_many_symbols_count_as_few_do(spark, monkeypatch):
+    df = docs_df(spark, ["the cat sat", "aaaa", "", "héllo", None])
+    few = sorted(map(str, tokens.pair_counts(tokens.byte_chunks(df)).collect()))
+    monkeypatch.setattr(tokens, "DENSE_PAIRS", 0)
+    assert sorted(map(str, tokens.pair_counts(tokens.byte_chunks(df)).collect())) == few
+
+
+def test_encoding_passes_ids_on_before_the_next_slice():
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+    shared = types.SimpleNamespace(value=(np.array([97]), np.array([98]), np.array([256])))
+    out = list(tokens._encode_kernel(shared, [])(pa.array(["ab" * 300_000] * 5)))
+    assert len(out) > 1 and sum(map(len, out)) == 5 and all(len(o[0]) == 300_000 for o in out)
+
+
+def test_decode_unknown_and_missing_ids(spark):
+    df = spark.createDataFrame([(0, [256, 9999, None, 97]), (1, None), (2, []), (3, [255, 98])], "doc_id long, ids array<int>").coalesce(1)
+    back = [r.t for r in df.orderBy("doc_id").select(tokens.bpe_decode(F.col("ids"), [tokens.Merge(0, 104, 101, 256)]).alias("t")).collect()]
+    assert back == ["he��a", "", "", "�b"]
