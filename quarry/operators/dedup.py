@@ -119,57 +119,73 @@ def with_shingles(df: DataFrame, text_col: str = "text", n: int = 5,
         F.when(k >= n, grams).otherwise(F.array().cast("array<string>")))).drop("_w")
 
 
-def hash_shingles(shingle_array: Column) -> Column:
-    """31-bit hash of every distinct shingle (first 8 hex digits of MD5, modulo
-    2^31 - 1); ``a * h + b`` still fits a bigint."""
-    return F.array_distinct(F.transform(
-        shingle_array, lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long") % PRIME))
-
-
-def _minhash_batches(coeffs: list[tuple[int, int]]):
+def _minhash_batches(coeffs: list[tuple[int, int]], n: int):
+    """Normalised texts to signatures. A closure, so executors need not import this package."""
     a = np.array([c[0] for c in coeffs], dtype=np.int64)
     b = np.array([c[1] for c in coeffs], dtype=np.int64)
-    k = len(coeffs)
+    prime, most_bytes = PRIME, 1 << 19
 
     def run(batches):
+        """For about half a million bytes of text at a time. Repeated shingles
+        are hashed again: a minimum does not change by them."""
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        def shingle_hashes(text):
+            """First 4 bytes of the MD5 of each run of ``n`` words, in a text with one space between words."""
+            gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == 32).tolist()
+            if not text or len(gaps) < n - 1:
+                return []
+            starts, ends = [0, *[g + 1 for g in gaps]], [*gaps, len(text)]
+            md5 = hashlib.md5
+            return [md5(text[s:e]).digest()[:4] for s, e in zip(starts, ends[n - 1:])]
+
+        def signatures(ids, hashes, lens):
+            values = np.frombuffer(b"".join(hashes), ">u4").astype(np.int64) % prime
+            starts = np.cumsum(lens) - lens
+            sig = np.empty((len(lens), len(a)), dtype=np.int64)
+            for j in range(len(a)):
+                # x mod 2^31 - 1: upper and lower 31 bits are added, twice
+                x = values * a[j] + b[j]
+                x = (x & prime) + (x >> 31)
+                x = (x & prime) + (x >> 31)
+                x[x == prime] = 0
+                sig[:, j] = np.minimum.reduceat(x, starts)
+            offsets = np.arange(0, (len(lens) + 1) * len(a), len(a), dtype=np.int32)
+            return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.reshape(-1)))], ["doc_id", "signature"])
+
         for batch in batches:
-            hashes = batch.column("hashes")
-            offsets = hashes.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            nonempty = np.flatnonzero(np.diff(offsets) > 0)
-            if len(nonempty) == 0:
-                continue
-            values = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            # Segments start at each non-empty row; empty rows between them
-            # add nothing to a segment and get no signature.
-            starts = offsets[nonempty]
-            sig = np.empty((len(starts), k), dtype=np.int64)
-            for j in range(k):
-                sig[:, j] = np.minimum.reduceat((a[j] * values + b[j]) % PRIME, starts)
-            flat = pa.array(sig.reshape(-1), type=pa.int64())
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, (len(starts) + 1) * k, k, dtype=np.int32)), flat)
-            ids = batch.column("doc_id").take(pa.array(nonempty))
-            yield pa.RecordBatch.from_arrays([ids, lists], ["doc_id", "signature"])
+            kept, hashes, lens, size = [], [], [], 0
+            for i, text in enumerate(batch.column("plain")):
+                text = text.as_buffer().to_pybytes()
+                got = shingle_hashes(text)
+                if got:
+                    kept.append(i)
+                    hashes += got
+                    lens.append(len(got))
+                    size += len(text)
+                if size > most_bytes:
+                    yield signatures(batch.column("doc_id").take(pa.array(kept)), hashes, np.array(lens))
+                    kept, hashes, lens, size = [], [], [], 0
+            if kept:
+                yield signatures(batch.column("doc_id").take(pa.array(kept)), hashes, np.array(lens))
     return run
 
 
 def minhash_signatures(df: DataFrame, cfg: MinhashConfig = MinhashConfig(),
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, signature array<bigint>[160])`` for documents with at least
-    one shingle. Shingling and hashing are JVM expressions; the 160 minima
-    per document run as one vectorised numpy pass per Arrow batch (each hash
-    function is applied to every shingle hash of the batch, then reduced per
-    document segment)."""
-    hashed = with_shingles(df.select(F.col(id_col).alias("doc_id"), text_col),
-                           text_col, cfg.n_grams).select(
-        "doc_id", hash_shingles(F.col("shingles")).alias("hashes"))
-    # No filter on the derived array here: Catalyst would push it below the
-    # projections and inline the word split into the n-gram lambda. Rows
-    # without shingles are skipped inside the Arrow kernel instead.
+    one shingle. A shingle's hash is 31-bit (first 8 hex digits of its MD5,
+    modulo 2^31 - 1). Texts are normalised by JVM expressions; normalised words
+    have one space between them, so a shingle is a slice of the text and only
+    this text goes to the Arrow kernel, which hashes its slices and applies
+    each hash function to all of them in numpy, reduced per document."""
+    plain = df.select(F.col(id_col).alias("doc_id"), normalise(F.coalesce(F.col(text_col), F.lit(""))).alias("plain"))
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType),
                            T.StructField("signature", T.ArrayType(T.LongType()))])
-    return hashed.mapInArrow(_minhash_batches(hash_coefficients(cfg)), schema)
+    return plain.mapInArrow(_minhash_batches(hash_coefficients(cfg), cfg.n_grams), schema)
 
 
 def band_keys(signatures: DataFrame, cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
@@ -192,8 +208,11 @@ def lsh_buckets(keys: DataFrame) -> DataFrame:
 def candidate_edges(keys: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
     """Star edges ``member -> bucket minimum``: linear in bucket size, same
     components as all pairs. The member/bucket join is an equi-join; a hot
-    bucket is split by AQE's skew handling."""
-    buckets = buckets if buckets is not None else lsh_buckets(keys)
+    bucket is split by AQE's skew handling. The keys are written once, since
+    both sides read them."""
+    if buckets is None:
+        keys = written(keys, "band-keys")
+        buckets = lsh_buckets(keys)
     return (keys.join(buckets.select("band", "bucket", "min_doc_id"), ["band", "bucket"])
             .filter(F.col("doc_id") != F.col("min_doc_id"))
             .select(F.col("doc_id").alias("src"), F.col("min_doc_id").alias("dst"))

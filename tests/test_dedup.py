@@ -97,3 +97,26 @@ def test_string_ids(spark):
 def test_removal_does_not_shuffle_texts(spark):
     plan = dedup.minhash_dedup(docs_df(spark, [BASE, BASE, "x"]))._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_signatures_of_a_large_batch_come_in_parts():
+    import pyarrow as pa
+    cfg = dedup.MinhashConfig()
+    texts = [" ".join(f"w{i % 97}x{k}" for i in range(20_000)) for k in range(8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array([*texts, "four words are few"])], ["doc_id", "plain"])
+    out = list(dedup._minhash_batches(dedup.hash_coefficients(cfg), cfg.n_grams)([batch]))
+    assert len(out) > 1 and [i for b in out for i in b.column("doc_id").to_pylist()] == list(range(8))
+
+
+def test_edges_compute_the_keys_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = docs_df(spark, ["one two three four five six"] * 3 + ["one two three"])
+    keys = dedup.band_keys(dedup.minhash_signatures(df.mapInArrow(seen, df.schema)))
+    assert {(r.src, r.dst) for r in dedup.candidate_edges(keys).collect()} == {(1, 0), (2, 0)}
+    assert read.value == 4
