@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 import __spark_entry__
@@ -75,3 +76,14 @@ def test_queries_equal_their_sql(spark):
 def test_chunk_boundaries_cover_all_lines():
     text = "\n".join(map(str, range(100)))
     assert "\n".join("\n".join(c) for c in line_chunks.chunks(text)) == text
+
+
+def test_arrow_batches_of_stages_are_bounded_in_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "concat(id, repeat(' word', 800)) AS text")  # 16 MB in one task
+    try:
+        corpus_pipeline.tokenise(spark, docs, "")
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long")
+        assert max(r.size for r in sizes.collect()) <= corpus_pipeline.BATCH_BYTES + 10_000
+    finally:
+        spark.conf.unset(key)
