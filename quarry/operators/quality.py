@@ -43,50 +43,52 @@ GOPHER_REASONS = ["short_doc", "long_doc", "avg_word_low", "avg_word_high",
                   "alpha_words", "stop_words"]
 
 
+# A whole word that has a letter or a digit. The look behind keeps a long run
+# of symbols from being tried again from each of its places.
+ALNUM_WORD = r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r\p{L}\p{N}]*+[\p{L}\p{N}][^ \t\n\x0B\f\r]*+"
+# From a word's first letter to its end: one match for each word with a letter.
+LETTER_WORD = r"\p{L}[^ \t\n\x0B\f\r]*+"
+
+
 def _gopher_columns(df: DataFrame, text_col: str, rules: GopherRules) -> DataFrame:
     """Adds ``reason`` in staged projections: each array (words, lines) is
-    built once and its counts derived from it, instead of repeating the split
-    inside every rule."""
+    built once. Words are counted by one pass of a regular expression over the
+    text, and what only a later rule compares is counted where no earlier rule
+    has failed."""
     t = text_or_empty(F.col(text_col))
     stops = F.array(*[F.lit(s) for s in rules.stop_words])
-    s1 = df.withColumn("_ws", words(t)).withColumn("_lines", F.split(t, "\n"))
-    s2 = s1.withColumn("_nsw", F.filter("_ws", lambda w: w.rlike(r"[\p{L}\p{N}]")))
-    ws, lines, nsw = F.col("_ws"), F.col("_lines"), F.col("_nsw")
-    s3 = s2.select(
-        "*",
-        F.size(ws).alias("_n_words"),
-        F.size(nsw).alias("_n_nsw"),
-        F.aggregate(nsw, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)).alias("_nsw_chars"),
-        (F.length(t) - F.length(F.replace(t, F.lit("#"), F.lit("")))).alias("_n_hash"),
-        ((F.length(t) - F.length(F.replace(t, F.lit("..."), F.lit("")))) / 3
-         + (F.length(t) - F.length(F.replace(t, F.lit("\u2026"), F.lit(""))))).alias("_n_ell"),
-        F.size(lines).alias("_n_lines"),
-        F.size(F.filter(lines, lambda ln: F.ltrim(ln).startswith("\u2022")
-                        | F.ltrim(ln).startswith("-"))).alias("_bullets"),
-        F.size(F.filter(lines, lambda ln: F.rtrim(ln).endswith("...")
-                        | F.rtrim(ln).endswith("\u2026"))).alias("_ell_lines"),
-        F.size(F.filter(ws, lambda w: w.rlike(r"\p{L}"))).alias("_alpha"),
-        F.size(F.array_intersect(stops, ws)).alias("_n_stop"),
-    )
-    c = F.col
+    c, ws, lines, nsw = F.col, F.col("_ws"), F.col("_lines"), F.col("_nsw")
+    s1 = df.withColumn("_nsw", F.regexp_extract_all(t, F.lit(ALNUM_WORD), F.lit(0)))
+    s2 = s1.select("*", F.size(nsw).alias("_n_nsw"), F.length(F.array_join(nsw, "")).alias("_nsw_chars"))
     avg_len = c("_nsw_chars") / F.nullif(c("_n_nsw"), F.lit(0))
-
-    def over(num: str, den: str, limit: float) -> Column:
-        return c(num) > F.lit(float(limit)) * c(den)
-
-    reason = (F.when(c("_n_nsw") < rules.min_doc_words, "short_doc")
-              .when(c("_n_nsw") > rules.max_doc_words, "long_doc")
-              .when(avg_len < F.lit(float(rules.min_avg_word_length)), "avg_word_low")
-              .when(avg_len > F.lit(float(rules.max_avg_word_length)), "avg_word_high")
-              .when(over("_n_hash", "_n_words", rules.max_symbol_word_ratio), "hash_ratio")
-              .when(over("_n_ell", "_n_words", rules.max_symbol_word_ratio), "ellipsis_ratio")
-              .when(over("_bullets", "_n_lines", rules.max_bullet_lines_ratio), "bullet_lines")
-              .when(over("_ell_lines", "_n_lines", rules.max_ellipsis_lines_ratio), "ellipsis_lines")
-              .when(c("_alpha") < F.lit(float(rules.max_non_alpha_words_ratio)) * c("_n_words"),
+    s3 = s2.withColumn("_by_length", F.when(c("_n_nsw") < rules.min_doc_words, "short_doc")
+                       .when(c("_n_nsw") > rules.max_doc_words, "long_doc")
+                       .when(avg_len < F.lit(float(rules.min_avg_word_length)), "avg_word_low")
+                       .when(avg_len > F.lit(float(rules.max_avg_word_length)), "avg_word_high"))
+    passed = c("_by_length").isNull()
+    s4 = s3.withColumn("_ws", F.when(passed, words(t))).withColumn("_lines", F.when(passed, F.split(t, "\n")))
+    n_words, n_lines = F.size(ws), F.size(lines)
+    n_hash = F.length(t) - F.length(F.replace(t, F.lit("#"), F.lit("")))
+    n_ell = ((F.length(t) - F.length(F.replace(t, F.lit("..."), F.lit("")))) / 3
+             + (F.length(t) - F.length(F.replace(t, F.lit("\u2026"), F.lit("")))))
+    bullets = F.size(F.filter(lines, lambda ln: F.ltrim(ln).startswith("\u2022") | F.ltrim(ln).startswith("-")))
+    ell_lines = F.size(F.filter(lines, lambda ln: F.rtrim(ln).endswith("...") | F.rtrim(ln).endswith("\u2026")))
+    alpha = F.regexp_count(t, F.lit(LETTER_WORD))
+    n_stop = F.size(F.array_intersect(stops, ws))
+
+    def over(num: Column, den: Column, limit: float) -> Column:
+        return num > F.lit(float(limit)) * den
+
+    reason = (F.when(~passed, c("_by_length"))
+              .when(over(n_hash, n_words, rules.max_symbol_word_ratio), "hash_ratio")
+              .when(over(n_ell, n_words, rules.max_symbol_word_ratio), "ellipsis_ratio")
+              .when(over(bullets, n_lines, rules.max_bullet_lines_ratio), "bullet_lines")
+              .when(over(ell_lines, n_lines, rules.max_ellipsis_lines_ratio), "ellipsis_lines")
+              .when(alpha < F.lit(float(rules.max_non_alpha_words_ratio)) * n_words,
                     "alpha_words")
-              .when(c("_n_stop") < rules.min_stop_words, "stop_words"))
-    temp = [x for x in s3.columns if x.startswith("_") and x not in df.columns]
-    return s3.withColumn("reason", reason).drop(*temp)
+              .when(n_stop < rules.min_stop_words, "stop_words"))
+    temp = [x for x in s4.columns if x.startswith("_") and x not in df.columns]
+    return s4.withColumn("reason", reason).drop(*temp)
 
 
 def gopher_annotate(df: DataFrame, text_col: str = "text",

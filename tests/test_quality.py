@@ -88,3 +88,16 @@ def test_long_doc(spark):
 def test_topic_extract_without_limit_takes_all(spark):
     df = docs_df(spark, ["war"] * 30)
     assert quality.topic_extract(df, ["war"]).count() == 30
+
+
+def test_words_are_counted_in_the_text_itself(spark):
+    plan = quality.gopher_annotate(docs_df(spark, [GOOD]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda w_" not in plan and "RLIKE" not in plan  # no expression is interpreted for each word
+
+
+def test_odd_words_count_as_words_do(spark):
+    near = "the of " + "abcd " * 38
+    texts = [near + "été " * 10, near + "— " * 10, near + "--\U0001d5ba- " * 10, near + "٣ " * 10,  # letters, none, beyond the BMP, digits
+             near + "a b\u0085c " * 10, "\n\x0b " + near + "\t\f\r" + "x1 " * 10 + "\t",  # only ASCII white space divides
+             "the of " + "word " * 50 + "-" * 300_000, "the of " + "--word " * 40 + "12 ** " * 16]  # one long word of symbols
+    assert reasons(spark, texts) == [None, "short_doc", None, None, None, None, None, "alpha_words"]
