@@ -46,8 +46,9 @@ GOPHER_REASONS = ["short_doc", "long_doc", "avg_word_low", "avg_word_high",
 # A whole word that has a letter or a digit. The look behind keeps a long run
 # of symbols from being tried again from each of its places.
 ALNUM_WORD = r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r\p{L}\p{N}]*+[\p{L}\p{N}][^ \t\n\x0B\f\r]*+"
-# From a word's first letter to its end: one match for each word with a letter.
-LETTER_WORD = r"\p{L}[^ \t\n\x0B\f\r]*+"
+# From a word's first letter to its end, or what lies between: the first group
+# is one letter for each word with a letter.
+LETTER_WORD = r"(\p{L})[^ \t\n\x0B\f\r]*+|[^\p{L}]++"
 
 
 def _gopher_columns(df: DataFrame, text_col: str, rules: GopherRules) -> DataFrame:
@@ -57,9 +58,11 @@ def _gopher_columns(df: DataFrame, text_col: str, rules: GopherRules) -> DataFra
     has failed."""
     t = text_or_empty(F.col(text_col))
     stops = F.array(*[F.lit(s) for s in rules.stop_words])
-    c, ws, lines, nsw = F.col, F.col("_ws"), F.col("_lines"), F.col("_nsw")
-    s1 = df.withColumn("_nsw", F.regexp_extract_all(t, F.lit(ALNUM_WORD), F.lit(0)))
-    s2 = s1.select("*", F.size(nsw).alias("_n_nsw"), F.length(F.array_join(nsw, "")).alias("_nsw_chars"))
+    c, ws, lines = F.col, F.col("_ws"), F.col("_lines")
+    # Each such word as one "a"; what is left has no letter.
+    s1 = df.withColumn("_marked", F.regexp_replace(t, ALNUM_WORD, "a"))
+    s2 = s1.withColumn("_n_nsw", F.length("_marked") - F.length(F.replace("_marked", F.lit("a"), F.lit(""))))
+    s2 = s2.withColumn("_nsw_chars", F.length(F.make_valid_utf8(t)) - F.length("_marked") + c("_n_nsw"))
     avg_len = c("_nsw_chars") / F.nullif(c("_n_nsw"), F.lit(0))
     s3 = s2.withColumn("_by_length", F.when(c("_n_nsw") < rules.min_doc_words, "short_doc")
                        .when(c("_n_nsw") > rules.max_doc_words, "long_doc")
@@ -73,7 +76,7 @@ def _gopher_columns(df: DataFrame, text_col: str, rules: GopherRules) -> DataFra
              + (F.length(t) - F.length(F.replace(t, F.lit("\u2026"), F.lit("")))))
     bullets = F.size(F.filter(lines, lambda ln: F.ltrim(ln).startswith("\u2022") | F.ltrim(ln).startswith("-")))
     ell_lines = F.size(F.filter(lines, lambda ln: F.rtrim(ln).endswith("...") | F.rtrim(ln).endswith("\u2026")))
-    alpha = F.regexp_count(t, F.lit(LETTER_WORD))
+    alpha = F.length(F.regexp_replace(t, LETTER_WORD, "$1"))
     n_stop = F.size(F.array_intersect(stops, ws))
 
     def over(num: Column, den: Column, limit: float) -> Column:
